@@ -88,10 +88,10 @@ SELECT o_orderkey AS line_no,
 FROM orders"""
 
 # Conversations as nested documents of different depth, with brackets and quotes inside strings.
-DEEP = r"""
+DEEP = """
 SELECT concat(cast(conv_id AS string), '-', cast(turn AS string)) AS id,
   concat('{"a":{"b":', cast(conv_id AS string), ',"x":[', cast(turn AS string), ',{"y":[["', role,
-    '"],"]}"]}]},"d":null,"k.z":"q[{\"","emp":{},"ea":[]',
+    '"],"]}"]}]},"d":null,"k.z":"q[{', chr(92), '"","emp":{},"ea":[]',
     CASE WHEN turn % 3 = 1 THEN ',"deep":[[[[[[[[[[[[[[[7]]]]]]]]]]]]]]]' ELSE '' END, '}') AS doc
 FROM conversations"""
 

@@ -16,7 +16,7 @@ from formweave.operators.parse import FORM_META
 
 # Levels unrolled per step. Deeper documents take several steps, with the lineage cut in between.
 LEVELS_PER_STEP = 12
-META_LEVELS = 12
+META_LEVELS = 6
 
 COLLISION = "COLUMNS: two keys give one column name"
 EMPTY_NAME = "COLUMNS: a key gives an empty column name"

@@ -38,14 +38,17 @@ class FormStore:
         rows = read_or_empty(self.spark, self.registry_path, REGISTRY)
         return rows if before is None else rows.where(F.col(BATCH) < before)
 
+    def table_columns(self, tables: DataFrame) -> DataFrame:
+        """(table, columns in table order) of the named tables. A list is bounded by `max_columns`."""
+        rows = self.registry().join(tables.select("table").distinct(), "table", "left_semi")
+        ordered = F.array_sort(F.collect_list(F.struct("position", "column")))
+        return rows.groupBy("table").agg(ordered["column"].alias("columns"))
+
     def columns(self, table: str) -> list[str]:
-        """Column names in table order. Bounded by `max_columns`."""
+        """Column names of one table, in table order."""
         rows = self.registry().where(F.col("table") == table).select("column", "position")
         return [r.column for r in sorted(rows.collect(), key=lambda r: r.position)]
 
-    def exists(self, table: str) -> bool:
-        return not self.registry().where(F.col("table") == table).isEmpty()
-
     def widen(self, found: DataFrame, batch_id: int) -> DataFrame:
         """Register the batch's new columns and return the tables that would have too many.
 
@@ -65,9 +68,8 @@ class FormStore:
     def table_path(self, table: str) -> str:
         return f"{self.root}/tables/{table}"
 
-    def append(self, table: str, rows: DataFrame, batch_id: int) -> None:
+    def append(self, table: str, columns: list[str], rows: DataFrame, batch_id: int) -> None:
         """Write a batch's rows of one table; columns a row lacks become NULL."""
-        columns = self.columns(table)
         wide = evolve.wide_rows(rows, columns)
         wide.write.mode("overwrite").parquet(f"{self.table_path(table)}/{BATCH}={batch_id}")
         if self.database:

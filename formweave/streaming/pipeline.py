@@ -68,9 +68,11 @@ class IngestPipeline:
         accepted = staged.where(F.col("route") != REJECTED_ROUTE)
         found = evolve.batch_columns(accepted).checkpoint()
         full = {r.table for r in self.store.widen(found, batch_id).toLocalIterator()}
-        tables = (r.table for r in found.select("table").distinct().toLocalIterator())
+        self._refuse(accepted, found, full, batch_id)
+        tables = self.store.table_columns(found).toLocalIterator()
         with ThreadPool(self.config.parallelForms) as pool:
-            for _ in pool.imap_unordered(lambda t: self._append(t, accepted, batch_id, t in full), tables):
+            for _ in pool.imap_unordered(
+                    lambda t: self._append(t.table, t.columns, accepted, batch_id, t.table in full), tables):
                 pass
 
     # -- steps -----------------------------------------------------------------------------------------
@@ -94,16 +96,21 @@ class IngestPipeline:
         known = self.store.registry().select("table").distinct().limit(SCATTER_TABLES + 1).count()
         return known == 0 or known > SCATTER_TABLES
 
-    def _append(self, table: str, accepted: DataFrame, batch_id: int, is_full: bool) -> None:
+    def _refuse(self, accepted: DataFrame, found: DataFrame, full: set[str], batch_id: int) -> None:
+        """Tables that cannot be widened any more keep their columns; rows that need others are errors."""
+        known = {r.table: r.columns for r in self.store.table_columns(found).where(F.col("table").isin(*full)).collect()} \
+            if full else {}
+        for table in full:
+            rows = accepted.where(F.col("route") == table).where(evolve.needs_unknown(known.get(table, [])))
+            files.write_errors(rows.withColumn("error", F.lit(TOO_MANY_COLUMNS)), self.config.errors, batch_id,
+                               f"columns-{table}")
+
+    def _append(self, table: str, columns: list[str], accepted: DataFrame, batch_id: int, is_full: bool) -> None:
         rows = accepted.where(F.col("route") == table)
         if is_full:
-            unknown = evolve.needs_unknown(self.store.columns(table))
-            refused = rows.where(unknown).withColumn("error", F.lit(TOO_MANY_COLUMNS))
-            files.write_errors(refused, self.config.errors, batch_id, f"columns-{table}")
-            rows = rows.where(~unknown)
-            if not self.store.exists(table):
-                return
-        if with_retries(lambda: self.store.append(table, rows, batch_id), self.config.retry.waits, self.sleep):
+            rows = rows.where(~evolve.needs_unknown(columns))
+        if with_retries(lambda: self.store.append(table, columns, rows, batch_id), self.config.retry.waits,
+                        self.sleep):
             return
         log.error("append of %s given up, batch %s goes to the dead letters", table, batch_id)
         failed = rows.withColumn("error", F.lit(APPEND_FAILED))
