@@ -12,7 +12,7 @@ from checks import fixtures as fx
 from formweave.config import IngestConfig, RetryConfig
 from formweave.functions import declared, jsonvals, text
 from formweave.operators import counts, deid, evolve, flatten, parse, records, rules
-from formweave.operators.route import accepted, rejected
+from formweave.operators.route import accepted, only, rejected
 from formweave.plans import publish as publish_plan
 from formweave.plans.ingest import stage
 from formweave.plans.rule_load import load_rules
@@ -105,15 +105,10 @@ def _purchase_rows(job: IngestPipeline) -> DataFrame:
     """Rows of the purchase table, every value opened as often as it was sealed."""
     rows = job.store.read("purchase").select(*PURCHASE_COLUMNS)
     for _ in rules.TECHNIQUES:
-        rows = rows.select(*[F.coalesce(_inner(job.cipher, c), c).alias(c) for c in PURCHASE_COLUMNS])
+        rows = rows.select(*[F.coalesce(job.cipher.open_text(c), c).alias(c) for c in PURCHASE_COLUMNS])
     return rows
 
 
-def _inner(cipher, value: str) -> Column:
-    """What a stored value hides, or NULL if it hides nothing."""
-    return text.utf8_text(cipher.open(F.try_to_binary(F.col(value), F.lit("base64"))))
-
-
 # ---- sources -----------------------------------------------------------------------------------------------
 
 
@@ -585,10 +580,10 @@ def deid_chain(spark, sf):
     pairs = _pairs(forms, "values", "message_id")
     layers = pairs.withColumn("times", F.lit(0))
     for _ in range(3):
-        layers = layers.withColumn("inner", _inner(cipher, "value")).select(
+        layers = layers.withColumn("inner", cipher.open_text("value")).select(
             "message_id", "key", F.coalesce("inner", "value").alias("value"),
             (F.col("times") + F.col("inner").isNotNull().cast("int")).alias("times"))
-    return layers.where("times > 0").select("message_id", F.col("key").alias("field"), "value", "times")
+    return only(layers.withColumnRenamed("key", "field"), F.col("times") > 0, "message_id", "field", "value", "times")
 
 
 @query

@@ -18,12 +18,16 @@ from pyspark.sql import types as T
 
 from formweave.functions.text import base64_text, utf8_bytes, utf8_text
 
+# Data keys, each with what its envelopes start with: length and bytes of the wrapped key.
 _POOL = T.StructType([T.StructField("pool", T.ArrayType(T.StructType([
-    T.StructField("dek", T.BinaryType()), T.StructField("wrapped", T.BinaryType())])))])
+    T.StructField("dek", T.BinaryType()), T.StructField("header", T.BinaryType())])))])
 _KEK = T.StructType([T.StructField("kek_id", T.StringType()), T.StructField("kek", T.BinaryType())])
 
 DATA_KEY = "_data_key"
 
+# Fixed value: Base64 of an envelope; its first two bytes are zero, as wrapped keys are short.
+ENVELOPE_TEXT = "^AAA[A-Za-z0-9+/]+={0,2}$"
+
 
 class EnvelopeCipher:
     """Seals and opens values under one named KEK, given a key map ``{resource name: 32 bytes}``."""
@@ -44,7 +48,7 @@ class EnvelopeCipher:
         """Make a new pool of data keys; values sealed before stay readable."""
         fresh = self._spark.createDataFrame([(secrets.token_bytes(32),) for _ in range(self._count)], "dek binary")
         wrapped = fresh.select("dek", F.aes_encrypt("dek", self._kek, F.lit("GCM")).alias("wrapped"))
-        pool = [(r.dek, r.wrapped) for r in wrapped.collect() if r.wrapped is not None]
+        pool = [(r.dek, len(r.wrapped).to_bytes(4, "big") + r.wrapped) for r in wrapped.collect() if r.wrapped]
         self._pool = self._spark.createDataFrame([(pool,)], _POOL)
 
     def with_data_key(self, df: DataFrame, *by: str) -> DataFrame:
@@ -58,8 +62,7 @@ class EnvelopeCipher:
     def seal(value: Column) -> Column:
         """BINARY envelope of a BINARY value, using the row's data key; NULL when there is no key."""
         key = F.col(DATA_KEY)
-        length = F.unhex(F.lpad(F.hex(F.length(key["wrapped"])), 8, "0"))
-        return F.concat(length, key["wrapped"], F.aes_encrypt(value, key["dek"], F.lit("GCM")))
+        return F.concat(key["header"], F.aes_encrypt(value, key["dek"], F.lit("GCM")))
 
     @staticmethod
     def seal_text(value: Column) -> Column:
@@ -77,6 +80,8 @@ class EnvelopeCipher:
         return F.try_aes_decrypt(body, dek, F.lit("GCM"))
 
     def open_text(self, value: Column | str) -> Column:
-        """Text of a protected column."""
+        """Text of a protected column, or NULL for text that is no envelope. Plain text is told apart by its
+        form first, because failing to decode costs much more than the test."""
         value = F.col(value) if isinstance(value, str) else value
-        return utf8_text(self.open(F.unbase64(value)))
+        looks_sealed = F.rlike(value, F.lit(ENVELOPE_TEXT))
+        return F.when(looks_sealed, utf8_text(self.open(F.try_to_binary(value, F.lit("base64")))))

@@ -87,46 +87,42 @@ def flatten_json(df: DataFrame, text: str, into: str = "flat") -> DataFrame:
     return rows.withColumn(into, entry_texts(F.col(into)))
 
 
-def _odd_metadata() -> Column:
-    """Does the metadata hold a nested member or a name that needs quoting?"""
-    nested = F.exists(F.map_values("meta"), lambda v: F.startswith(v, F.lit("{")) | F.startswith(v, F.lit("[")))
-    quoted = F.exists(F.map_keys("meta"), lambda k: F.rlike(k, F.lit(r"[.\[\]]")))
-    return F.coalesce(nested, F.lit(False)) | quoted
+def odd_metadata() -> Column:
+    """Does the metadata hold a nested member or a name that needs quoting? One regular expression each."""
+    values = F.rlike(F.array_join(F.map_values("meta"), "\n"), F.lit(r"(^|\n)[{\[]"))
+    return values | F.rlike(F.array_join(F.map_keys("meta"), ""), F.lit(r"[.\[\]]"))
 
 
-def flat_metadata() -> Column:
+def flat_metadata(odd: Column) -> Column:
     """MAP<path, text> of the metadata under its reserved name. Plain metadata skips the nested branch."""
     entries = root_entries(F.col("meta_doc"), FORM_META)
     for _ in range(META_LEVELS):
         entries = next_level(entries)
     plain = F.transform_keys(jsonvals.null_as_text("meta"), lambda k, _: F.concat(F.lit(FORM_META + "."), k))
-    return F.when(_odd_metadata(), entry_texts(entries)).otherwise(plain)
+    return F.when(odd, entry_texts(entries)).otherwise(plain)
 
 
-def metadata_error() -> Column:
+def metadata_error(odd: Column) -> Column:
     """Metadata nested below the unrolled levels rejects the message."""
-    return F.when(_odd_metadata() & (jsonvals.nesting_depth(F.to_json("meta_doc")) > META_LEVELS), F.lit(TOO_DEEP))
+    return F.when(odd & (jsonvals.nesting_depth(F.to_json("meta_doc")) > META_LEVELS), F.lit(TOO_DEEP))
 
 
 def name_error(names: Column) -> Column:
-    """Why flattened keys cannot become columns, or NULL. Spark column names ignore case."""
-    lowered = F.transform(names, lambda n: F.lower(column_name(n)))
-    return (F.when(F.array_contains(lowered, ""), F.lit(EMPTY_NAME))
-            .when(F.size(F.array_distinct(lowered)) < F.size(lowered), F.lit(COLLISION)))
-
-
-def columns_map(entries: Column) -> Column:
-    """MAP<column name, text> of (key, value) entries; call only where `name_error` is NULL."""
-    return F.map_from_entries(F.transform(entries, lambda e: F.struct(column_name(e["key"]), e["value"])))
+    """Why names cannot be the columns of a row, or NULL. Spark column names ignore case."""
+    distinct = F.size(F.array_distinct(F.transform(names, F.lower)))
+    return (F.when(F.array_contains(names, ""), F.lit(EMPTY_NAME))
+            .when(distinct < F.size(names), F.lit(COLLISION)))
 
 
 def with_columns_map(forms: DataFrame) -> DataFrame:
     """Add `columns` (normalised names to text) and complete `error`. Form values are already text, so only
-    the metadata can still be nested."""
-    accepted = F.col("error").isNull()
-    rows = forms.withColumn("error", F.when(accepted, metadata_error()).otherwise(F.col("error")))
-    rows = rows.withColumn("flat", F.when(F.col("error").isNull(), F.concat(
-        F.map_entries("values"), F.map_entries(flat_metadata()))))
-    rows = rows.withColumn("error", F.coalesce("error", name_error(F.col("flat")["key"])))
-    columns = F.when(F.col("error").isNull(), columns_map(F.col("flat")))
-    return rows.withColumn("columns", columns).drop("flat", "values", "meta_doc")
+    the metadata can still be nested. Each step is a projection of its own, so nothing is computed twice."""
+    rows = forms.withColumn("odd", odd_metadata())
+    rows = rows.withColumn("error", F.when(F.col("error").isNull(), metadata_error(F.col("odd"))).otherwise(F.col("error")))
+    rows = rows.withColumn("flat", F.when(F.col("error").isNull(), flat_metadata(F.col("odd"))))
+    paths = F.concat(F.map_keys("values"), F.map_keys("flat"))
+    rows = rows.withColumn("names", F.transform(paths, column_name))
+    rows = rows.withColumn("error", F.coalesce("error", name_error(F.col("names"))))
+    texts = F.concat(F.map_values("values"), F.map_values("flat"))
+    columns = F.when(F.col("error").isNull(), F.map_from_arrays("names", texts))
+    return rows.withColumn("columns", columns).drop("odd", "flat", "names", "values", "meta_doc")

@@ -11,14 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _only(rows: DataFrame, keep: Column, columns: tuple[str, ...]) -> DataFrame:
+def only(rows: DataFrame, keep: Column, *columns: str) -> DataFrame:
+    """The named columns (all, if none is named) of the rows where `keep` holds, tested in this place."""
     return rows.select(F.inline(F.when(keep, F.array(F.struct(*(columns or rows.columns))))))
 
 
 def accepted(rows: DataFrame, *columns: str) -> DataFrame:
-    """The named columns (all, if none is named) of the rows without an error."""
-    return _only(rows, F.col("error").isNull(), columns)
+    """The rows without an error."""
+    return only(rows, F.col("error").isNull(), *columns)
 
 
 def rejected(rows: DataFrame, *columns: str) -> DataFrame:
-    return _only(rows, F.col("error").isNotNull(), columns)
+    return only(rows, F.col("error").isNotNull(), *columns)

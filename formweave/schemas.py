@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 
@@ -49,3 +50,8 @@ DEAD_LETTER = T.StructType([
     T.StructField("formName", T.StringType()),
     T.StructField("payload", T.BinaryType()),
 ])
+
+
+def start_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """An empty table at `path`, unless one is there already."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)

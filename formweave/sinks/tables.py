@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from formweave.operators import evolve
-from formweave.schemas import REGISTRY
-from formweave.sources.rules import read_or_empty
+from formweave.schemas import REGISTRY, start_table
 
 BATCH = "batch_id"
 
@@ -25,6 +24,7 @@ def _quoted(name: str) -> str:
 class FormStore:
     def __init__(self, spark: SparkSession, root: str, database: str | None = None, max_columns: int = 10_000):
         self.spark, self.root, self.database, self.max_columns = spark, root, database, max_columns
+        start_table(spark, f"{self.registry_path}/{BATCH}=-1", T.StructType(REGISTRY.fields[:-1]))
 
     # -- metadata --------------------------------------------------------------------------------------
 
@@ -35,7 +35,7 @@ class FormStore:
     def registry(self, before: int | None = None) -> DataFrame:
         """Columns of all tables; only those added before a batch, when one is named (a replay must not see its
         own additions)."""
-        rows = read_or_empty(self.spark, self.registry_path, REGISTRY)
+        rows = self.spark.read.schema(REGISTRY).parquet(self.registry_path)
         return rows if before is None else rows.where(F.col(BATCH) < before)
 
     def table_columns(self, tables: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ class FormStore:
     def read(self, table: str, with_batch: bool = False) -> DataFrame:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in self.columns(table)]
                               + [T.StructField(BATCH, T.LongType())])
-        rows = read_or_empty(self.spark, self.table_path(table), schema)
+        rows = self.spark.read.schema(schema).parquet(self.table_path(table))
         return rows if with_batch else rows.drop(BATCH)
 
     # -- catalog ---------------------------------------------------------------------------------------

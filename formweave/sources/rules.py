@@ -2,34 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from formweave.schemas import RULES
+from formweave.schemas import RULES, start_table
 
 _VERSIONED = T.StructType([*RULES.fields, T.StructField("version", T.LongType())])
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet folder, or no rows when nothing was written there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def rule_versions(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, _VERSIONED)
+    """All versions of the rule table. Version 0, which is empty, makes sure there is one."""
+    start_table(spark, f"{path}/version=0", RULES)
+    return spark.read.schema(_VERSIONED).parquet(path)
 
 
 def current_rules(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of the rule table. Older versions are pruned as partitions, not read."""
-    newest = rule_versions(spark, path).agg(F.max("version")).first()[0]
-    return rule_versions(spark, path).where(F.col("version") == F.lit(newest)).drop("version")
+    versions = rule_versions(spark, path)
+    newest = versions.agg(F.max("version")).first()[0]
+    return versions.where(F.col("version") == F.lit(newest)).drop("version")
 
 
 def rule_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
