@@ -16,7 +16,7 @@ from formweave.operators.route import accepted, only, rejected
 from formweave.plans import publish as publish_plan
 from formweave.plans.ingest import stage
 from formweave.plans.rule_load import load_rules
-from formweave.session import fresh_dir
+from formweave.session import fresh_dir, spread
 from formweave.sinks import files
 from formweave.sources import messages as message_source
 from formweave.sources import rules as rule_source
@@ -72,11 +72,11 @@ def _joined(names: Column) -> Column:
     return F.array_join(F.array_sort(names), "|")
 
 
-def _topic(spark: SparkSession, sf: str, files_count: int = 1) -> str:
-    """The messages as a topic folder."""
+def _topic(spark: SparkSession, sf: str, files_count: int | None = None) -> str:
+    """The messages as a topic folder; with `files_count`, as that many files in order of time."""
     path = fresh_dir(spark, "topic")
     sealed = fx.sealed(spark, sf, fx.cipher(spark))
-    if files_count > 1:
+    if files_count:
         sealed = sealed.repartitionByRange(files_count, "publish_time")
     files.publish(sealed, path)
     return path
@@ -154,7 +154,7 @@ def build_form_records(spark, sf):
 @query
 def publish_messages(spark, sf):
     cipher, topic = fx.cipher(spark), fresh_dir(spark, "topic")
-    requests = fx.run(spark, sf, fx.REQUESTS)
+    requests = spread(fx.run(spark, sf, fx.REQUESTS))
     files.publish(publish_plan.publishable(requests, cipher, text.prefix_list(fx.PREFIXES)), topic)
     return parse.open_messages(message_source.messages(spark, topic), cipher).select("message_id", "body")
 
@@ -528,7 +528,7 @@ def fn_table_name(spark, sf):
 def envelope_encrypt(spark, sf):
     """Whole document texts sealed and opened again; sealed size as the layout says, text unlike its seal."""
     cipher = fx.cipher(spark)
-    keyed = cipher.with_data_key(fx.table(spark, sf, "documents"), "doc_id")
+    keyed = cipher.with_data_key(spread(fx.table(spark, sf, "documents")), "doc_id")
     sealed = keyed.select("doc_id", "text", cipher.seal(text.utf8_bytes("text")).alias("sealed"))
     return sealed.select("doc_id", (F.length("sealed") - F.length(text.utf8_bytes("text"))).alias("overhead"),
                          F.md5(cipher.open("sealed")).alias("text_md5"))

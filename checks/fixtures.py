@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from formweave.functions.crypto import EnvelopeCipher
 from formweave.functions.text import utf8_bytes
 from formweave.schemas import MESSAGE
+from formweave.session import spread
 
 # Events as form messages: malformed JSON, empty forms, empty headers, awkward names, nested values, JSON
 # null, and a field that appears only from 15 January on.
@@ -118,7 +119,8 @@ def cipher(spark: SparkSession, data_keys: int = 64) -> EnvelopeCipher:
 
 def bodies(spark: SparkSession, sf_dir: str, sql: str = MESSAGES) -> DataFrame:
     """Messages in the clear: message_id, publish_time, body."""
-    return run(spark, sf_dir, sql).withColumn("publish_time", F.col("publish_time").cast("timestamp"))
+    rows = spread(run(spark, sf_dir, sql))
+    return rows.withColumn("publish_time", F.col("publish_time").cast("timestamp"))
 
 
 def sealed(spark: SparkSession, sf_dir: str, with_cipher: EnvelopeCipher, sql: str = MESSAGES) -> DataFrame:

@@ -19,9 +19,11 @@ SCALAR_TYPES: dict[str, T.DataType] = {
     "INT64": T.LongType(),
     "NUMERIC": T.DecimalType(38, 9),
     "STRING": T.StringType(),
-    "TIME": T.TimeType(),
+    "TIME": T.StringType(),
     "TIMESTAMP": T.TimestampType(),
 }
+# Spark's TIME type is off by default (`spark.sql.timeType.enabled`); times stay text unless it is asked for.
+NATIVE_TIME = T.TimeType()
 MODES = ("NULLABLE", "REQUIRED", "REPEATED")
 
 
@@ -34,12 +36,14 @@ class FieldDeclaration:
     fields: tuple["FieldDeclaration", ...] = ()
 
 
-def to_field(declared: FieldDeclaration) -> T.StructField:
+def to_field(declared: FieldDeclaration, native_time: bool = False) -> T.StructField:
     mode = declared.mode or "NULLABLE"
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r} of field {declared.name!r}")
     if declared.type == "STRUCT":
-        kind: T.DataType = to_schema(declared.fields)
+        kind: T.DataType = to_schema(declared.fields, native_time)
+    elif declared.type == "TIME" and native_time:
+        kind = NATIVE_TIME
     elif declared.type in SCALAR_TYPES:
         kind = SCALAR_TYPES[declared.type]
     else:
@@ -50,8 +54,9 @@ def to_field(declared: FieldDeclaration) -> T.StructField:
     return T.StructField(declared.name, kind, mode != "REQUIRED", metadata)
 
 
-def to_schema(declared: tuple[FieldDeclaration, ...] | list[FieldDeclaration]) -> T.StructType:
-    return T.StructType([to_field(d) for d in declared])
+def to_schema(declared: tuple[FieldDeclaration, ...] | list[FieldDeclaration],
+              native_time: bool = False) -> T.StructType:
+    return T.StructType([to_field(d, native_time) for d in declared])
 
 
 def typed(column: Column, kind: T.DataType) -> Column:

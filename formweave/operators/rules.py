@@ -92,7 +92,7 @@ def _inserting(upserts: DataFrame, deletions: DataFrame) -> DataFrame:
     An upsert inserts only if no rule of its key is active, so after one inserts, the next that can is the
     first one behind the deletion of that rule. Which upserts lie on the chain of these links that starts at
     each key's first upsert is found by doubling the links: after n rounds the first 2**n insertions of every
-    key are known. No key's changes are ever gathered in one value.
+    key are known, and the next round adds the 2**n behind them. No key's changes are ever gathered in one value.
     """
     shared_dir(upserts.sparkSession)
     no_pos = F.lit(None).cast(upserts.schema["pos"].dataType)
@@ -110,7 +110,7 @@ def _inserting(upserts: DataFrame, deletions: DataFrame) -> DataFrame:
     reached = upserts.groupBy(*KEY).agg(F.min("pos").alias("pos"))
     while not links.isEmpty():
         ahead = reached.join(links, [*KEY, "pos"]).select(*KEY, F.col("next").alias("pos"))
-        reached = reached.unionByName(ahead).distinct().checkpoint()
+        reached = reached.unionByName(ahead).checkpoint()
         beyond = links.select(*KEY, F.col("pos").alias("next"), F.col("next").alias("after"))
         links = links.join(beyond, [*KEY, "next"]).select(*KEY, "pos", F.col("after").alias("next")).checkpoint()
     return reached

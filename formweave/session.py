@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on. Everything else is left to the cluster.
 SESSION_SETTINGS = {
@@ -44,3 +44,13 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder name below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Let every core take part in work that is heavy per row, such as opening and sealing messages.
+
+    Only an input with fewer splits than the cluster has cores is shuffled, and evenly, whatever its keys; one
+    with more, as any large input has, is left alone.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

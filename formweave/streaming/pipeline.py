@@ -22,7 +22,7 @@ from formweave.operators import evolve
 from formweave.operators.counts import observed
 from formweave.plans.ingest import stage
 from formweave.schemas import REJECTED_ROUTE, STAGED
-from formweave.session import shared_dir
+from formweave.session import shared_dir, spread
 from formweave.sinks import files
 from formweave.sinks.tables import FormStore
 from formweave.sources.messages import message_stream
@@ -60,6 +60,9 @@ class IngestPipeline:
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         """One micro-batch, or a whole backlog as batch 0. Safe to repeat."""
+        if messages.isEmpty():
+            self.counts[batch_id] = {"messages": 0, "rejected": 0}
+            return
         self.cipher.rotate()
         staged = self._stage(messages, batch_id)
         files.archive(staged.where(F.col("file_url").isNotNull()), self.config.archive, batch_id)
@@ -79,7 +82,7 @@ class IngestPipeline:
 
     def _stage(self, messages: DataFrame, batch_id: int) -> DataFrame:
         config = self.config
-        rows = stage(messages, current_rules(self.spark, config.rules), self.cipher, config.baseUrl,
+        rows = stage(spread(messages), current_rules(self.spark, config.rules), self.cipher, config.baseUrl,
                      config.bucketName, config.onDeidError)
         rows, seen = observed(rows, f"ingest-{batch_id}")
         if self._gather_by_table():
