@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from formweave.functions import jsonvals
 from formweave.functions.text import column_name
 from formweave.operators.parse import FORM_META
+from formweave.session import shared_dir
 
 # Levels unrolled per step. Deeper documents take several steps, with the lineage cut in between.
-LEVELS_PER_STEP = 12
+LEVELS_PER_STEP = 16
 META_LEVELS = 6
 
 COLLISION = "COLUMNS: two keys give one column name"
@@ -23,47 +24,22 @@ EMPTY_NAME = "COLUMNS: a key gives an empty column name"
 TOO_DEEP = "METADATA: nested too deeply"
 
 
-def member_path(parent: Column, name: Column) -> Column:
-    quoted = F.concat(parent, F.lit('["'), name, F.lit('"]'))
-    plain = F.when(parent == "", name).otherwise(F.concat(parent, F.lit("."), name))
-    return F.when(F.rlike(name, F.lit(r"[.\[\]]")), quoted).otherwise(plain)
+def root_entries(doc: str, path: str = "") -> str:
+    """SQL text of the entries (path, value) to start from: the whole document in column `doc`."""
+    return f"array(named_struct('path', '{path}', 'value', {doc}))"
 
 
-def _entry(path: Column, value: Column) -> Column:
-    return F.struct(path.alias("path"), value.alias("value"))
-
-
-def _members(value: Column) -> Column:
-    return F.map_entries(value.try_cast("map<string,variant>"))
-
-
-def _elements(value: Column) -> Column:
-    return value.try_cast("array<variant>")
-
-
-def root_entries(doc: Column, path: str = "") -> Column:
-    return F.array(_entry(F.lit(path), doc))
-
-
-def next_level(entries: Column) -> Column:
-    """Replace every non-empty object or array by its members, leaving leaves alone."""
-
-    def expand(entry: Column) -> Column:
-        path, value = entry["path"], entry["value"]
-        members, elements = _members(value), _elements(value)
-        return (F.when(F.size(members) > 0,
-                       F.transform(members, lambda m: _entry(member_path(path, m["key"]), m["value"])))
-                .when(F.size(elements) > 0,
-                      F.transform(elements, lambda e, i: _entry(
-                          F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), e)))
-                .otherwise(F.array(entry)))
-
-    return F.flatten(F.transform(entries, expand))
-
-
-def is_nested(value: Column) -> Column:
-    return (F.coalesce(F.size(value.try_cast("map<string,variant>")), F.lit(0)) > 0) | \
-           (F.coalesce(F.size(_elements(value)), F.lit(0)) > 0)
+def next_level(entries: str) -> str:
+    """SQL text that replaces every non-empty object or array among `entries` by its members."""
+    members, elements = "try_cast(e.value AS map<string,variant>)", "try_cast(e.value AS array<variant>)"
+    member_path = """CASE WHEN translate(m.key, '.[]', '') <> m.key THEN concat(e.path, '["', m.key, '"]')
+        WHEN e.path = '' THEN m.key ELSE concat(e.path, '.', m.key) END"""
+    return f"""flatten(transform({entries}, e -> CASE
+        WHEN size({members}) > 0
+        THEN transform(map_entries({members}), m -> named_struct('path', {member_path}, 'value', m.value))
+        WHEN size({elements}) > 0
+        THEN transform({elements}, (x, i) -> named_struct('path', concat(e.path, '[', i, ']'), 'value', x))
+        ELSE array(e) END))"""
 
 
 def entry_texts(entries: Column) -> Column:
@@ -72,19 +48,38 @@ def entry_texts(entries: Column) -> Column:
         e["path"], F.coalesce(e["value"].try_cast("string"), F.lit("null")))))
 
 
+def unrolled(entries: str, levels: int) -> str:
+    for _ in range(levels):
+        entries = next_level(entries)
+    return entries
+
+
+def _step(entries: str, left: str) -> str:
+    """SQL text that flattens up to `LEVELS_PER_STEP` levels. A row takes the shortest branch that covers the
+    levels it has left, so shallow documents do not pay for a deep one."""
+    branches, levels = [f"WHEN {left} <= 0 THEN {entries}"], 1
+    while levels < LEVELS_PER_STEP:
+        branches.append(f"WHEN {left} <= {levels} THEN {unrolled(entries, levels)}")
+        levels *= 2
+    return f"CASE {' '.join(branches)} ELSE {unrolled(entries, LEVELS_PER_STEP)} END"
+
+
 def flatten_json(df: DataFrame, text: str, into: str = "flat") -> DataFrame:
     """Add `into`, the MAP<path, text> of the JSON documents in column `text`; NULL where malformed.
 
     The depth of the data is measured first (one narrow pass, one number to the driver), so any depth is
     flattened in full.
     """
-    depth = df.agg(F.max(jsonvals.nesting_depth(text))).first()[0] or 0
-    rows = df.withColumn(into, F.when(jsonvals.parse(text).isNotNull(), root_entries(jsonvals.parse(text))))
-    for level in range(depth):
-        if level and level % LEVELS_PER_STEP == 0:
+    shared_dir(df.sparkSession)
+    rows = df.withColumn("_depth", jsonvals.nesting_depth(text))
+    deepest = rows.agg(F.max("_depth")).first()[0] or 0
+    rows = rows.withColumn("_doc", jsonvals.parse(text))
+    rows = rows.withColumn(into, F.expr(f"CASE WHEN _doc IS NOT NULL THEN {root_entries('_doc')} END")).drop("_doc")
+    for done in range(0, deepest, LEVELS_PER_STEP):
+        if done:
             rows = rows.checkpoint()
-        rows = rows.withColumn(into, next_level(F.col(into)))
-    return rows.withColumn(into, entry_texts(F.col(into)))
+        rows = rows.withColumn(into, F.expr(_step(into, f"(_depth - {done})")))
+    return rows.withColumn(into, entry_texts(F.col(into))).drop("_depth")
 
 
 def odd_metadata() -> Column:
@@ -95,11 +90,9 @@ def odd_metadata() -> Column:
 
 def flat_metadata(odd: Column) -> Column:
     """MAP<path, text> of the metadata under its reserved name. Plain metadata skips the nested branch."""
-    entries = root_entries(F.col("meta_doc"), FORM_META)
-    for _ in range(META_LEVELS):
-        entries = next_level(entries)
+    entries = unrolled(root_entries("meta_doc", FORM_META), META_LEVELS)
     plain = F.transform_keys(jsonvals.null_as_text("meta"), lambda k, _: F.concat(F.lit(FORM_META + "."), k))
-    return F.when(odd, entry_texts(entries)).otherwise(plain)
+    return F.when(odd, entry_texts(F.expr(entries))).otherwise(plain)
 
 
 def metadata_error(odd: Column) -> Column:

@@ -27,4 +27,6 @@ def stage(messages: DataFrame, rules: DataFrame, cipher: EnvelopeCipher, base_ur
     sealed = deidentify(forms, rules_by_form(rules), cipher, on_deid_error)
     rows = with_columns_map(sealed)
     route = F.when(F.col("error").isNull(), table_name("formName")).otherwise(F.lit(REJECTED_ROUTE))
-    return rows.withColumn("route", route).select(*STAGED.names)
+    return rows.withColumns({
+        "month": F.date_format("publish_time", "yyyy-MM"), "day": F.dayofmonth("publish_time"), "route": route,
+    }).select(*STAGED.names)

@@ -41,6 +41,8 @@ STAGED = T.StructType([
     T.StructField("file_url", T.StringType()),
     T.StructField("columns", T.MapType(T.StringType(), T.StringType())),
     T.StructField("error", T.StringType()),
+    T.StructField("month", T.StringType()),
+    T.StructField("day", T.IntegerType()),
     T.StructField("route", T.StringType()),
 ])
 REJECTED_ROUTE = "_rejected"

@@ -25,10 +25,8 @@ def publish(messages: DataFrame, topic: str, **options: str) -> None:
 
 
 def archive(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Store the payloads as they came, by form, month and day."""
-    (rows.select("message_id", "file_url", "payload", "formName",
-                 F.date_format("publish_time", "yyyy-MM").alias("month"),
-                 F.dayofmonth("publish_time").alias("day"))
+    """Store the payloads of staged rows as they came, by form, month and day."""
+    (rows.select("message_id", "file_url", "payload", "formName", "month", "day")
      .write.mode("overwrite").partitionBy("formName", "month", "day").parquet(_batch(path, batch_id)))
 
 
@@ -47,7 +45,10 @@ def write_errors(rows: DataFrame, path: str, batch_id: int, part: str) -> None:
 
 
 def dead_letter(rows: DataFrame, path: str, batch_id: int, part: str) -> None:
-    """Keep the original payload of messages whose table append kept failing."""
+    """Keep the original payload of messages whose table append kept failing: in a folder or a Kafka topic."""
+    if path.startswith("kafka:"):
+        publish(rows.withColumn("attributes", F.create_map(F.lit("formName"), F.col("formName"))), path)
+        return
     rows.select(*DEAD_LETTER.names).write.mode("overwrite").parquet(_batch(path, batch_id, part))
 
 

@@ -59,6 +59,8 @@ class FormStore:
         totals = (added.groupBy("table").agg(F.count("*").alias("new"))
                   .join(evolve.column_counts(registry), "table", "left")
                   .where(F.col("new") + F.coalesce("known", F.lit(0)) > self.max_columns).select("table"))
+        if added.isEmpty():
+            return totals
         rows = evolve.widened(added.join(totals, "table", "left_anti"), registry, batch_id)
         rows.drop(BATCH).write.mode("overwrite").parquet(f"{self.registry_path}/{BATCH}={batch_id}")
         return totals

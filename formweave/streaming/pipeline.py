@@ -65,18 +65,22 @@ class IngestPipeline:
             return
         self.cipher.rotate()
         staged = self._stage(messages, batch_id)
-        files.archive(staged.where(F.col("file_url").isNotNull()), self.config.archive, batch_id)
-        files.write_errors(staged.where(F.col("route") == REJECTED_ROUTE), self.config.errors, batch_id, "rejected")
-
         accepted = staged.where(F.col("route") != REJECTED_ROUTE)
-        found = evolve.batch_columns(accepted).checkpoint()
-        full = {r.table for r in self.store.widen(found, batch_id).toLocalIterator()}
-        self._refuse(accepted, found, full, batch_id)
-        tables = self.store.table_columns(found).toLocalIterator()
         with ThreadPool(self.config.parallelForms) as pool:
+            side = [pool.apply_async(files.archive, (
+                staged.where(F.col("file_url").isNotNull()), self.config.archive, batch_id))]
+            if self.counts[batch_id]["rejected"]:
+                side.append(pool.apply_async(files.write_errors, (
+                    staged.where(F.col("route") == REJECTED_ROUTE), self.config.errors, batch_id, "rejected")))
+            found = evolve.batch_columns(accepted).checkpoint()
+            full = {r.table for r in self.store.widen(found, batch_id).toLocalIterator()}
+            self._refuse(accepted, found, full, batch_id)
+            tables = self.store.table_columns(found).toLocalIterator()
             for _ in pool.imap_unordered(
                     lambda t: self._append(t.table, t.columns, accepted, batch_id, t.table in full), tables):
                 pass
+            for job in side:
+                job.get()
 
     # -- steps -----------------------------------------------------------------------------------------
 
@@ -86,8 +90,9 @@ class IngestPipeline:
                      config.bucketName, config.onDeidError)
         rows, seen = observed(rows, f"ingest-{batch_id}")
         if self._gather_by_table():
-            # Adaptive execution merges small tables' partitions and splits those of a table with many rows.
-            rows = rows.hint("rebalance", "route")
+            # Adaptive execution merges the partitions of small tables and splits those of a table with many
+            # rows. Days are kept together too, so that the archive, which is laid out by day, gets few files.
+            rows = rows.hint("rebalance", "route", "month", "day")
         path = f"{config.staging}/slot={batch_id % 2}"
         rows.write.mode("overwrite").partitionBy("route").parquet(path)
         self.counts[batch_id] = seen.get
