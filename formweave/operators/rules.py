@@ -94,7 +94,6 @@ def _inserting(upserts: DataFrame, deletions: DataFrame) -> DataFrame:
     each key's first upsert is found by doubling the links: after n rounds the first 2**n insertions of every
     key are known, and the next round adds the 2**n behind them. No key's changes are ever gathered in one value.
     """
-    shared_dir(upserts.sparkSession)
     no_pos = F.lit(None).cast(upserts.schema["pos"].dataType)
     both = upserts.withColumn("removal", no_pos).unionByName(deletions.withColumn("removal", F.col("pos")))
     removed = (nearest_behind(both, RULE, "removal", "gone")
@@ -135,7 +134,7 @@ def apply_changes(rules: DataFrame, changes: DataFrame) -> DataFrame:
                .agg(F.count_if(F.col("first_del").isNull()).alias("never"), F.max("first_del").alias("until")))
     open_upserts = (upserts.join(blocked, list(KEY), "left")
                     .where(F.col("never").isNull() | ((F.col("never") == 0) & (F.col("pos") > F.col("until"))))
-                    .select("pos", *RULE))
+                    .select("pos", *RULE).checkpoint())
 
     inserted = _inserting(open_upserts, deletions)
     added = (open_upserts.join(inserted, [*KEY, "pos"], "left_semi").join(spans, list(RULE), "left")
