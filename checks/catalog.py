@@ -602,6 +602,28 @@ def deid_invariants(spark, sf):
         "message_id", _joined(F.map_keys("values")).alias("names"), _joined(F.map_keys(same)).alias("untouched"))
 
 
+@query
+def deid_documents(spark, sf):
+    """Whole document texts through the whole plan: recorded, sealed as messages, staged with their text sealed
+    by rule, and opened again."""
+    cipher = fx.cipher(spark)
+    docs = spread(fx.table(spark, sf, "documents"))
+    form = F.struct("doc_id", "lang", "text")
+    meta = F.struct(F.lit("org1").alias("organization"), F.lit("t").alias("team"), F.lit("v1").alias("version"),
+                    F.col("source").alias("formName"))
+    body = F.to_json(F.struct(form.alias("formData"), meta.alias("formMetaData")))
+    keyed = cipher.with_data_key(docs.select(F.col("doc_id").cast("string").alias("message_id"), body.alias("body")),
+                                 "message_id")
+    messages = keyed.select("message_id", F.lit(DRIFT).cast("timestamp").alias("publish_time"),
+                            cipher.seal(text.utf8_bytes("body")).alias("payload"))
+    rows = stage(messages, fx.run(spark, sf, fx.DOCUMENT_RULES), cipher, fx.BASE_URL, fx.BUCKET)
+    stored = F.col("columns")["text"]
+    return rows.select("message_id", "formName", F.col("columns")["lang"].alias("lang"),
+                       F.md5(F.encode(cipher.open_text(stored), "UTF-8")).alias("text_md5"),
+                       (F.md5(F.encode(stored, "UTF-8")) == F.md5(F.encode(cipher.open_text(stored), "UTF-8")))
+                       .alias("in_clear"))
+
+
 # ---- streaming ---------------------------------------------------------------------------------------------
 
 

@@ -96,6 +96,11 @@ SELECT concat(cast(conv_id AS string), '-', cast(turn AS string)) AS id,
     CASE WHEN turn % 3 = 1 THEN ',"deep":[[[[[[[[[[[[[[[7]]]]]]]]]]]]]]]' ELSE '' END, '}') AS doc
 FROM conversations"""
 
+# Documents as forms named after their source; the rule table names the text field of every source.
+DOCUMENT_RULES = """
+SELECT DISTINCT upper(source) AS formName, 'text' AS fieldName, 'masking' AS dlpTechnique, '' AS addnl_info
+FROM documents"""
+
 KEK_ID = "projects/local-project/locations/global/keyRings/forms/cryptoKeys/forms-key"
 # A key for tests only.
 KEY_MAP = {KEK_ID: bytes(range(32))}

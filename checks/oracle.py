@@ -265,6 +265,8 @@ GROUP BY message_id, field""",
 SELECT message_id, string_agg(key, '|' ORDER BY key) AS names,
   coalesce(string_agg(key, '|' ORDER BY key) FILTER (field IS NULL), '') AS untouched
 FROM f LEFT JOIN p ON lower(f.formName) = p.form_key AND f.key = p.field GROUP BY message_id""",
+    "deid_documents": """SELECT cast(doc_id AS VARCHAR) AS message_id, source AS formName, lang, md5(text) AS text_md5,
+false AS in_clear FROM documents""",
     # streaming
     "stream_ingest": _PURCHASE,
     "stream_schema_drift": f'WITH {_COLUMNS} SELECT DISTINCT formName, key AS "column" FROM c',

@@ -15,9 +15,10 @@ from formweave.functions.text import column_name
 from formweave.operators.parse import FORM_META
 from formweave.session import shared_dir
 
-# Levels unrolled per step. Deeper documents take several steps, with the lineage cut in between.
-LEVELS_PER_STEP = 16
-META_LEVELS = 6
+# Levels unrolled per step; expressions nested much deeper overflow the stack of the planner. Deeper documents take
+# several steps, with the lineage cut in between.
+LEVELS_PER_STEP = 12
+META_LEVELS = 10
 
 COLLISION = "COLUMNS: two keys give one column name"
 EMPTY_NAME = "COLUMNS: a key gives an empty column name"

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from formweave.schemas import DEAD_LETTER, ERRORS, MESSAGE, RULES
 
 
-def _batch(path: str, batch_id: int, part: str | None = None) -> str:
-    return f"{path}/batch_id={batch_id}" + (f"/part={part}" if part else "")
+def _batch(path: str, batch_id: int) -> str:
+    return f"{path}/batch_id={batch_id}"
 
 
 def publish(messages: DataFrame, topic: str, **options: str) -> None:
@@ -40,16 +40,16 @@ def error_rows(rows: DataFrame, description: Column | str = "error") -> DataFram
         description.alias("description")).select(*ERRORS.names)
 
 
-def write_errors(rows: DataFrame, path: str, batch_id: int, part: str) -> None:
-    error_rows(rows).write.mode("overwrite").parquet(_batch(path, batch_id, part))
+def write_errors(rows: DataFrame, path: str, batch_id: int) -> None:
+    error_rows(rows).write.mode("overwrite").parquet(_batch(path, batch_id))
 
 
-def dead_letter(rows: DataFrame, path: str, batch_id: int, part: str) -> None:
+def dead_letter(rows: DataFrame, path: str, batch_id: int) -> None:
     """Keep the original payload of messages whose table append kept failing: in a folder or a Kafka topic."""
     if path.startswith("kafka:"):
         publish(rows.withColumn("attributes", F.create_map(F.lit("formName"), F.col("formName"))), path)
         return
-    rows.select(*DEAD_LETTER.names).write.mode("overwrite").parquet(_batch(path, batch_id, part))
+    rows.select(*DEAD_LETTER.names).write.mode("overwrite").parquet(_batch(path, batch_id))
 
 
 def write_rules(rules: DataFrame, path: str, version: int) -> None:

@@ -66,21 +66,17 @@ class IngestPipeline:
         self.cipher.rotate()
         staged = self._stage(messages, batch_id)
         accepted = staged.where(F.col("route") != REJECTED_ROUTE)
+        found = evolve.batch_columns(accepted).checkpoint()
+        full = {r.table for r in self.store.widen(found, batch_id).toLocalIterator()}
         with ThreadPool(self.config.parallelForms) as pool:
-            side = [pool.apply_async(files.archive, (
-                staged.where(F.col("file_url").isNotNull()), self.config.archive, batch_id))]
-            if self.counts[batch_id]["rejected"]:
-                side.append(pool.apply_async(files.write_errors, (
-                    staged.where(F.col("route") == REJECTED_ROUTE), self.config.errors, batch_id, "rejected")))
-            found = evolve.batch_columns(accepted).checkpoint()
-            full = {r.table for r in self.store.widen(found, batch_id).toLocalIterator()}
-            self._refuse(accepted, found, full, batch_id)
+            archived = pool.apply_async(files.archive, (
+                staged.where(F.col("file_url").isNotNull()), self.config.archive, batch_id))
             tables = self.store.table_columns(found).toLocalIterator()
-            for _ in pool.imap_unordered(
-                    lambda t: self._append(t.table, t.columns, accepted, batch_id, t.table in full), tables):
-                pass
-            for job in side:
-                job.get()
+            tried = pool.imap_unordered(
+                lambda t: (t.table, self._append(t.table, t.columns, accepted, batch_id, t.table in full)), tables)
+            failed = [table for table, done in tried if not done]
+            archived.get()
+        self._write_errors(staged, found, full, failed, batch_id)
 
     # -- steps -----------------------------------------------------------------------------------------
 
@@ -104,23 +100,27 @@ class IngestPipeline:
         known = self.store.registry().select("table").distinct().limit(SCATTER_TABLES + 1).count()
         return known == 0 or known > SCATTER_TABLES
 
-    def _refuse(self, accepted: DataFrame, found: DataFrame, full: set[str], batch_id: int) -> None:
-        """Tables that cannot be widened any more keep their columns; rows that need others are errors."""
-        known = {r.table: r.columns for r in self.store.table_columns(found).where(F.col("table").isin(*full)).collect()} \
-            if full else {}
-        for table in full:
-            rows = accepted.where(F.col("route") == table).where(evolve.needs_unknown(known.get(table, [])))
-            files.write_errors(rows.withColumn("error", F.lit(TOO_MANY_COLUMNS)), self.config.errors, batch_id,
-                               f"columns-{table}")
-
-    def _append(self, table: str, columns: list[str], accepted: DataFrame, batch_id: int, is_full: bool) -> None:
+    def _append(self, table: str, columns: list[str], accepted: DataFrame, batch_id: int, is_full: bool) -> bool:
         rows = accepted.where(F.col("route") == table)
         if is_full:
             rows = rows.where(~evolve.needs_unknown(columns))
-        if with_retries(lambda: self.store.append(table, columns, rows, batch_id), self.config.retry.waits,
-                        self.sleep):
-            return
-        log.error("append of %s given up, batch %s goes to the dead letters", table, batch_id)
-        failed = rows.withColumn("error", F.lit(APPEND_FAILED))
-        files.write_errors(failed, self.config.errors, batch_id, f"append-{table}")
-        files.dead_letter(failed, self.config.dead_letter, batch_id, f"append-{table}")
+        return with_retries(lambda: self.store.append(table, columns, rows, batch_id), self.config.retry.waits,
+                            self.sleep)
+
+    def _write_errors(self, staged: DataFrame, found: DataFrame, full: set[str], failed: list[str],
+                      batch_id: int) -> None:
+        """One error append per batch: rejected messages, rows that a full table has no column for, and rows whose
+        append was given up, which also go to the dead letters."""
+        errors = staged.where(F.col("route") == REJECTED_ROUTE)
+        if full:
+            wanted = found.where(F.col("table").isin(*full))
+            known = {r.table: r.columns for r in self.store.table_columns(wanted).toLocalIterator()}
+            for table in full:
+                refused = staged.where((F.col("route") == table) & evolve.needs_unknown(known.get(table, [])))
+                errors = errors.unionByName(refused.withColumn("error", F.lit(TOO_MANY_COLUMNS)))
+        if failed:
+            log.error("appends of %s given up, their rows of batch %s go to the dead letters", failed, batch_id)
+            lost = staged.where(F.col("route").isin(*failed))
+            files.dead_letter(lost, self.config.dead_letter, batch_id)
+            errors = errors.unionByName(lost.withColumn("error", F.lit(APPEND_FAILED)))
+        files.write_errors(errors, self.config.errors, batch_id)
