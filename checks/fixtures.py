@@ -110,7 +110,8 @@ BUCKET = "forms"
 
 
 def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """A fixture in Spark: its one table is read from `sf_dir`."""
+    """A fixture in Spark: its one table is read from `sf_dir`. Times are UTC, as in the SQL twins."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.sql(re.sub(r"FROM (\w+)$", rf"FROM parquet.`{sf_dir}/\1.parquet`", sql.strip()))
 
 

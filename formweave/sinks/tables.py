@@ -83,6 +83,11 @@ class FormStore:
         rows = self.spark.read.schema(schema).parquet(self.table_path(table))
         return rows if with_batch else rows.drop(BATCH)
 
+    def register_views(self) -> None:
+        """A temporary view for every form table, for use in SQL."""
+        for row in self.registry().select("table").distinct().toLocalIterator():
+            self.read(row.table).createOrReplaceTempView(_quoted(row.table))
+
     # -- catalog ---------------------------------------------------------------------------------------
 
     def _sync_catalog(self, table: str, columns: list[str], batch_id: int) -> None:

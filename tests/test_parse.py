@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,6 +72,38 @@ def test_deep_flatten_any_depth(spark):
     assert flat[2] is None and flat[3] == {"": "5"} and flat[4] == {"": "[]"}
 
 
+def test_deep_flatten_equals_a_recursive_walk(spark):
+    rnd = random.Random(5)
+
+    def value(depth):
+        kind = rnd.random()
+        if depth and kind < 0.35:
+            return {rnd.choice(["a", "b c", "k.z", "x[", "q\"", "é", ""]) + str(i): value(depth - 1)
+                    for i in range(rnd.randrange(4))}
+        if depth and kind < 0.6:
+            return [value(depth - 1) for _ in range(rnd.randrange(4))]
+        return rnd.choice([None, True, 7, -3, "s", "{[", "\\", 'say "]"', "", "line\nbreak"])
+
+    def walk(path, node, out):
+        if isinstance(node, dict) and node:
+            for k, v in node.items():
+                odd = any(c in k for c in ".[]")
+                walk(f'{path}["{k}"]' if odd else f"{path}.{k}" if path else k, v, out)
+        elif isinstance(node, list) and node:
+            for i, v in enumerate(node):
+                walk(f"{path}[{i}]", v, out)
+        else:
+            text = {None: "null", True: "true"}.get(node) if not isinstance(node, (dict, list, str, int)) or node is True else None
+            out[path] = text or ("{}" if node == {} else "[]" if node == [] else str(node))
+        return out
+
+    docs = [value(rnd.randrange(1, 16)) for _ in range(300)]
+    docs = [d for d in docs if isinstance(d, (dict, list))]
+    rows = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, d string")
+    for row in flatten.flatten_json(rows, "d").collect():
+        assert row.flat == walk("", docs[row.i], {})
+
+
 def test_split_by_verdict(spark):
     rows = spark.createDataFrame([("1", record()), ("2", "x")], "message_id string, body string")
     forms = parse.read_forms(rows)

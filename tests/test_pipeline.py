@@ -10,7 +10,7 @@ from formweave.plans import publish as plan
 from formweave.schemas import RULES
 from formweave.sinks import files
 from formweave.sinks.tables import FormStore
-from formweave.sources.messages import message_attributes, messages
+from formweave.sources.messages import from_kafka, message_attributes, messages
 from formweave.streaming.pipeline import APPEND_FAILED, TOO_MANY_COLUMNS, IngestPipeline
 from formweave.streaming.retry import with_retries
 
@@ -101,6 +101,33 @@ def test_failed_appends_end_as_errors_and_dead_letters(job, spark, cipher, messa
     assert error.formName == "f" and error.errorFormData.startswith("u/forms/f/")
 
 
+def test_a_form_with_most_rows_is_split_when_staged(job, spark, cipher):
+    run = job()
+    rows = spark.range(4000).select(
+        F.col("id").cast("string").alias("message_id"),
+        F.concat(F.lit('{"formData":{"a":"'), F.sha2(F.col("id").cast("string"), 512),
+                 F.lit('"},"formMetaData":{"organization":"o","team":"t","version":"v","formName":"'),
+                 F.when(F.col("id") % 10 == 0, F.concat(F.lit("f"), F.col("id") % 7)).otherwise("hot"),
+                 F.lit('"}}')).alias("body")).repartition(8)
+    keyed = cipher.with_data_key(rows, "message_id").select(
+        "message_id", F.lit("2024-03-05").cast("timestamp").alias("publish_time"),
+        F.create_map().cast("map<string,string>").alias("attributes"),
+        cipher.seal(F.encode("body", "UTF-8")).alias("payload"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        run.process(keyed, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    staged = spark.read.parquet(f"{run.config.staging}/slot=0")
+    files_of = {r.route: r.n for r in staged.groupBy("route").agg(
+        F.count_distinct(F.col("_metadata.file_path")).alias("n")).collect()}
+    # A small form may share its hash partition with the large one; all others stay whole.
+    assert files_of.pop("hot") >= 4 and list(files_of.values()).count(1) >= 4
+    assert run.store.read("hot").count() == 3600
+    run.store.register_views()
+    assert spark.sql("SELECT count(DISTINCT a) AS n FROM hot").first().n == 3600
+
+
 def test_catalog_tables(job, spark, message_of):
     spark.sql("CREATE DATABASE IF NOT EXISTS forms_db")
     run = job(dataSet="forms_db")
@@ -182,6 +209,16 @@ def test_publish(spark, cipher, tmp_path):
     assert plan.unreadable(requests).count() == 2
 
 
+def test_kafka_records_as_messages(spark):
+    rows = spark.sql("""SELECT cast('k' AS binary) AS key, cast('v' AS binary) AS value, 't' AS topic, 3 AS partition,
+        7L AS offset, timestamp'2024-01-01 00:00:00' AS timestamp, 0 AS timestampType,
+        array(named_struct('key', 'a', 'value', cast('b' AS binary))) AS headers
+        UNION ALL SELECT null, cast('w' AS binary), 't', 3, 8L, timestamp'2024-01-01 00:00:00', 0, null""")
+    got = from_kafka(rows).orderBy("message_id").collect()
+    assert [(r.message_id, r.attributes, bytes(r.payload)) for r in got] == [
+        ("t-3-7", {"a": "b"}, b"v"), ("t-3-8", {}, b"w")]
+
+
 def test_options():
     config = ingest_config(["--inputSubscription=topic", "--root=/x", "--keyId=k2", "--waits=1,2", "--maxColumns=5",
                             "--startingOffsets=earliest"])
