@@ -60,6 +60,7 @@ class IngestConfig:
     retry: RetryConfig = RetryConfig()
     maxColumns: int = 10_000
     onDeidError: str = "reject"
+    collision: str = "reject"
     layout: str = "auto"
     parallelForms: int = 8
     triggerSeconds: int = 10

@@ -16,4 +16,4 @@ def observed(rows: DataFrame, name: str = "ingest") -> tuple[DataFrame, Observat
 def counts_by_form(rows: DataFrame) -> DataFrame:
     return rows.groupBy("formName").agg(
         F.count(F.lit(1)).alias("messages"), F.count_if(F.col("error").isNotNull()).alias("rejected"),
-        F.sum(F.coalesce(F.size("columns"), F.lit(0))).cast("bigint").alias("fields"))
+        F.sum(F.when(F.col("columns").isNotNull(), F.size("columns")).otherwise(0)).cast("bigint").alias("fields"))

@@ -108,15 +108,33 @@ def name_error(names: Column) -> Column:
             .when(distinct < F.size(names), F.lit(COLLISION)))
 
 
-def with_columns_map(forms: DataFrame) -> DataFrame:
+def last_of_each(names: Column, texts: Column) -> Column:
+    """MAP<name, text> that keeps the last entry of names that are the same but for case."""
+    lowered = F.transform(names, F.lower)
+
+    def is_last(_: Column, i: Column) -> Column:
+        return ~F.array_contains(F.slice(lowered, i + 2, F.size(names)), F.get(lowered, i))
+
+    entries = F.zip_with(names, texts, lambda n, t: F.struct(n.alias("key"), t.alias("value")))
+    return F.map_from_entries(F.filter(entries, is_last))
+
+
+def with_columns_map(forms: DataFrame, collision: str = "reject") -> DataFrame:
     """Add `columns` (normalised names to text) and complete `error`. Form values are already text, so only
-    the metadata can still be nested. Each step is a projection of its own, so nothing is computed twice."""
+    the metadata can still be nested. Each step is a projection of its own, so nothing is computed twice.
+
+    Two keys that give one column reject the message; ``collision="last"`` keeps the last one.
+    """
     rows = forms.withColumn("odd", odd_metadata())
     rows = rows.withColumn("error", F.when(F.col("error").isNull(), metadata_error(F.col("odd"))).otherwise(F.col("error")))
     rows = rows.withColumn("flat", F.when(F.col("error").isNull(), flat_metadata(F.col("odd"))))
     paths = F.concat(F.map_keys("values"), F.map_keys("flat"))
     rows = rows.withColumn("names", F.transform(paths, column_name))
-    rows = rows.withColumn("error", F.coalesce("error", name_error(F.col("names"))))
+    problem = name_error(F.col("names"))
+    if collision == "last":
+        problem = F.nullif(problem, F.lit(COLLISION))
+    rows = rows.withColumn("error", F.coalesce("error", problem))
     texts = F.concat(F.map_values("values"), F.map_values("flat"))
-    columns = F.when(F.col("error").isNull(), F.map_from_arrays("names", texts))
+    named = F.map_from_arrays("names", texts) if collision == "reject" else last_of_each(F.col("names"), texts)
+    columns = F.when(F.col("error").isNull(), named)
     return rows.withColumn("columns", columns).drop("odd", "flat", "names", "values", "meta_doc")

@@ -15,7 +15,7 @@ from formweave.schemas import REJECTED_ROUTE, STAGED
 
 
 def stage(messages: DataFrame, rules: DataFrame, cipher: EnvelopeCipher, base_url: str, bucket: str,
-          on_deid_error: str = "reject") -> DataFrame:
+          on_deid_error: str = "reject", collision: str = "reject") -> DataFrame:
     """Open, parse, validate, name the archive object, seal protected fields and name the columns.
 
     Every message comes out once. `file_url` is set once stage 1 accepted it, `error` says why it was
@@ -25,7 +25,7 @@ def stage(messages: DataFrame, rules: DataFrame, cipher: EnvelopeCipher, base_ur
     url = archive_url(base_url, bucket, "formName", "publish_time", "message_id")
     forms = forms.withColumn("file_url", F.when(F.col("error").isNull(), url))
     sealed = deidentify(forms, rules_by_form(rules), cipher, on_deid_error)
-    rows = with_columns_map(sealed)
+    rows = with_columns_map(sealed, collision)
     route = F.when(F.col("error").isNull(), table_name("formName")).otherwise(F.lit(REJECTED_ROUTE))
     return rows.withColumns({
         "month": F.date_format("publish_time", "yyyy-MM"), "day": F.dayofmonth("publish_time"), "route": route,

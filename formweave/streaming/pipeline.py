@@ -35,6 +35,9 @@ log = logging.getLogger(__name__)
 APPEND_FAILED = "Exceeded rate limits: too many table update operations for this table"
 TOO_MANY_COLUMNS = "COLUMNS: the table would have too many columns"
 
+# Batches whose counts are kept.
+KEPT_COUNTS = 1000
+
 # Up to this many known tables each task may write its own file per table; beyond, rows are gathered by table.
 SCATTER_TABLES = 32
 
@@ -61,7 +64,7 @@ class IngestPipeline:
     def process(self, messages: DataFrame, batch_id: int) -> None:
         """One micro-batch, or a whole backlog as batch 0. Safe to repeat."""
         if messages.isEmpty():
-            self.counts[batch_id] = {"messages": 0, "rejected": 0}
+            self._count(batch_id, {"messages": 0, "rejected": 0})
             return
         self.cipher.rotate()
         staged = self._stage(messages, batch_id)
@@ -83,7 +86,7 @@ class IngestPipeline:
     def _stage(self, messages: DataFrame, batch_id: int) -> DataFrame:
         config = self.config
         rows = stage(spread(messages), current_rules(self.spark, config.rules), self.cipher, config.baseUrl,
-                     config.bucketName, config.onDeidError)
+                     config.bucketName, config.onDeidError, config.collision)
         rows, seen = observed(rows, f"ingest-{batch_id}")
         if self._gather_by_table():
             # Adaptive execution merges the partitions of small tables and splits those of a table with many
@@ -91,9 +94,16 @@ class IngestPipeline:
             rows = rows.hint("rebalance", "route", "month", "day")
         path = f"{config.staging}/slot={batch_id % 2}"
         rows.write.mode("overwrite").partitionBy("route").parquet(path)
-        self.counts[batch_id] = seen.get
+        self._count(batch_id, seen.get)
         return self.spark.read.schema(STAGED).parquet(path)
 
+    def _count(self, batch_id: int, seen: dict[str, int]) -> None:
+        """Keep the counts of the latest batches, and log them."""
+        log.info("batch %s: %s", batch_id, seen)
+        self.counts[batch_id] = seen
+        while len(self.counts) > KEPT_COUNTS:
+            del self.counts[next(iter(self.counts))]
+
     def _gather_by_table(self) -> bool:
         if self.config.layout != "auto":
             return self.config.layout == "rebalance"

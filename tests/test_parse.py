@@ -54,6 +54,15 @@ def test_null_header_reads_as_text_and_passes(spark):
     assert row.error is None and row.columns["formMetaData_organization"] == "null"
 
 
+def test_last_of_colliding_keys(spark):
+    body = record(form={"a.b": 1, "c": 0, "a-b": 2, "A b": 3, "Ab": 4, "formMetaData.team": 5})
+    rows = parse.read_forms(spark.createDataFrame([("1", body), ("2", record(form={" ": 1}))], "message_id string, body string"))
+    got = {r.message_id: r for r in flatten.with_columns_map(rows, "last").collect()}
+    columns = got["1"].columns
+    assert got["1"].error is None and columns["formMetaData_team"] == "t" and columns["c"] == "0"
+    assert len(columns) == len({c.lower() for c in columns}) == 7 and got["2"].error == flatten.EMPTY_NAME
+
+
 def test_columns_of_an_accepted_form(spark):
     body = record(form={"full name": "x", "k.z": None, "o": {"p": [1, 2]}, "FormMetadata": 3}, geo={"la.t": [1, {}]})
     assert judged(spark, body)[0].columns == {
