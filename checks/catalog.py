@@ -52,7 +52,8 @@ def _parsed(spark: SparkSession, sf: str, sql: str = fx.MESSAGES) -> DataFrame:
 
 def _columns(spark: SparkSession, sf: str, sql: str = fx.MESSAGES) -> DataFrame:
     """Accepted messages with their columns, nothing sealed."""
-    rows = accepted(flatten.with_columns_map(_read(spark, sf, sql)), "message_id", "publish_time", "formName", "columns")
+    rows = accepted(flatten.with_columns_map(_read(spark, sf, sql)),
+                    "message_id", "publish_time", "formName", "columns")
     return rows.withColumn("route", text.table_name("formName"))
 
 
@@ -555,7 +556,8 @@ def _by_technique(spark: SparkSession, sf: str, technique: str) -> DataFrame:
     pairs = F.transform(F.map_entries("values"), lambda e: F.struct(
         e["key"].alias("field"), e["value"].alias("stored"), F.col("plain")[e["key"]].alias("plain")))
     hidden = F.filter(pairs, lambda p: p["stored"] != p["plain"])
-    return forms.select("message_id", F.inline(hidden)).select("message_id", "field", cipher.open_text("stored").alias("value"))
+    rows = forms.select("message_id", F.inline(hidden))
+    return rows.select("message_id", "field", cipher.open_text("stored").alias("value"))
 
 
 @query

@@ -126,7 +126,8 @@ def with_columns_map(forms: DataFrame, collision: str = "reject") -> DataFrame:
     Two keys that give one column reject the message; ``collision="last"`` keeps the last one.
     """
     rows = forms.withColumn("odd", odd_metadata())
-    rows = rows.withColumn("error", F.when(F.col("error").isNull(), metadata_error(F.col("odd"))).otherwise(F.col("error")))
+    rows = rows.withColumn("error", F.when(F.col("error").isNotNull(), F.col("error"))
+                           .otherwise(metadata_error(F.col("odd"))))
     rows = rows.withColumn("flat", F.when(F.col("error").isNull(), flat_metadata(F.col("odd"))))
     paths = F.concat(F.map_keys("values"), F.map_keys("flat"))
     rows = rows.withColumn("names", F.transform(paths, column_name))

@@ -121,6 +121,9 @@ def apply_changes(rules: DataFrame, changes: DataFrame) -> DataFrame:
     A deletion marks every rule of its (form, field, technique). An upsert adds a rule with empty info, if no
     rule of its (form, field) is active at that point.
     """
+    # The changes are used in several places; read them, and decide which upserts count, only once.
+    shared_dir(changes.sparkSession)
+    changes = changes.checkpoint()
     upserts, deletions = changes.where("action = 'U'").drop("action"), changes.where("action = 'D'").drop("action")
     spans = deletions.groupBy(*RULE).agg(F.min("pos").alias("first_del"), F.max("pos").alias("last_del"))
 

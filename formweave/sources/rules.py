@@ -27,8 +27,8 @@ def current_rules(spark: SparkSession, path: str) -> DataFrame:
 def rule_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Rows of a rule CSV (a file or a folder of files, each with one header line).
 
-    `_corrupt` holds lines that have not exactly four cells; to tell, the parser must not prune columns. `pos` orders the rows as in the file: by file,
-    then by the start of the split, then by the row's place in it.
+    `_corrupt` holds lines that have not exactly four cells; to tell, the parser must not prune columns. `pos`
+    orders the rows as in the file: by file, then by the start of the split, then by the row's place in it.
     """
     schema = T.StructType([*RULES.fields, T.StructField("_corrupt", T.StringType())])
     rows = (spark.read.schema(schema).option("header", "true").option("quote", '"').option("escape", '"')
