@@ -104,15 +104,19 @@ def _inserting(upserts: DataFrame, deletions: DataFrame) -> DataFrame:
              .unionByName(removed.select(*KEY, F.col("gone").alias("pos"), no_pos.alias("upsert")).distinct()))
     behind = nearest_behind(marks, KEY, "upsert", "next").where("upsert is null and next is not null")
     links = removed.join(behind.select(*KEY, F.col("pos").alias("gone"), "next"), [*KEY, "gone"])
-    links = links.select(*KEY, "pos", "next").checkpoint()
-
-    reached = upserts.groupBy(*KEY).agg(F.min("pos").alias("pos"))
-    while not links.isEmpty():
-        ahead = reached.join(links, [*KEY, "pos"]).select(*KEY, F.col("next").alias("pos"))
-        reached = reached.unionByName(ahead).checkpoint()
+    links = links.select(*KEY, "pos", "next")
+
+    # One table holds both: known insertions have no `next`, links have one.
+    no_next = no_pos.alias("next")
+    state = upserts.groupBy(*KEY).agg(F.min("pos").alias("pos")).select(*KEY, "pos", no_next).unionByName(links)
+    state = state.checkpoint()
+    while not state.where("next is not null").isEmpty():
+        reached, links = state.where("next is null"), state.where("next is not null")
+        ahead = reached.drop("next").join(links, [*KEY, "pos"]).select(*KEY, F.col("next").alias("pos"), no_next)
         beyond = links.select(*KEY, F.col("pos").alias("next"), F.col("next").alias("after"))
-        links = links.join(beyond, [*KEY, "next"]).select(*KEY, "pos", F.col("after").alias("next")).checkpoint()
-    return reached
+        jumps = links.join(beyond, [*KEY, "next"]).select(*KEY, "pos", F.col("after").alias("next"))
+        state = reached.unionByName(ahead).unionByName(jumps).checkpoint()
+    return state.select(*KEY, "pos")
 
 
 def apply_changes(rules: DataFrame, changes: DataFrame) -> DataFrame:

@@ -31,15 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
 
     A machine-local folder is only ever chosen in local mode, where it is shared by construction.
     """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="formweave-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    if context.getCheckpointDir() is None:
+        if not configured:
+            if not context.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+            configured = tempfile.mkdtemp(prefix="formweave-")
+        context.setCheckpointDir(configured)
+    return configured or context.getCheckpointDir()
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -8,6 +8,7 @@ from formweave.functions.crypto import EnvelopeCipher
 from formweave.operators import evolve
 from formweave.plans import publish as plan
 from formweave.schemas import RULES
+from formweave.session import shared_dir
 from formweave.sinks import files
 from formweave.sinks.tables import FormStore
 from formweave.sources.messages import from_kafka, message_attributes, messages
@@ -219,6 +220,32 @@ def test_kafka_records_as_messages(spark):
         ("t-3-7", {"a": "b"}, b"v"), ("t-3-8", {}, b"w")]
 
 
+def test_shared_folder_is_the_sessions_or_a_local_one():
+    class Context:
+        master, made = "spark://host", None
+
+        def getCheckpointDir(self):
+            return self.made
+
+        def setCheckpointDir(self, path):
+            self.made = path
+
+    class Session:
+        def __init__(self, configured):
+            self.sparkContext, self.conf = Context(), self
+            self.configured = configured
+
+        def get(self, _, default):
+            return self.configured or default
+
+    assert shared_dir(Session("/shared")) == "/shared"
+    with pytest.raises(RuntimeError):
+        shared_dir(Session(None))
+    local = Session(None)
+    local.sparkContext.master = "local[2]"
+    assert shared_dir(local) == shared_dir(local) == local.sparkContext.made
+
+
 def test_options():
     config = ingest_config(["--inputSubscription=topic", "--root=/x", "--keyId=k2", "--waits=1,2", "--maxColumns=5",
                             "--startingOffsets=earliest"])
