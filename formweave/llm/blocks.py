@@ -1,6 +1,6 @@
 """Helpers of the operators: blocks of text as byte arrays inside a task, and tables kept in the shared folder.
 
-A task sees its rows in blocks of a few MB, so the arrays made from a block stay bounded however many rows the
+A task sees its rows in blocks of half a MB, so the arrays made from a block stay bounded however many rows the
 task has; a block holds at least one whole text.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from formweave.session import fresh_dir
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 500_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 

@@ -1,6 +1,6 @@
 """Benchmark decontamination with suffix arrays over the training texts.
 
-Each task cuts its documents into shards of a few MB and builds, per shard, the array of word suffixes in
+Each task cuts its documents into shards of half a MB and builds, per shard, the array of word suffixes in
 lexicographic order, as deep as a window is long. Every suffix of every benchmark item is then binary-searched:
 the search narrows the range of suffixes that agree with it word by word, which yields the longest verbatim match
 and all its places. A place that matches a whole window marks its words as hit.

@@ -7,14 +7,17 @@ register from another one by a fixed probe order, so that small sets fill all re
 with the probability of their similarity.
 
 Registers are banded, four to a band. At a similarity of 0.8 two sets share none of the 32 bands with a
-probability of 5e-8. Within a band's bucket not all pairs are made: all members are compared with the bucket's
-pivots, in rounds. Members that a round links have one label and need no comparison with each other; a pivot has
-been compared with all others and leaves. Each round takes four times as many pivots, until every bucket holds one
-label only. So every pair of a bucket is either compared or already connected, and groups of thousands of near
-copies take a few comparisons per member.
-
-A pair is first judged by the similarity its registers estimate, with the agreements that chance explains taken
-out, and dropped if that is 6 standard deviations below the threshold; all others are confirmed on the full sets.
+probability of 5e-8. Sets that share a band are compared in two steps:
+
+1. Each member of a band's bucket with the bucket's least member. The confirmed links are closed to components,
+   which turns groups of thousands of near copies into one label each, with one comparison per member and bucket.
+2. In buckets that still hold several labels, all members with different labels. Such buckets are cut into blocks
+   of at most about 1,024 members, pairs of blocks are dealt over the cluster, and a task reports only the pairs
+   that pass its filters: sizes that allow the threshold, a similarity estimated from the registers, with the
+   agreements that chance explains taken out, no more than 6 standard deviations below it, and then the sets
+   themselves in 32-bit hashes. Neither the pairs of a bucket nor whole buckets are ever rows or groups.
+
+So each pair that shares a band is either compared or already connected. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -23,15 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.blocks import (LOWERED, SPACES, U64, Block, Spans, block_of, blocks, materialise, mix, ship,
+from formweave.llm.blocks import (LOWERED, SPACES, U64, Block, Spans, blocks, materialise, mix, shuffle_partitions, ship,
                                   sort_within, sums_by, words)
 
 REGISTERS, BAND = 128, 4
 MANTISSA = 10
 SMALL_TABLE = 32 << 20
+BLOCK = 1024
 
 
 # ---- sets and sketches -------------------------------------------------------------------------------------
@@ -120,18 +124,23 @@ def estimate(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndar
     return np.clip((share - chance) / (1 - chance), 0, 1), used
 
 
+def set_ids(values: np.ndarray, texts: np.ndarray, n: int) -> list[bytes]:
+    """16 bytes that tell a set, whatever the order of its members."""
+    sums = (sums_by(values, texts, n), sums_by(mix(values ^ U64(0xA5A5A5A5A5A5A5A5)), texts, n))
+    data = np.stack(sums, 1).astype(">u8").tobytes()
+    return [data[16 * i: 16 * i + 16] for i in range(n)]
+
+
 def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, block in blocks(batch, "text"):
             n = len(block.texts)
             values, texts, sizes = shingle_sets(block, width)
-            one = sums_by(values, texts, n)
-            two = sums_by(mix(values ^ U64(0xA5A5A5A5A5A5A5A5)), texts, n)
-            keys = np.stack([one, two], 1).astype(">u8").tobytes()
+            ids = set_ids(values, texts, n)
             regs = registers(values, texts, n).astype("<u2")
             yield pa.record_batch([
                 batch.column(0).slice(rows.start, n), pa.array(sizes, pa.int64()),
-                pa.array([keys[16 * i: 16 * i + 16] if sizes[i] else None for i in range(n)], pa.binary()),
+                pa.array([ids[i] if sizes[i] else None for i in range(n)], pa.binary()),
                 pa.array([r.tobytes() for r in regs], pa.binary())], names=["doc_id", "n_shingles", "set_id", "regs"])
 
 
@@ -147,32 +156,88 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                   names=["band", "key", "set_id"])
 
 
-# ---- verification ------------------------------------------------------------------------------------------
+# ---- comparing ---------------------------------------------------------------------------------------------
 
 
-def _confirm(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+def may_link(size_a: np.ndarray, size_b: np.ndarray, regs_a: np.ndarray, regs_b: np.ndarray,
+             percent: int) -> np.ndarray:
+    """Pairs that sizes and registers do not rule out."""
     threshold = percent / 100
+    possible = 100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)
+    at = np.flatnonzero(possible)
+    guess, used = estimate(regs_a[at], regs_b[at], size_a[at], size_b[at])
+    possible[at] = guess >= threshold - 6 * np.sqrt(threshold * (1 - threshold) / np.maximum(used, 1))
+    return possible
+
+
+def similar(a: np.ndarray, b: np.ndarray, percent: int, lost: int = 0) -> bool:
+    """Whether two sorted sets reach the threshold; ``lost`` members, equal to others in short hashes, may be common."""
+    common = len(a) + len(b) - len(np.union1d(a, b)) + lost
+    return 100 * common >= percent * (len(a) + len(b) + lost - common)
+
+
+def _regs(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), REGISTERS)
+
+
+def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
-            n = part.num_rows
             col = {name: part.column(i) for i, name in enumerate(part.schema.names)}
-            regs_a, regs_b = (np.frombuffer(b"".join(col[x].to_pylist()), "<u2").reshape(n, REGISTERS)
-                              for x in ("regs_a", "regs_b"))
-            size_a, size_b = (col[x].to_numpy(zero_copy_only=False) for x in ("n_a", "n_b"))
-            guess, used = estimate(regs_a, regs_b, size_a, size_b)
-            margin = 6 * np.sqrt(threshold * (1 - threshold) / np.maximum(used, 1))
-            close = (guess >= threshold - margin) & (100 * np.minimum(size_a, size_b)
-                                                     >= percent * np.maximum(size_a, size_b))
-            keep = []
-            texts = [col[x].cast(pa.large_binary()).to_pylist() for x in ("text_a", "text_b")]
-            for i in np.flatnonzero(close):
-                values, owner, sizes = shingle_sets(block_of([texts[0][i], texts[1][i]]), width)
-                common = sizes.sum() - len(np.unique(values))
-                if 100 * common >= percent * (sizes.sum() - common):
-                    keep.append(int(i))
-            yield pa.record_batch([col["a"].take(pa.array(keep, pa.int64())),
-                                   col["b"].take(pa.array(keep, pa.int64()))], names=["a", "b"])
+            sizes = [col[x].to_numpy(zero_copy_only=False) for x in ("n_a", "n_b")]
+            close = may_link(*sizes, _regs(col["regs_a"]), _regs(col["regs_b"]), percent)
+            sets = [col[x].to_pylist() for x in ("set_a", "set_b")]
+            keep = pa.array([int(i) for i in np.flatnonzero(close) if similar(
+                np.frombuffer(sets[0][i], "<u8"), np.frombuffer(sets[1][i], "<u8"), percent)], pa.int64())
+            yield pa.record_batch([col["a"].take(keep), col["b"].take(keep)], names=["a", "b"])
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs with different labels within one block or between two; rows come sorted by bucket and pair of blocks.
+    A pair is reported in the first band it shares only."""
+    held: list[dict] = []
+    names = ("band", "key", "low", "high")
+
+    def compare(rows: list[dict]) -> pa.RecordBatch | None:
+        band, low, high = rows[0]["band"], rows[0]["low"], rows[0]["high"]
+        regs = np.frombuffer(b"".join(r["regs"] for r in rows), "<u2").reshape(len(rows), REGISTERS)
+        bands = np.ascontiguousarray(densified(regs)).view("<u8")
+        sizes = np.array([r["n"] for r in rows])
+        block = np.array([r["block"] for r in rows])
+        _, label = np.unique([r["label"] for r in rows], return_inverse=True)
+        sets = [np.frombuffer(r["set"], "<u4") for r in rows]
+        lost = sizes - np.array([len(x) for x in sets])
+        found = []
+        for i in range(len(rows) - 1):
+            other = np.flatnonzero(label[i + 1:] != label[i]) + i + 1
+            if low != high:
+                other = other[block[other] != block[i]]
+            if band:
+                other = other[~(bands[other, :band] == bands[i, :band]).any(1)]
+            if not len(other):
+                continue
+            n = len(other)
+            close = may_link(np.full(n, sizes[i]), sizes[other], np.broadcast_to(regs[i], (n, REGISTERS)), regs[other],
+                             percent)
+            found += [(i, int(j)) for j in other[close] if similar(sets[i], sets[j], percent, int(lost[i] + lost[j]))]
+        if not found:
+            return None
+        return pa.record_batch([pa.array([rows[i]["set_id"] for i, _ in found], pa.binary()),
+                                pa.array([rows[j]["set_id"] for _, j in found], pa.binary())], names=["a", "b"])
+
+    for batch in batches:
+        for item in batch.to_pylist():
+            if held and any(held[0][x] != item[x] for x in names):
+                out = compare(held)
+                if out is not None:
+                    yield out
+                held = []
+            held.append(item)
+    if held:
+        out = compare(held)
+        if out is not None:
+            yield out
 
 
 # ---- components --------------------------------------------------------------------------------------------
@@ -224,8 +289,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     linked with nothing and kept; its component is its own id. Repeated rows are one document. The component is the
     least id reachable; a null id counts as no id.
     """
-    spark: SparkSession = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     rows = docs.select("doc_id", "text")
     kind = dict(rows.dtypes)["doc_id"]
     sketches = materialise(rows.mapInArrow(lambda b: _sketch(b, width), f"doc_id {kind}, n_shingles bigint, "
@@ -249,93 +313,72 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between classes: enough of them to connect whatever is linked."""
+    spark = rows.sparkSession
     bands = classes.select("set_id", "regs").mapInArrow(_bands, "band smallint, key bigint, set_id binary")
-    crowded = bands.groupBy("band", "key").agg(F.count("*").alias("members")).where("members > 1")
-    members = materialise(bands.join(crowded.select("band", "key"), ["band", "key"], "left_semi"), "buckets")
+    crowded = bands.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("set_id").alias("least")).where(
+        "size > 1")
+    members = materialise(bands.join(crowded, ["band", "key"]), "buckets")
 
     wanted = classes.join(members.select("set_id").distinct(), "set_id", "left_semi")
-    wanted = materialise(wanted.select("set_id", "rep", "n", "regs"), "wanted")
-    texts = rows.select(F.col("doc_id").alias("rep"), "text").where("text IS NOT NULL")
-    reps = _small(wanted.select("set_id", "rep"), wanted.count(), 64)
-    # An id that stands on rows with different texts brings all of them; the confirmation needs the right one.
-    candidates = texts.join(reps, "rep").mapInArrow(
-        lambda b: _own_text(b, width), "set_id binary, text string").dropDuplicates(["set_id"])
-    candidates = materialise(wanted.drop("rep").join(candidates, "set_id"), "candidates")
-
-    links = None
-    labels = None
-    round_no = 0
-    while True:
-        if labels is None:
-            now = members.withColumn("label", F.col("set_id"))
-        else:
-            now = members.join(labels, F.col("set_id") == F.col("node"), "left").select(
-                "band", "key", "set_id", F.coalesce("label", "set_id").alias("label"))
-        buckets = now.groupBy("band", "key").agg(
-            F.count("*").alias("size"), F.min("set_id").alias("first"), F.min("label").alias("low"),
-            F.max("label").alias("high")).where("low <> high").drop("low", "high")
-        now = materialise(now.join(buckets, ["band", "key"]), "open-buckets")
-        if now.isEmpty():
-            break
-        lot = F.pmod(F.xxhash64("set_id", F.lit(round_no)), F.ceil(F.col("size") / (4.0 ** round_no)))
-        now = now.withColumn("is_pivot", (F.col("set_id") == F.col("first")) | ((lot == 0) if round_no else F.lit(False)))
-        pivots = now.where("is_pivot").select("band", "key", F.col("set_id").alias("a"), F.col("label").alias("of_a"))
-        pairs = now.join(pivots, ["band", "key"]).where("label <> of_a").select(
-            F.least("a", "set_id").alias("a"), F.greatest("a", "set_id").alias("b")).distinct()
-        found = materialise(_confirmed(_nearest_first(pairs), candidates, width, percent), "confirmed")
-        # What the nearest pivot has not linked is compared with the others.
-        labels = _relabelled(links, found)
-        rest = _still_apart(pairs, labels).join(_nearest_first(pairs), ["a", "b"], "left_anti")
-        rest = materialise(rest, "other-pivots")
-        links = found if links is None else links.unionByName(found)
-        if not rest.isEmpty():
-            links = links.unionByName(materialise(_confirmed(rest, candidates, width, percent), "confirmed"))
-            labels = components(links)
-        members = now.where("NOT is_pivot").select("band", "key", "set_id")
-        round_no += 1
-    if links is None:
-        links = members.select(F.col("set_id").alias("a"), F.col("set_id").alias("b")).where(F.lit(False))
-    return links
-
-
-def _nearest_first(pairs: DataFrame) -> DataFrame:
-    """For each member the pair with the least partner."""
-    return pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-
-
-def _relabelled(links: DataFrame | None, found: DataFrame) -> DataFrame:
-    return components(found if links is None else links.unionByName(found))
-
-
-def _still_apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    left = labels.select(F.col("node").alias("a"), F.col("label").alias("of_a"))
-    right = labels.select(F.col("node").alias("b"), F.col("label").alias("of_b"))
-    return pairs.join(left, "a", "left").join(right, "b", "left").where(
-        F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-
-
-def _confirmed(pairs: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
-    def side(x: str) -> DataFrame:
-        return candidates.select(F.col("set_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("regs").alias(f"regs_{x}"),
-                                 F.col("text").alias(f"text_{x}"))
-
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
-    return both.mapInArrow(lambda b: _confirm(b, width, percent), "a binary, b binary")
-
-
-def _own_text(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """set_id and text of the rows whose text has that set."""
+    wanted = materialise(wanted.select("set_id", "rep"), "wanted")
+    reps = _small(wanted.withColumnRenamed("set_id", "want"), wanted.count(), 64)
+    texts = rows.where("text IS NOT NULL").join(reps, F.col("doc_id") == F.col("rep")).select("want", "text")
+    # An id that stands on rows with different texts brings all of them; those with another set are left out.
+    sets = materialise(texts.mapInArrow(
+        lambda b: _full_sets(b, width), "set_id binary, n bigint, regs binary, hashes binary")
+        .dropDuplicates(["set_id"]), "sets")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        def side(x: str) -> DataFrame:
+            return sets.select(F.col("set_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("regs").alias(f"regs_{x}"),
+                               F.col("hashes").alias(f"set_{x}"))
+
+        both = pairs.join(side("b"), "b").join(side("a"), "a")
+        return materialise(both.mapInArrow(lambda b: _confirm(b, percent), "a binary, b binary"), "confirmed")
+
+    stars = members.where("set_id <> least").select(F.col("least").alias("a"), F.col("set_id").alias("b")).distinct()
+    links = confirmed(stars)
+
+    labels = components(links)
+    now = members.select("band", "key", "size", "set_id").join(
+        labels, F.col("set_id") == F.col("node"), "left").select(
+        "band", "key", "size", "set_id", F.coalesce("label", "set_id").alias("label"))
+    mixed = now.groupBy("band", "key").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.max("size").alias(
+        "s")).where("l <> h AND s > 2").select("band", "key")
+    n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("set_id"), F.col("n_blocks")).cast("int")
+    now = now.join(mixed, ["band", "key"], "left_semi").withColumn("n_blocks", n_blocks).withColumn("block", block)
+    full = sets.mapInArrow(_short_sets, "of binary, n bigint, regs binary, set binary")
+    dealt = now.join(full, F.col("set_id") == F.col("of")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
+        "band", "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block",
+        "set_id", "label", "n", "regs", "set")
+    order = ["band", "key", "low", "high"]
+    pairs = dealt.repartition(shuffle_partitions(spark), *order).sortWithinPartitions(*order).mapInArrow(
+        lambda b: _block_pairs(b, percent), "a binary, b binary")
+    return links.unionByName(confirmed(pairs.distinct()))
+
+
+def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Set, registers and size of the rows whose text has the wanted set."""
     for batch in batches:
-        names = batch.schema.names
-        texts = batch.column(names.index("text"))
+        wanted = batch.column(0).to_pylist()
         for rows, block in blocks(batch, "text"):
             n = len(block.texts)
-            values, owner, _ = shingle_sets(block, width)
-            one = sums_by(values, owner, n)
-            two = sums_by(mix(values ^ U64(0xA5A5A5A5A5A5A5A5)), owner, n)
-            keys = np.stack([one, two], 1).astype(">u8").tobytes()
-            ids = batch.column(names.index("set_id")).slice(rows.start, n).to_pylist()
-            keep = [i for i in range(n) if ids[i] == keys[16 * i: 16 * i + 16]]
-            yield pa.record_batch([pa.array([ids[i] for i in keep], pa.binary()),
-                                   texts.slice(rows.start, n).take(pa.array(keep, pa.int64())).cast(pa.string())],
-                                  names=["set_id", "text"])
+            values, texts, sizes = shingle_sets(block, width)
+            ids = set_ids(values, texts, n)
+            regs = registers(values, texts, n).astype("<u2")
+            first = np.concatenate([[0], np.cumsum(sizes)])
+            keep = [i for i in range(n) if ids[i] == wanted[rows.start + i]]
+            yield pa.record_batch([
+                pa.array([ids[i] for i in keep], pa.binary()), pa.array(sizes[keep], pa.int64()),
+                pa.array([regs[i].tobytes() for i in keep], pa.binary()),
+                pa.array([values[first[i]: first[i + 1]].astype("<u8").tobytes() for i in keep], pa.binary())],
+                names=["set_id", "n", "regs", "hashes"])
+
+
+def _short_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets in the upper halves of their hashes, which stay sorted."""
+    for batch in batches:
+        short = [np.unique(np.frombuffer(x, "<u8") >> U64(32)).astype("<u4").tobytes() for x in batch.column(3).to_pylist()]
+        yield pa.record_batch([*batch.columns[:3], pa.array(short, pa.binary())], names=["of", "n", "regs", "set"])
