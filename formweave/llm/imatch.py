@@ -1,10 +1,14 @@
 """Document fingerprints by I-Match with randomised lexicons.
 
 The lexicon holds the terms whose document frequency lies in a band: rare enough to tell, frequent enough to be
-shared. From it several sub-lexicons are drawn by hash, at rates from one term in four to one in 256. For each
+shared. From it several sub-lexicons are drawn by hash, at rates from one term in four to one in 1,024. For each
 sub-lexicon the distinct terms a document has in it are sorted and hashed; the fingerprint is the row of these
-hashes. Where few terms change, most sub-lexicons have none of them and keep their hash, so the share of equal
-hashes measures likeness. A document with fewer than ``LEAST`` lexicon terms uses all of its terms instead.
+hashes. A document with fewer than ``LEAST`` lexicon terms uses all of its terms instead.
+
+Where few terms change, many sub-lexicons have none of them and keep their hash. Whether a sub-lexicon is small
+enough to show that depends on the document's length, so likeness is the share of equal hashes at the rate where it
+is highest, among the rates at which at least ``USED`` sub-lexicons have a term of either document. With about one
+term in a sub-lexicon that share is the share of common terms.
 
 Frequencies are exact over all documents, in two passes. A term in a share ``low`` of all documents is in that
 share of some task's documents, so the first pass keeps what reaches it in any task, and the second counts only
@@ -16,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +30,9 @@ from pyspark.sql import functions as F
 from formweave.llm.blocks import (LOWERED, SPACES, U64, Block, Spans, block_of, blocks, materialise, mix, ship,
                                   shuffle_partitions, sort_within, words)
 
-LOW, HIGH = 0.001, 0.2
-RATES = (4, 16, 64, 256)
-PER_RATE = 16
-SUBSETS = len(RATES) * PER_RATE
-LEAST = 4
+LOW, HIGH = 0.001, 0.05
+RATES = {4: 16, 16: 16, 64: 32, 256: 32, 1024: 32}  # sub-lexicons with one term in so many
+LEAST, USED = 4, 6
 SLICE = 4_000_000  # terms that go to a task at once
 
 
@@ -100,16 +101,20 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> np.ndarray
 # ---- fingerprints ------------------------------------------------------------------------------------------
 
 
-@cache
-def _subsets() -> tuple[np.ndarray, np.ndarray]:
-    """Seed and bound of each sub-lexicon: a term is in it if its hash with the seed is below the bound."""
-    seeds = mix(np.arange(1, SUBSETS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
-    bounds = np.repeat(np.array([(1 << 64) // r for r in RATES], U64), PER_RATE)
-    return seeds, bounds
+def subsets(terms: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """For each draw the sub-lexicon of each term, and their number; terms from that number on are in none. A draw
+    at a rate makes as many disjoint sub-lexicons as are wanted at it, or as the rate allows."""
+    draw = 0
+    for rate, wanted in RATES.items():
+        while wanted > 0:
+            draw += 1
+            seed = mix(np.array([draw], U64) * U64(0x9E3779B97F4A7C15))[0]
+            yield (mix(terms ^ seed) % U64(rate)).astype(np.int64), min(wanted, rate)
+            wanted -= rate
 
 
 def fingerprints(block: Block, terms: np.ndarray) -> np.ndarray:
-    """One row of 16-bit hashes per text, 0 where it has no term in the sub-lexicon."""
+    """One row of 8-bit hashes per text, 0 where it has no term in the sub-lexicon."""
     n = len(block.texts)
     found, owner = distinct_terms(block)
     at = np.minimum(np.searchsorted(terms, found), max(len(terms) - 1, 0))
@@ -117,27 +122,35 @@ def fingerprints(block: Block, terms: np.ndarray) -> np.ndarray:
     enough = np.bincount(owner[known], minlength=n) >= LEAST
     use = known | ~enough[owner]
     found, owner = found[use], owner[use]
-    out = np.zeros((n, SUBSETS), U64)
-    first = np.flatnonzero(np.diff(owner, prepend=-1))
-    if not len(first):
-        return out.astype(np.uint16)
     # The hash of a sorted list of distinct terms: the sum of their mixed values, mixed again.
     value = mix(found ^ U64(0x5851F42D4C957F2D))
-    for k, (seed, bound) in enumerate(zip(*_subsets())):
-        inside = np.where(mix(found ^ seed) < bound, value, U64(0))
-        out[owner[first], k] = np.add.reduceat(inside, first)
-    return np.where(out == 0, U64(0), (mix(out) % U64(65535)) + U64(1)).astype(np.uint16)
+    parts = []
+    for which, count in subsets(found):
+        inside = which < count
+        sums = np.zeros(n * count, U64)
+        np.add.at(sums, owner[inside] * count + which[inside], value[inside])
+        parts.append(sums.reshape(n, count))
+    out = np.concatenate(parts, 1)
+    return np.where(out == 0, U64(0), (mix(out) % U64(255)) + U64(1)).astype(np.uint8)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of equal hashes among the sub-lexicons in which either document has a term; 1 if neither has any."""
-    used = ((a != 0) | (b != 0)).sum(1)
-    same = ((a == b) & (a != 0)).sum(1)
-    return np.where(used == 0, 1.0, same / np.maximum(used, 1))
+    """0 to 1 for rows of fingerprints; equal ones have 1."""
+    used = (a != 0) | (b != 0)
+    same = (a == b) & (a != 0)
+    n_used, n_same = used.sum(1), same.sum(1)
+    whole = np.where(n_used == 0, 1.0, n_same / np.maximum(n_used, 1))
+    best = np.full(len(a), -1.0)
+    start = 0
+    for wanted in RATES.values():
+        u, s = used[:, start: start + wanted].sum(1), same[:, start: start + wanted].sum(1)
+        best = np.where(u >= USED, np.maximum(best, s / np.maximum(u, 1)), best)
+        start += wanted
+    return np.where(best < 0, whole, best)
 
 
 def as_text(rows: np.ndarray) -> list[str]:
-    return [r.tobytes().hex() for r in rows.astype(">u2")]
+    return [r.tobytes().hex() for r in rows]
 
 
 def edited(text: str, following: str) -> str:
