@@ -121,8 +121,8 @@ def _scan(batches: Iterator[pa.RecordBatch], tests: TestSuffixes) -> Iterator[pa
                 np.add.at(hits, found + tests.wanted[which], -1)
                 pairs = np.unique(np.stack([text_of[found], tests.owner[which]], 1), axis=0)
             hit = np.flatnonzero(np.cumsum(hits)[:-1] > 0)
-            first = place[np.searchsorted(owner, np.arange(len(block.texts)))] if len(place) else None
             n = len(block.texts)
+            first = np.searchsorted(owner, np.arange(n)) + np.arange(n)
             n_words = np.bincount(owner, minlength=n)
             by_text = np.bincount(text_of[hit], minlength=n) if len(hit) else np.zeros(n, np.int64)
             places: list[list[int]] = [[] for _ in range(n)]

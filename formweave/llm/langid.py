@@ -140,6 +140,8 @@ def train(docs: DataFrame, per_language: int = 800) -> Model:
     rows = (sample.orderBy(order, "doc_id", "text").select("lang", (F.pmod(order, F.lit(4)) == 0).alias("tune"), "text")
             .mapInArrow(_counts, "lang string, tune boolean, ids binary, counts binary").collect())
     languages = sorted({r["lang"] for r in rows})
+    if not languages:
+        return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0))
     index = {x: i for i, x in enumerate(languages)}
 
     def example(r):
