@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from formweave.session import fresh_dir
 
 BLOCK_BYTES = 500_000
+SMALL_TABLE = 32 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -45,6 +46,12 @@ def materialise(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def small_side(table: DataFrame, row_bytes: int) -> DataFrame:
+    """A table for one side of a join: broadcast if its rows, which are counted, take up to SMALL_TABLE bytes at
+    ``row_bytes`` each; any other joins by shuffle."""
+    return F.broadcast(table) if table.count() * row_bytes <= SMALL_TABLE else table
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python once per application."""
     context = spark.sparkContext

@@ -30,11 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formweave.llm.blocks import (LOWERED, SPACES, U64, Block, Spans, blocks, materialise, mix, shuffle_partitions, ship,
-                                  sort_within, sums_by, words)
+                                  small_side, sort_within, sums_by, words)
 
 REGISTERS, BAND = 128, 4
 MANTISSA = 10
-SMALL_TABLE = 32 << 20
 BLOCK = 1024
 
 
@@ -276,11 +275,6 @@ def components(edges: DataFrame) -> DataFrame:
 # ---- the operator ------------------------------------------------------------------------------------------
 
 
-def _small(table: DataFrame, n_rows: int, row_bytes: int) -> DataFrame:
-    """A table whose counted size is below SMALL_TABLE is broadcast; any other joins by shuffle."""
-    return F.broadcast(table) if n_rows * row_bytes <= SMALL_TABLE else table
-
-
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row of ``docs``.
 
@@ -321,7 +315,7 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
 
     wanted = classes.join(members.select("set_id").distinct(), "set_id", "left_semi")
     wanted = materialise(wanted.select("set_id", "rep"), "wanted")
-    reps = _small(wanted.withColumnRenamed("set_id", "want"), wanted.count(), 64)
+    reps = small_side(wanted.withColumnRenamed("set_id", "want"), 64)
     texts = rows.where("text IS NOT NULL").join(reps, F.col("doc_id") == F.col("rep")).select("want", "text")
     # An id that stands on rows with different texts brings all of them; those with another set are left out.
     sets = materialise(texts.mapInArrow(

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.blocks import code_points, grams, held_out, ship
+from formweave.llm.blocks import code_points, grams, held_out, materialise, ship
 
 BITS = 15
 ORDERS = (1, 2, 3)
@@ -133,7 +133,9 @@ def train(docs: DataFrame, per_language: int = 800) -> Model:
         idf[r["feature"]] = np.log((1.0 + n_docs) / (1.0 + r["df"])) + 1.0
 
     labelled = usable.where("lang IS NOT NULL")
-    per = labelled.groupBy("lang").agg(F.count("*").alias("rows")).select(F.col("lang").alias("of"), "rows")
+    # Written first, so that its size is known and no text is shuffled by language.
+    per = materialise(labelled.groupBy("lang").agg(F.count("*").alias("rows")).select(F.col("lang").alias("of"), "rows"),
+                      "languages")
     lot = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6
     sample = labelled.join(per, F.col("lang") == F.col("of")).where(lot * F.col("rows") < per_language)
     order = F.xxhash64("doc_id", F.lit("order"))
