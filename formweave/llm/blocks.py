@@ -99,6 +99,13 @@ def block_of(texts: list[bytes]) -> Block:
     return Block(texts, data, ends - lengths, ends)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches, a few at a time: what Python copies of them stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[slice, Block]]:
     """The rows of a batch in blocks; a null text counts as empty."""
     column_data = batch.column(batch.schema.get_field_index(column))

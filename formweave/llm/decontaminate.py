@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.blocks import LOWERED, Block, Spans, block_of, blocks, ship, words
+from formweave.llm.blocks import LOWERED, Block, Spans, block_of, blocks, ship, slices, words
 
 WINDOW = 13
 MAX_BROADCAST = 32 << 20
@@ -97,7 +97,7 @@ def search(digits: np.ndarray, tests: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _scan(batches: Iterator[pa.RecordBatch], tests: TestSuffixes) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         for rows, block in blocks(batch, "_text"):
             hashes, owner = word_hashes(block)
             known = tests.numbers(hashes)

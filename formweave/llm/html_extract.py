@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.blocks import materialise, ship
+from formweave.llm.blocks import materialise, ship, slices
 from formweave.llm.url_rules import host_of
 
 # Elements by their role in a page.
@@ -259,7 +259,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = []
         for source, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             text = ""

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formweave.llm.blocks import (LOWERED, SPACES, U64, Block, Spans, blocks, materialise, mix, shuffle_partitions, ship,
-                                  small_side, sort_within, sums_by, words)
+                                  slices, small_side, sort_within, sums_by, words)
 
 REGISTERS, BAND = 128, 4
 MANTISSA = 10
@@ -131,7 +131,7 @@ def set_ids(values: np.ndarray, texts: np.ndarray, n: int) -> list[bytes]:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         for rows, block in blocks(batch, "text"):
             n = len(block.texts)
             values, texts, sizes = shingle_sets(block, width)
@@ -180,16 +180,14 @@ def _regs(column: pa.Array) -> np.ndarray:
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            col = {name: part.column(i) for i, name in enumerate(part.schema.names)}
-            sizes = [col[x].to_numpy(zero_copy_only=False) for x in ("n_a", "n_b")]
-            close = may_link(*sizes, _regs(col["regs_a"]), _regs(col["regs_b"]), percent)
-            sets = [col[x].to_pylist() for x in ("set_a", "set_b")]
-            keep = pa.array([int(i) for i in np.flatnonzero(close) if similar(
-                np.frombuffer(sets[0][i], "<u8"), np.frombuffer(sets[1][i], "<u8"), percent)], pa.int64())
-            yield pa.record_batch([col["a"].take(keep), col["b"].take(keep)], names=["a", "b"])
+    for part in slices(batches, 256):
+        col = {name: part.column(i) for i, name in enumerate(part.schema.names)}
+        sizes = [col[x].to_numpy(zero_copy_only=False) for x in ("n_a", "n_b")]
+        close = may_link(*sizes, _regs(col["regs_a"]), _regs(col["regs_b"]), percent)
+        sets = [col[x].to_pylist() for x in ("set_a", "set_b")]
+        keep = pa.array([int(i) for i in np.flatnonzero(close) if similar(
+            np.frombuffer(sets[0][i], "<u8"), np.frombuffer(sets[1][i], "<u8"), percent)], pa.int64())
+        yield pa.record_batch([col["a"].take(keep), col["b"].take(keep)], names=["a", "b"])
 
 
 def _block_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -225,7 +223,7 @@ def _block_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
         return pa.record_batch([pa.array([rows[i]["set_id"] for i, _ in found], pa.binary()),
                                 pa.array([rows[j]["set_id"] for _, j in found], pa.binary())], names=["a", "b"])
 
-    for batch in batches:
+    for batch in slices(batches):
         for item in batch.to_pylist():
             if held and any(held[0][x] != item[x] for x in names):
                 out = compare(held)
@@ -355,7 +353,7 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
 
 def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Set, registers and size of the rows whose text has the wanted set."""
-    for batch in batches:
+    for batch in slices(batches):
         wanted = batch.column(0).to_pylist()
         for rows, block in blocks(batch, "text"):
             n = len(block.texts)
@@ -373,6 +371,6 @@ def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Rec
 
 def _short_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets in the upper halves of their hashes, which stay sorted."""
-    for batch in batches:
+    for batch in slices(batches):
         short = [np.unique(np.frombuffer(x, "<u8") >> U64(32)).astype("<u4").tobytes() for x in batch.column(3).to_pylist()]
         yield pa.record_batch([*batch.columns[:3], pa.array(short, pa.binary())], names=["of", "n", "regs", "set"])

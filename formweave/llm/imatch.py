@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formweave.llm.blocks import (LOWERED, SPACES, U64, Block, Spans, block_of, blocks, materialise, mix, ship,
-                                  shuffle_partitions, sort_within, words)
+                                  shuffle_partitions, slices, sort_within, words)
 
 LOW, HIGH = 0.001, 0.05
 RATES = {4: 16, 16: 16, 64: 32, 256: 32, 1024: 32}  # sub-lexicons with one term in so many
@@ -56,7 +56,7 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 def _frequent_here(batches: Iterator[pa.RecordBatch], low: float) -> Iterator[pa.RecordBatch]:
     parts, held, n = [(np.zeros(0, U64), np.zeros(0, np.int64))], 0, 0
-    for batch in batches:
+    for batch in slices(batches):
         for _, block in blocks(batch, "text"):
             n += len(block.texts)
             parts.append(np.unique(distinct_terms(block)[0], return_counts=True))
@@ -70,7 +70,7 @@ def _frequent_here(batches: Iterator[pa.RecordBatch], low: float) -> Iterator[pa
 
 def _count_known(batches: Iterator[pa.RecordBatch], known: np.ndarray) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(len(known), np.int64)
-    for batch in batches:
+    for batch in slices(batches):
         for _, block in blocks(batch, "text"):
             terms = distinct_terms(block)[0]
             if len(known):
@@ -180,7 +180,7 @@ def _compare(batches: Iterator[pa.RecordBatch], terms: np.ndarray) -> Iterator[p
             names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
                    "near_next"])
 
-    for batch in batches:
+    for batch in slices(batches):
         for r in zip(*(c.to_pylist() for c in batch.columns)):
             held.append(r)
             size += len(r[3] or "")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.blocks import code_points, grams, held_out, materialise, ship
+from formweave.llm.blocks import code_points, grams, held_out, materialise, ship, slices
 
 BITS = 15
 ORDERS = (1, 2, 3)
@@ -49,7 +49,7 @@ def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << BITS, np.int64)
-    for batch in batches:
+    for batch in slices(batches):
         for texts in text_blocks(batch.column(0)):
             for at in range(0, len(texts), 64):
                 part = texts[at: at + 64]
@@ -160,7 +160,7 @@ def train(docs: DataFrame, per_language: int = 800) -> Model:
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     n_classes = len(model.languages)
-    for batch in batches:
+    for batch in slices(batches):
         langs: list[str] = []
         scores: list[float] = []
         for texts in text_blocks(batch.column(0)):

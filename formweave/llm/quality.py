@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.blocks import SPACES, U64, Spans, block_of, blocks, code_points, grams, held_out, ship, words
+from formweave.llm.blocks import SPACES, U64, Spans, block_of, blocks, code_points, grams, held_out, ship, slices, words
 from formweave.llm.langid import softmax
 
 BITS = 16
@@ -107,7 +107,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         scores: list[np.ndarray] = []
         for _, block in blocks(batch, "text", 500_000):
             n = len(block.texts)

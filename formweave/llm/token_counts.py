@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.blocks import materialise, shuffle_partitions, ship
+from formweave.llm.blocks import materialise, ship, shuffle_partitions, slices
 
 CHUNK_CHARS = 32_000
 OVERLAP = 256
@@ -36,12 +36,10 @@ def load(model: str):
 
 def _count(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
     tokenizer, _ = load(model)
-    for batch in batches:
+    for batch in slices(batches):
         texts = [x or "" for x in batch.column(1).to_pylist()]
         n_bytes = [len(x.encode()) for x in texts]
-        n_tokens: list[int] = []
-        for start in range(0, len(texts), 256):  # ids of so many texts are held at once
-            n_tokens += map(len, tokenizer.encode(texts[start: start + 256], num_threads=1))
+        n_tokens = list(map(len, tokenizer.encode(texts, num_threads=1)))
         yield pa.record_batch([batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())],
                               names=["doc_id", "n_bytes", "n_tokens"])
 
