@@ -101,6 +101,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
         F.col("source").alias("fill_of"), F.struct("f.rank", "f.doc_id", "f.size").alias("fill")), "mix-fills")
     sources = (per_source.join(cuts.select("cut_of", "edge", "cut"), F.col("of").eqNullSafe(F.col("cut_of")), "left")
                .join(fills, F.col("of").eqNullSafe(F.col("fill_of")), "left"))
+    sources = materialise(sources, "mix-sources")  # its size is known then, and no text is shuffled by source
 
     narrow = set(carry) <= {"doc_id", "source"}
     rows = sizes if narrow else docs.select(*dict.fromkeys((*carry, "doc_id", "source")), size.alias("size"))
