@@ -61,7 +61,6 @@ class IngestConfig:
     maxColumns: int = 10_000
     onDeidError: str = "reject"
     collision: str = "reject"
-    layout: str = "auto"
     parallelForms: int = 8
     triggerSeconds: int = 10
     maxFilesPerTrigger: int | None = None
@@ -92,6 +91,11 @@ class IngestConfig:
         return f"{self.root}/_checkpoint"
 
 
+def kafka_options(given: dict[str, str]) -> dict[str, str]:
+    """The ``--kafka.*`` options, such as ``kafka.bootstrap.servers``."""
+    return {name: value for name, value in given.items() if name.startswith("kafka.")}
+
+
 def parse_args(argv: list[str]) -> dict[str, str]:
     """``--name=value`` arguments as a dict."""
     pairs = (a[2:].partition("=") for a in argv if a.startswith("--"))

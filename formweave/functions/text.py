@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+LONGEST_NAME = 120  # of a form name that is used whole in a folder name
 # Characters removed from, or replaced in, a flattened key to make a column name.
 REPLACED_BY_UNDERSCORE = ".-"
 REMOVED_FROM_NAMES = '[]{}" '
@@ -56,12 +57,15 @@ def column_name(key: Column | str) -> Column:
 
 
 def table_name(form: Column | str) -> Column:
-    """Spark-safe table name of a form; names that had to change get a hash suffix, so none collide."""
+    """Spark-safe table name of a form, also as a folder name; names that had to change get a hash suffix, so none
+    collide. Of a long name the beginning stands, with the whole hash."""
     form = _col(form)
     safe = F.regexp_replace(F.lower(form), "[^a-z0-9_]", "_")
-    unchanged = (safe == form) & ~F.startswith(form, F.lit("_"))
-    return F.when(unchanged, form).otherwise(
-        F.concat(F.lit("form_"), safe, F.lit("_"), F.substring(F.md5(F.encode(form, "UTF-8")), 1, 8)))
+    digest = F.md5(F.encode(form, "UTF-8"))
+    fits = F.length(form) <= LONGEST_NAME
+    unchanged = (safe == form) & ~F.startswith(form, F.lit("_")) & fits
+    return F.when(unchanged, form).when(fits, F.concat(F.lit("form_"), safe, F.lit("_"), F.substring(digest, 1, 8))) \
+        .otherwise(F.concat(F.lit("form_"), F.substring(safe, 1, LONGEST_NAME), F.lit("_"), digest))
 
 
 def archive_folder(time: Column | str) -> Column:

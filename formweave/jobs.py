@@ -1,16 +1,16 @@
 """Command line: ``python -m formweave.jobs <publish|ingest|load-rules> ...``.
 
-The key map is read from the file named by ``--keyFile``, one ``resource-name=hex`` per line.
+Requests the publisher refuses go to the folder named by ``--rejects``. The key map is read from the file named by ``--keyFile``, one ``resource-name=hex`` per line.
 """
 
 from __future__ import annotations
 
 import sys
 
-from formweave.config import KeyConfig, PublishConfig, ingest_config, parse_args
+from formweave.config import KeyConfig, PublishConfig, ingest_config, kafka_options, parse_args
 from formweave.functions.crypto import EnvelopeCipher
 from formweave.functions.text import prefix_list
-from formweave.plans.publish import publishable
+from formweave.plans.publish import publishable, unreadable
 from formweave.plans.rule_load import load_rules
 from formweave.session import build_session
 from formweave.sinks.files import publish
@@ -31,8 +31,12 @@ def run_publish(argv: list[str]) -> None:
     config = PublishConfig(topic=given["topic"], prefixes=given.get("fields", ""), keys=keys)
     cipher = EnvelopeCipher(spark, read_key_map(given["keyFile"]), keys.name)
     prefixes = prefix_list(config.prefixes) if "fields" in given else []
-    sealed = publishable(requests(spark, given["requests"]), cipher, prefixes)
-    publish(sealed, config.topic, **(config.kafka_options() if config.topic.startswith("kafka:") else {}))
+    asked = requests(spark, given["requests"])
+    to_kafka = config.topic.startswith("kafka:")
+    publish(publishable(asked, cipher, prefixes), config.topic,
+            **(config.kafka_options() | kafka_options(given) if to_kafka else {}))
+    if "rejects" in given:
+        unreadable(asked).write.mode("append").parquet(given["rejects"])
 
 
 def run_ingest(argv: list[str]) -> None:

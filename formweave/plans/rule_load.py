@@ -10,8 +10,9 @@ from formweave.sinks.files import write_rules
 from formweave.sources.rules import current_rules, rule_csv, rule_versions
 
 
-def load_rules(spark: SparkSession, csv_path: str, rules_path: str, multi_line: bool = False) -> int:
-    """Write the next version of the rule table and return its number. The old version stays readable."""
+def load_rules(spark: SparkSession, csv_path: str, rules_path: str, multi_line: bool = True) -> int:
+    """Write the next version of the rule table and return its number. The old version stays readable. Cells
+    may hold line breaks unless ``multi_line`` is off, which lets large files be split."""
     newest = rule_versions(spark, rules_path).agg(F.max("version")).first()[0] or 0
     changed = apply_changes(current_rules(spark, rules_path), csv_changes(rule_csv(spark, csv_path, multi_line)))
     write_rules(changed, rules_path, newest + 1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from formweave.functions.text import table_name
 from formweave.schemas import DEAD_LETTER, ERRORS, MESSAGE, RULES
 
 
@@ -25,9 +26,10 @@ def publish(messages: DataFrame, topic: str, **options: str) -> None:
 
 
 def archive(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Store the payloads of staged rows as they came, by form, month and day."""
-    (rows.select("message_id", "file_url", "payload", "formName", "month", "day")
-     .write.mode("overwrite").partitionBy("formName", "month", "day").parquet(_batch(path, batch_id)))
+    """Store the payloads of staged rows as they came, by form, month and day. The form's folder has its table name,
+    which any file system takes; the name as it came is a column."""
+    (rows.select("message_id", "file_url", "payload", "formName", table_name("formName").alias("form"), "month", "day")
+     .write.mode("overwrite").partitionBy("form", "month", "day").parquet(_batch(path, batch_id)))
 
 
 def error_rows(rows: DataFrame, description: Column | str = "error") -> DataFrame:
@@ -44,10 +46,10 @@ def write_errors(rows: DataFrame, path: str, batch_id: int) -> None:
     error_rows(rows).write.mode("overwrite").parquet(_batch(path, batch_id))
 
 
-def dead_letter(rows: DataFrame, path: str, batch_id: int) -> None:
+def dead_letter(rows: DataFrame, path: str, batch_id: int, **options: str) -> None:
     """Keep the original payload of messages whose table append kept failing: in a folder or a Kafka topic."""
     if path.startswith("kafka:"):
-        publish(rows.withColumn("attributes", F.create_map(F.lit("formName"), F.col("formName"))), path)
+        publish(rows.withColumn("attributes", F.create_map(F.lit("formName"), F.col("formName"))), path, **options)
         return
     rows.select(*DEAD_LETTER.names).write.mode("overwrite").parquet(_batch(path, batch_id))
 

@@ -24,6 +24,7 @@ def _quoted(name: str) -> str:
 class FormStore:
     def __init__(self, spark: SparkSession, root: str, database: str | None = None, max_columns: int = 10_000):
         self.spark, self.root, self.database, self.max_columns = spark, root, database, max_columns
+        self.lagging: set[str] = set()
         start_table(spark, f"{self.registry_path}/{BATCH}=-1", T.StructType(REGISTRY.fields[:-1]))
 
     # -- metadata --------------------------------------------------------------------------------------
@@ -74,8 +75,6 @@ class FormStore:
         """Write a batch's rows of one table; columns a row lacks become NULL."""
         wide = evolve.wide_rows(rows, columns)
         wide.write.mode("overwrite").parquet(f"{self.table_path(table)}/{BATCH}={batch_id}")
-        if self.database:
-            self._sync_catalog(table, columns, batch_id)
 
     def read(self, table: str, with_batch: bool = False) -> DataFrame:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in self.columns(table)]
@@ -90,7 +89,11 @@ class FormStore:
 
     # -- catalog ---------------------------------------------------------------------------------------
 
-    def _sync_catalog(self, table: str, columns: list[str], batch_id: int) -> None:
+    def sync_catalog(self, table: str, columns: list[str], batch_id: int) -> None:
+        """Make a table's columns and its new batch known to the catalog, where there is one. After a batch of which
+        the catalog did not learn, all folders are looked through."""
+        if not self.database:
+            return
         name = f"{_quoted(self.database)}.{_quoted(table)}"
         if not self.spark.catalog.tableExists(name):
             declared = ", ".join(f"{_quoted(c)} STRING" for c in columns)
@@ -102,5 +105,8 @@ class FormStore:
             if changed:
                 extra = ", ".join(f"{_quoted(c)} STRING" for c in union[len(have):])
                 self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({extra})")
+        if table in self.lagging:
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            self.lagging.discard(table)
         self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({BATCH}={batch_id})")
         self.spark.catalog.refreshTable(name)

@@ -12,11 +12,12 @@ import time
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from formweave.config import IngestConfig
+from formweave.config import IngestConfig, kafka_options
 from formweave.functions.crypto import EnvelopeCipher
 from formweave.operators import evolve
 from formweave.operators.counts import observed
@@ -35,12 +36,6 @@ log = logging.getLogger(__name__)
 APPEND_FAILED = "Exceeded rate limits: too many table update operations for this table"
 TOO_MANY_COLUMNS = "COLUMNS: the table would have too many columns"
 
-# Batches whose counts are kept.
-KEPT_COUNTS = 1000
-
-# Up to this many known tables each task may write its own file per table; beyond, rows are gathered by table.
-SCATTER_TABLES = 32
-
 
 class IngestPipeline:
     def __init__(self, spark: SparkSession, config: IngestConfig, cipher: EnvelopeCipher,
@@ -72,11 +67,12 @@ class IngestPipeline:
         found = evolve.batch_columns(accepted).checkpoint()
         full = {r.table for r in self.store.widen(found, batch_id).toLocalIterator()}
         with ThreadPool(self.config.parallelForms) as pool:
-            archived = pool.apply_async(files.archive, (
-                staged.where(F.col("file_url").isNotNull()), self.config.archive, batch_id))
+            # A message without a time or an id has no URL; accepted, it is archived all the same.
+            kept = staged.where(F.col("file_url").isNotNull() | (F.col("route") != REJECTED_ROUTE))
+            archived = pool.apply_async(inheritable_thread_target(self.spark)(files.archive), (kept, self.config.archive, batch_id))
             tables = self.store.table_columns(found).toLocalIterator()
-            tried = pool.imap_unordered(
-                lambda t: (t.table, self._append(t.table, t.columns, accepted, batch_id, t.table in full)), tables)
+            tried = pool.imap_unordered(inheritable_thread_target(self.spark)(
+                lambda t: (t.table, self._append(t.table, t.columns, accepted, batch_id, t.table in full))), tables)
             failed = [table for table, done in tried if not done]
             archived.get()
         self._write_errors(staged, found, full, failed, batch_id)
@@ -88,34 +84,31 @@ class IngestPipeline:
         rows = stage(spread(messages), current_rules(self.spark, config.rules), self.cipher, config.baseUrl,
                      config.bucketName, config.onDeidError, config.collision)
         rows, seen = observed(rows, f"ingest-{batch_id}")
-        if self._gather_by_table():
-            # Adaptive execution merges the partitions of small tables and splits those of a table with many
-            # rows. Days are kept together too, so that the archive, which is laid out by day, gets few files.
-            rows = rows.hint("rebalance", "route", "month", "day")
+        # Adaptive execution merges the partitions of small tables and splits those of a table with many rows. Days
+        # are kept together too, so that the archive, which is laid out by day, gets few files.
+        rows = rows.hint("rebalance", "route", "month", "day")
         path = f"{config.staging}/slot={batch_id % 2}"
         rows.write.mode("overwrite").partitionBy("route").parquet(path)
         self._count(batch_id, seen.get)
         return self.spark.read.schema(STAGED).parquet(path)
 
     def _count(self, batch_id: int, seen: dict[str, int]) -> None:
-        """Keep the counts of the latest batches, and log them."""
+        """Keep the counts of every batch of this run, a few numbers each, and log them."""
         log.info("batch %s: %s", batch_id, seen)
         self.counts[batch_id] = seen
-        while len(self.counts) > KEPT_COUNTS:
-            del self.counts[next(iter(self.counts))]
-
-    def _gather_by_table(self) -> bool:
-        if self.config.layout != "auto":
-            return self.config.layout == "rebalance"
-        known = self.store.registry().select("table").distinct().limit(SCATTER_TABLES + 1).count()
-        return known == 0 or known > SCATTER_TABLES
 
     def _append(self, table: str, columns: list[str], accepted: DataFrame, batch_id: int, is_full: bool) -> bool:
         rows = accepted.where(F.col("route") == table)
         if is_full:
             rows = rows.where(~evolve.needs_unknown(columns))
-        return with_retries(lambda: self.store.append(table, columns, rows, batch_id), self.config.retry.waits,
-                            self.sleep)
+        waits = self.config.retry.waits
+        if not with_retries(lambda: self.store.append(table, columns, rows, batch_id), waits, self.sleep):
+            return False
+        # The rows are stored: a catalog that fails must not send them to the errors as well.
+        if not with_retries(lambda: self.store.sync_catalog(table, columns, batch_id), waits, self.sleep):
+            log.error("the catalog lags behind table %s since batch %s", table, batch_id)
+            self.store.lagging.add(table)
+        return True
 
     def _write_errors(self, staged: DataFrame, found: DataFrame, full: set[str], failed: list[str],
                       batch_id: int) -> None:
@@ -131,6 +124,6 @@ class IngestPipeline:
         if failed:
             log.error("appends of %s given up, their rows of batch %s go to the dead letters", failed, batch_id)
             lost = staged.where(F.col("route").isin(*failed))
-            files.dead_letter(lost, self.config.dead_letter, batch_id)
+            files.dead_letter(lost, self.config.dead_letter, batch_id, **kafka_options(self.config.extra))
             errors = errors.unionByName(lost.withColumn("error", F.lit(APPEND_FAILED)))
         files.write_errors(errors, self.config.errors, batch_id)

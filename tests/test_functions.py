@@ -37,6 +37,14 @@ def test_trim_cell_takes_all_low_characters(spark):
     assert values(spark, text.trim_cell("c"), "\t a b \r\n", " x") == ["a b", " x"]
 
 
+def test_long_form_names_fit_a_folder(spark):
+    names = ["x" * 120, "x" * 121, "x" * 5000, "é" * 150, "a/b", "", "_a", "X" * 121]
+    frame = spark.createDataFrame([(n,) for n in names], "form string")
+    made = [r[0] for r in frame.select(text.table_name("form")).collect()]
+    assert made[0] == names[0] and len(set(made)) == len(made)
+    assert all(len(m.encode()) <= 160 and set(m) <= set("abcdefghijklmnopqrstuvwxyz0123456789_") for m in made)
+
+
 def test_archive_names(spark):
     frame = spark.sql("SELECT 'f' AS form, timestamp'2024-03-05 07:08:09' AS t, 'm1' AS id")
     url = frame.select(text.archive_url("http://x/", "b", "form", "t", "id")).first()[0]

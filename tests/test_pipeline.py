@@ -102,6 +102,28 @@ def test_failed_appends_end_as_errors_and_dead_letters(job, spark, cipher, messa
     assert error.formName == "f" and error.errorFormData.startswith("u/forms/f/")
 
 
+def test_hostile_form_names_stop_nothing(job, spark, message_of):
+    run = job()
+    names = ["f" * 300, "é" * 150, "a/b=c", "..", "f" * 5000]
+    run.process(message_of(*((str(i), body({"a": i}, n)) for i, n in enumerate(names))), 0)
+    assert run.counts[0] == {"messages": 5, "rejected": 0}
+    assert sorted(r.formName for r in spark.read.parquet(run.config.archive).collect()) == sorted(names)
+    tables = {r.formName: r.table for r in run.store.registry().select("formName", "table").distinct().collect()}
+    assert [run.store.read(tables[n]).first().a for n in names] == ["0", "1", "2", "3", "4"]
+
+
+def test_a_failing_catalog_loses_and_doubles_nothing(job, spark, message_of):
+    run = job()
+
+    def failing(table, columns, batch_id):
+        raise RuntimeError("catalog")
+
+    run.store.sync_catalog = failing
+    run.process(message_of(("1", body({"a": 1}))), 0)
+    assert run.store.read("f").count() == 1 and run.store.lagging == {"f"}
+    assert spark.read.parquet(run.config.errors).count() == 0
+
+
 def test_a_form_with_most_rows_is_split_when_staged(job, spark, cipher):
     run = job()
     rows = spark.range(4000).select(
