@@ -1,7 +1,8 @@
 """Quality classifier with supervised subword embeddings.
 
 Words and character n-grams of a document are hashed into one table of learned vectors; the document is the average
-of its vectors, and a softmax layer tells the classes. Vectors and layer are trained together by stochastic
+of its vectors, and a softmax layer tells the classes. An average of single words cannot see a word said over and over,
+so the word bigrams of two equal words share one more entry of the table. Vectors and layer are trained together by stochastic
 gradient descent in numpy, on a bounded sample of labelled rows with as many of either class; the shares of the
 classes among all labelled rows are put back into the scores.
 
@@ -22,15 +23,20 @@ from formweave.llm.blocks import SPACES, U64, Spans, block_of, blocks, code_poin
 from formweave.llm.langid import softmax
 
 BITS = 16
+REPEAT = 1 << BITS  # the entry of two equal words in a row
+ENTRIES = REPEAT + 1
 ORDERS = (2, 3, 4)
 SIZE = 16
 
 
 def features(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Hashed words and character n-grams with their texts."""
+    """Hashed words, repeated words and character n-grams with their texts."""
     block = block_of(texts)
     starts, ends, owner = words(block, SPACES)
-    yield (Spans(block.data).at(starts, ends) >> U64(64 - BITS)).astype(np.int64), owner
+    hashes = Spans(block.data).at(starts, ends)
+    yield (hashes >> U64(64 - BITS)).astype(np.int64), owner
+    again = owner[1:][(hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])]
+    yield np.full(len(again), REPEAT, np.int64), again
     points, last, of = code_points([t.decode() for t in texts])
     for n in ORDERS:
         yield grams(points, last, of, n, BITS)
@@ -58,7 +64,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 6, rate: f
         seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Vectors, layer and bias from (class, features, counts) rows by plain stochastic gradient descent."""
     random = np.random.default_rng(seed)
-    vectors = random.uniform(-1 / SIZE, 1 / SIZE, (1 << BITS, SIZE)).astype(np.float32)
+    vectors = random.uniform(-1 / SIZE, 1 / SIZE, (ENTRIES, SIZE)).astype(np.float32)
     layer, bias = np.zeros((SIZE, 2), np.float32), np.zeros(2, np.float32)
     steps = epochs * len(rows)
     for step in range(steps):
@@ -100,7 +106,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
                  np.frombuffer(r["counts"], "<i4").astype(np.float32)) for r in rows]
     seen = [sum(e[0] == k for e in examples) for k in (0, 1)]
     if not all(seen):
-        return Model(np.zeros(1 << BITS, np.float32), 20.0 if seen[1] else -20.0 if seen[0] else 0.0)
+        return Model(np.zeros(ENTRIES, np.float32), 20.0 if seen[1] else -20.0 if seen[0] else 0.0)
     vectors, layer, bias = fit(examples)
     prior = np.log(shares[1] / shares[0]) - np.log(seen[1] / seen[0])
     return Model((vectors @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(bias[1] - bias[0] + prior))
@@ -125,6 +131,6 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select("doc_id", "text")
-    sent = spark.sparkContext.broadcast(model)  # 2**BITS numbers
+    sent = spark.sparkContext.broadcast(model)  # one number per entry
     scored = rows.mapInArrow(lambda b: _score(b, sent.value), f"doc_id {dict(rows.dtypes)['doc_id']}, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
