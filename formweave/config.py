@@ -58,7 +58,6 @@ class IngestConfig:
     deadLetterTopicId: str | None = None
     keys: KeyConfig = KeyConfig()
     retry: RetryConfig = RetryConfig()
-    maxColumns: int = 10_000
     onDeidError: str = "reject"
     collision: str = "reject"
     parallelForms: int = 8
@@ -86,6 +85,10 @@ class IngestConfig:
     def rules(self) -> str:
         return self.rulesPath or f"{self.root}/form_dlp_config"
 
+    @property
+    def runs(self) -> str:
+        return f"{self.root}/runs"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/_checkpoint"
@@ -109,7 +112,7 @@ def ingest_config(argv: list[str]) -> IngestConfig:
         raise ValueError(f"missing required option: {', '.join(missing)}")
     key_names = {f.name for f in fields(KeyConfig)}
     plain = {f.name: f for f in fields(IngestConfig)}
-    numbers = {"maxColumns", "parallelForms", "triggerSeconds", "maxFilesPerTrigger"}
+    numbers = {"parallelForms", "triggerSeconds", "maxFilesPerTrigger"}
     kwargs = {n: int(v) if n in numbers else v
               for n, v in given.items() if n in plain and n not in ("keys", "retry", "extra")}
     extra = {n: v for n, v in given.items() if n not in plain and n not in key_names and n != "waits"}

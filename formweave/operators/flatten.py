@@ -13,16 +13,9 @@ from pyspark.sql import functions as F
 from formweave.functions import jsonvals
 from formweave.functions.text import column_name
 from formweave.operators.parse import FORM_META
-from formweave.session import shared_dir
-
-# Levels unrolled per step; expressions nested much deeper overflow the stack of the planner. Deeper documents take
-# several steps, with the lineage cut in between.
-LEVELS_PER_STEP = 12
-META_LEVELS = 10
 
 COLLISION = "COLUMNS: two keys give one column name"
 EMPTY_NAME = "COLUMNS: a key gives an empty column name"
-TOO_DEEP = "METADATA: nested too deeply"
 
 
 def root_entries(doc: str, path: str = "") -> str:
@@ -49,38 +42,18 @@ def entry_texts(entries: Column) -> Column:
         e["path"], F.coalesce(e["value"].try_cast("string"), F.lit("null")))))
 
 
-def unrolled(entries: str, levels: int) -> str:
-    for _ in range(levels):
-        entries = next_level(entries)
-    return entries
-
-
-def _step(entries: str, left: str) -> str:
-    """SQL text that flattens up to `LEVELS_PER_STEP` levels. A row takes the shortest branch that covers the
-    levels it has left, so shallow documents do not pay for a deep one."""
-    branches, levels = [f"WHEN {left} <= 0 THEN {entries}"], 1
-    while levels < LEVELS_PER_STEP:
-        branches.append(f"WHEN {left} <= {levels} THEN {unrolled(entries, levels)}")
-        levels *= 2
-    return f"CASE {' '.join(branches)} ELSE {unrolled(entries, LEVELS_PER_STEP)} END"
+def all_levels(entries: str, depth: str) -> str:
+    """SQL text that flattens `depth` levels, a number of the row's own: one expression for any depth, and shallow
+    documents do not pay for a deep one."""
+    return f"aggregate(sequence(1, greatest({depth}, 1)), {entries}, (entries, level) -> {next_level('entries')})"
 
 
 def flatten_json(df: DataFrame, text: str, into: str = "flat") -> DataFrame:
-    """Add `into`, the MAP<path, text> of the JSON documents in column `text`; NULL where malformed.
-
-    The depth of the data is measured first (one narrow pass, one number to the driver), so any depth is
-    flattened in full.
-    """
-    shared_dir(df.sparkSession)
-    rows = df.withColumn("_depth", jsonvals.nesting_depth(text))
-    deepest = rows.agg(F.max("_depth")).first()[0] or 0
-    rows = rows.withColumn("_doc", jsonvals.parse(text))
-    rows = rows.withColumn(into, F.expr(f"CASE WHEN _doc IS NOT NULL THEN {root_entries('_doc')} END")).drop("_doc")
-    for done in range(0, deepest, LEVELS_PER_STEP):
-        if done:
-            rows = rows.checkpoint()
-        rows = rows.withColumn(into, F.expr(_step(into, f"(_depth - {done})")))
-    return rows.withColumn(into, entry_texts(F.col(into))).drop("_depth")
+    """Add `into`, the MAP<path, text> of the JSON documents in column `text`; NULL where malformed. A document of any
+    depth is flattened in full, within its row."""
+    rows = df.withColumn("_depth", jsonvals.nesting_depth(text)).withColumn("_doc", jsonvals.parse(text))
+    entries = F.expr(f"CASE WHEN _doc IS NOT NULL THEN {all_levels(root_entries('_doc'), '_depth')} END")
+    return rows.withColumn(into, entry_texts(entries)).drop("_doc", "_depth")
 
 
 def odd_metadata() -> Column:
@@ -91,16 +64,11 @@ def odd_metadata() -> Column:
 
 def flat_metadata(odd: Column) -> Column:
     """MAP<path, text> of the metadata under its reserved name. Plain metadata skips the nested branch."""
-    entries = unrolled(root_entries("meta_doc", FORM_META), META_LEVELS)
+    entries = all_levels(root_entries("meta_doc", FORM_META), "meta_depth")
     plain = F.transform_keys(jsonvals.null_as_text("meta"), lambda k, _: F.concat(F.lit(FORM_META + "."), k))
     return F.when(odd, entry_texts(F.expr(entries))).otherwise(plain)
 
 
-def metadata_error(odd: Column) -> Column:
-    """Metadata nested below the unrolled levels rejects the message."""
-    return F.when(odd & (jsonvals.nesting_depth(F.to_json("meta_doc")) > META_LEVELS), F.lit(TOO_DEEP))
-
-
 def name_error(names: Column) -> Column:
     """Why names cannot be the columns of a row, or NULL. Spark column names ignore case."""
     distinct = F.size(F.array_distinct(F.transform(names, F.lower)))
@@ -126,8 +94,7 @@ def with_columns_map(forms: DataFrame, collision: str = "reject") -> DataFrame:
     Two keys that give one column reject the message; ``collision="last"`` keeps the last one.
     """
     rows = forms.withColumn("odd", odd_metadata())
-    rows = rows.withColumn("error", F.when(F.col("error").isNotNull(), F.col("error"))
-                           .otherwise(metadata_error(F.col("odd"))))
+    rows = rows.withColumn("meta_depth", F.when(F.col("odd"), jsonvals.nesting_depth(F.to_json("meta_doc"))))
     rows = rows.withColumn("flat", F.when(F.col("error").isNull(), flat_metadata(F.col("odd"))))
     paths = F.concat(F.map_keys("values"), F.map_keys("flat"))
     rows = rows.withColumn("names", F.transform(paths, column_name))
@@ -138,4 +105,4 @@ def with_columns_map(forms: DataFrame, collision: str = "reject") -> DataFrame:
     texts = F.concat(F.map_values("values"), F.map_values("flat"))
     named = F.map_from_arrays("names", texts) if collision == "reject" else last_of_each(F.col("names"), texts)
     columns = F.when(F.col("error").isNull(), named)
-    return rows.withColumn("columns", columns).drop("odd", "flat", "names", "values", "meta_doc")
+    return rows.withColumn("columns", columns).drop("odd", "meta_depth", "flat", "names", "values", "meta_doc")

@@ -54,6 +54,10 @@ DEAD_LETTER = T.StructType([
 ])
 
 
+# Runs of the streaming job. Each checkpoint has its own.
+RUNS = T.StructType([T.StructField("run", T.LongType())])
+
+
 def start_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """An empty table at `path`, unless one is there already."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)

@@ -7,6 +7,7 @@ reads as NULL. With a catalog database, tables are also created and altered ther
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +23,8 @@ def _quoted(name: str) -> str:
 
 
 class FormStore:
-    def __init__(self, spark: SparkSession, root: str, database: str | None = None, max_columns: int = 10_000):
-        self.spark, self.root, self.database, self.max_columns = spark, root, database, max_columns
+    def __init__(self, spark: SparkSession, root: str, database: str | None = None):
+        self.spark, self.root, self.database = spark, root, database
         self.lagging: set[str] = set()
         start_table(spark, f"{self.registry_path}/{BATCH}=-1", T.StructType(REGISTRY.fields[:-1]))
 
@@ -40,7 +41,7 @@ class FormStore:
         return rows if before is None else rows.where(F.col(BATCH) < before)
 
     def table_columns(self, tables: DataFrame) -> DataFrame:
-        """(table, columns in table order) of the named tables. A list is bounded by `max_columns`."""
+        """(table, columns in table order) of the named tables."""
         rows = self.registry().join(tables.select("table").distinct(), "table", "left_semi")
         ordered = F.array_sort(F.collect_list(F.struct("position", "column")))
         return rows.groupBy("table").agg(ordered["column"].alias("columns"))
@@ -50,21 +51,13 @@ class FormStore:
         rows = self.registry().where(F.col("table") == table).select("column", "position")
         return [r.column for r in sorted(rows.collect(), key=lambda r: r.position)]
 
-    def widen(self, found: DataFrame, batch_id: int) -> DataFrame:
-        """Register the batch's new columns and return the tables that would have too many.
-
-        Those tables are not widened. Counting happens before any column name leaves the executors.
-        """
+    def widen(self, found: DataFrame, batch_id: int) -> None:
+        """Register the batch's new columns."""
         registry = self.registry(before=batch_id)
         added = evolve.new_columns(found, registry).select("formName", "table", "column").checkpoint()
-        totals = (added.groupBy("table").agg(F.count("*").alias("new"))
-                  .join(evolve.column_counts(registry), "table", "left")
-                  .where(F.col("new") + F.coalesce("known", F.lit(0)) > self.max_columns).select("table"))
-        if added.isEmpty():
-            return totals
-        rows = evolve.widened(added.join(totals, "table", "left_anti"), registry, batch_id)
-        rows.drop(BATCH).write.mode("overwrite").parquet(f"{self.registry_path}/{BATCH}={batch_id}")
-        return totals
+        if not added.isEmpty():
+            rows = evolve.widened(added, registry, batch_id)
+            rows.drop(BATCH).write.mode("overwrite").parquet(f"{self.registry_path}/{BATCH}={batch_id}")
 
     # -- rows ------------------------------------------------------------------------------------------
 
@@ -79,7 +72,13 @@ class FormStore:
     def read(self, table: str, with_batch: bool = False) -> DataFrame:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in self.columns(table)]
                               + [T.StructField(BATCH, T.LongType())])
-        rows = self.spark.read.schema(schema).parquet(self.table_path(table))
+        try:
+            rows = self.spark.read.schema(schema).parquet(self.table_path(table))
+        except AnalysisException as missing:
+            # Its columns are registered, but no append has succeeded yet.
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = self.spark.createDataFrame([], schema)
         return rows if with_batch else rows.drop(BATCH)
 
     def register_views(self) -> None:

@@ -22,7 +22,7 @@ from formweave.functions.crypto import EnvelopeCipher
 from formweave.operators import evolve
 from formweave.operators.counts import observed
 from formweave.plans.ingest import stage
-from formweave.schemas import REJECTED_ROUTE, STAGED
+from formweave.schemas import REJECTED_ROUTE, RUNS, STAGED, start_table
 from formweave.session import shared_dir, spread
 from formweave.sinks import files
 from formweave.sinks.tables import FormStore
@@ -34,14 +34,15 @@ log = logging.getLogger(__name__)
 
 # The description of rows whose append kept failing.
 APPEND_FAILED = "Exceeded rate limits: too many table update operations for this table"
-TOO_MANY_COLUMNS = "COLUMNS: the table would have too many columns"
+# Batch keys of a stream are its run times this, plus the number of the batch.
+RUN_BATCHES = 1_000_000_000
 
 
 class IngestPipeline:
     def __init__(self, spark: SparkSession, config: IngestConfig, cipher: EnvelopeCipher,
                  sleep: Callable[[float], None] = time.sleep):
         self.spark, self.config, self.cipher, self.sleep = spark, config, cipher, sleep
-        self.store = FormStore(spark, config.root, config.dataSet, config.maxColumns)
+        self.store = FormStore(spark, config.root, config.dataSet)
         self.counts: dict[int, dict[str, int]] = {}
         shared_dir(spark)
 
@@ -51,13 +52,29 @@ class IngestPipeline:
         """Run continuously, or over what is there now."""
         config = self.config
         source = message_stream(self.spark, config.inputSubscription, config.maxFilesPerTrigger, **config.extra)
-        writer = source.writeStream.foreachBatch(self.process).option("checkpointLocation", config.checkpoint)
+        first = self._run() * RUN_BATCHES
+        writer = source.writeStream.foreachBatch(lambda rows, n: self.process(rows, first + n)).option("checkpointLocation", config.checkpoint)
         if available_now:
             return writer.trigger(availableNow=True).start()
         return writer.trigger(processingTime=f"{config.triggerSeconds} seconds").start()
 
+    def _run(self) -> int:
+        """Number of the stream's run. It is kept with the checkpoint: a restart goes on with it, and a stream whose
+        checkpoint is new or lost takes the next number, so that its batches never replace earlier ones."""
+        marker = f"{self.config.checkpoint}/run"
+        start_table(self.spark, marker, RUNS)
+        start_table(self.spark, self.config.runs, RUNS)
+        known = self.spark.read.schema(RUNS).parquet(marker).first()
+        if known:
+            return known.run
+        last = self.spark.read.schema(RUNS).parquet(self.config.runs).agg(F.max("run").alias("run")).first().run
+        row = self.spark.createDataFrame([((last or 0) + 1,)], RUNS)
+        row.write.mode("append").parquet(self.config.runs)
+        row.write.mode("overwrite").parquet(marker)
+        return (last or 0) + 1
+
     def process(self, messages: DataFrame, batch_id: int) -> None:
-        """One micro-batch, or a whole backlog as batch 0. Safe to repeat."""
+        """One micro-batch, or a whole backlog as batch 0, which comes before those of any stream. Safe to repeat."""
         if messages.isEmpty():
             self._count(batch_id, {"messages": 0, "rejected": 0})
             return
@@ -65,17 +82,17 @@ class IngestPipeline:
         staged = self._stage(messages, batch_id)
         accepted = staged.where(F.col("route") != REJECTED_ROUTE)
         found = evolve.batch_columns(accepted).checkpoint()
-        full = {r.table for r in self.store.widen(found, batch_id).toLocalIterator()}
+        self.store.widen(found, batch_id)
         with ThreadPool(self.config.parallelForms) as pool:
             # A message without a time or an id has no URL; accepted, it is archived all the same.
             kept = staged.where(F.col("file_url").isNotNull() | (F.col("route") != REJECTED_ROUTE))
             archived = pool.apply_async(inheritable_thread_target(self.spark)(files.archive), (kept, self.config.archive, batch_id))
             tables = self.store.table_columns(found).toLocalIterator()
             tried = pool.imap_unordered(inheritable_thread_target(self.spark)(
-                lambda t: (t.table, self._append(t.table, t.columns, accepted, batch_id, t.table in full))), tables)
+                lambda t: (t.table, self._append(t.table, t.columns, accepted, batch_id))), tables)
             failed = [table for table, done in tried if not done]
             archived.get()
-        self._write_errors(staged, found, full, failed, batch_id)
+        self._write_errors(staged, failed, batch_id)
 
     # -- steps -----------------------------------------------------------------------------------------
 
@@ -97,10 +114,8 @@ class IngestPipeline:
         log.info("batch %s: %s", batch_id, seen)
         self.counts[batch_id] = seen
 
-    def _append(self, table: str, columns: list[str], accepted: DataFrame, batch_id: int, is_full: bool) -> bool:
+    def _append(self, table: str, columns: list[str], accepted: DataFrame, batch_id: int) -> bool:
         rows = accepted.where(F.col("route") == table)
-        if is_full:
-            rows = rows.where(~evolve.needs_unknown(columns))
         waits = self.config.retry.waits
         if not with_retries(lambda: self.store.append(table, columns, rows, batch_id), waits, self.sleep):
             return False
@@ -110,20 +125,16 @@ class IngestPipeline:
             self.store.lagging.add(table)
         return True
 
-    def _write_errors(self, staged: DataFrame, found: DataFrame, full: set[str], failed: list[str],
-                      batch_id: int) -> None:
-        """One error append per batch: rejected messages, rows that a full table has no column for, and rows whose
-        append was given up, which also go to the dead letters."""
+    def _write_errors(self, staged: DataFrame, failed: list[str], batch_id: int) -> None:
+        """One error append per batch: rejected messages, and rows whose append was given up, which also go to the dead
+        letters. A folder of dead letters is written in any case: a repeat that succeeds replaces those of the first
+        try."""
         errors = staged.where(F.col("route") == REJECTED_ROUTE)
-        if full:
-            wanted = found.where(F.col("table").isin(*full))
-            known = {r.table: r.columns for r in self.store.table_columns(wanted).toLocalIterator()}
-            for table in full:
-                refused = staged.where((F.col("route") == table) & evolve.needs_unknown(known.get(table, [])))
-                errors = errors.unionByName(refused.withColumn("error", F.lit(TOO_MANY_COLUMNS)))
         if failed:
             log.error("appends of %s given up, their rows of batch %s go to the dead letters", failed, batch_id)
-            lost = staged.where(F.col("route").isin(*failed))
+        lost = staged.where(F.col("route").isin(*failed)) if failed else staged.where(F.lit(False))
+        if failed or not self.config.dead_letter.startswith("kafka:"):
             files.dead_letter(lost, self.config.dead_letter, batch_id, **kafka_options(self.config.extra))
+        if failed:
             errors = errors.unionByName(lost.withColumn("error", F.lit(APPEND_FAILED)))
         files.write_errors(errors, self.config.errors, batch_id)

@@ -12,7 +12,7 @@ from formweave.session import shared_dir
 from formweave.sinks import files
 from formweave.sinks.tables import FormStore
 from formweave.sources.messages import from_kafka, message_attributes, messages
-from formweave.streaming.pipeline import APPEND_FAILED, TOO_MANY_COLUMNS, IngestPipeline
+from formweave.streaming.pipeline import APPEND_FAILED, IngestPipeline
 from formweave.streaming.retry import with_retries
 
 from conftest import KEK
@@ -73,14 +73,53 @@ def test_odd_column_names(job, message_of):
     assert [row[c] for c in ("a$b", "x,y", "é", "p(q)", "w;=", "`t`", "u/v")] == list("1234567")
 
 
-def test_a_full_table_is_not_widened(job, spark, message_of):
-    run = job(maxColumns=6)
-    run.process(message_of(("1", body({"a": 1, "b": 2}))), 0)
-    run.process(message_of(("2", body({"a": 3, "c": 4})), ("3", body({"a": 5}))), 1)
-    run.process(message_of(("4", body({"a": 1, "b": 2, "c": 3}, "g"))), 2)
-    assert sorted(r.a for r in run.store.read("f").collect()) == ["1", "5"]
-    errors = spark.read.parquet(run.config.errors).collect()
-    assert sorted((r.formName, r.description) for r in errors) == [("f", TOO_MANY_COLUMNS), ("g", TOO_MANY_COLUMNS)]
+def test_a_table_takes_any_number_of_columns(job, message_of):
+    run, width = job(), 400
+    run.process(message_of(("1", body({f"c{i}": i for i in range(width)}))), 0)
+    run.process(message_of(("2", body({f"d{i}": i for i in range(width)}))), 1)
+    rows = run.store.read("f").where("c7 = '7' OR d399 = '399'").count()
+    assert rows == 2 and len(run.store.columns("f")) >= 2 * width
+
+
+def test_backlog_then_stream_then_a_lost_checkpoint(job, message_of, tmp_path):
+    """Batches of a backlog, of a stream and of a stream that starts over do not replace one another."""
+    run = job()
+    run.process(message_of(("1", body({"old": 1})), ("b", "bad")), 0)
+    files.publish(message_of(("2", body({"a": 2}))), run.config.inputSubscription)
+    for _ in range(2):
+        run.start(available_now=True).awaitTermination()
+    assert {"old", "a"} <= set(run.store.columns("f"))
+    assert sorted((r.old, r.a) for r in run.store.read("f").fillna("").collect()) == [("", "2"), ("1", "")]
+    keys = [r.batch_id for r in run.store.read("f", with_batch=True).collect()]
+    other = IngestPipeline(run.spark, ElsewhereConfig(run.config.inputSubscription, run.config.root), run.cipher)
+    other.start(available_now=True).awaitTermination()
+    assert sorted(r.a for r in run.store.read("f").fillna("").collect()) == ["", "2", "2"]
+    assert len({*keys, *(r.batch_id for r in run.store.read("f", with_batch=True).collect())}) == 3
+
+
+class ElsewhereConfig(IngestConfig):
+    """The same job with a checkpoint that has been lost."""
+
+    @property
+    def checkpoint(self):
+        return f"{self.root}/_new_checkpoint"
+
+
+def test_a_repeat_that_succeeds_leaves_no_dead_letters(job, spark, message_of):
+    run = job()
+    append, batch = run.store.append, message_of(("1", body({"a": 1})))
+
+    def failing(*_):
+        raise RuntimeError("quota")
+
+    run.store.append = failing
+    run.process(batch, 0)
+    assert run.store.read("f").count() == 0 and spark.read.parquet(run.config.dead_letter).count() == 1
+    run.store.register_views()
+    run.store.append = append
+    run.process(batch, 0)
+    assert run.store.read("f").count() == 1
+    assert spark.read.parquet(run.config.dead_letter).count() == spark.read.parquet(run.config.errors).count() == 0
 
 
 def test_failed_appends_end_as_errors_and_dead_letters(job, spark, cipher, message_of):
@@ -269,9 +308,9 @@ def test_shared_folder_is_the_sessions_or_a_local_one():
 
 
 def test_options():
-    config = ingest_config(["--inputSubscription=topic", "--root=/x", "--keyId=k2", "--waits=1,2", "--maxColumns=5",
+    config = ingest_config(["--inputSubscription=topic", "--root=/x", "--keyId=k2", "--waits=1,2", "--parallelForms=5",
                             "--startingOffsets=earliest"])
-    assert config.keys.keyId == "k2" and config.retry.waits == (1.0, 2.0) and config.maxColumns == 5
+    assert config.keys.keyId == "k2" and config.retry.waits == (1.0, 2.0) and config.parallelForms == 5
     assert config.extra == {"startingOffsets": "earliest"}
     with pytest.raises(ValueError):
         ingest_config(["--root=/x"])
