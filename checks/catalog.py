@@ -4,6 +4,7 @@ in `checks.oracle` under the same name."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +26,6 @@ from formweave.streaming.pipeline import IngestPipeline
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# The columns of the purchase form once every message is in.
-PURCHASE_COLUMNS = ("_sysTrace", "coupon", "formMetaData_formName", "formMetaData_organization",
-                    "formMetaData_team", "formMetaData_version", "fullname", "home_city", "props", "unit_price",
-                    "user_id")
 DRIFT = "2024-01-15 00:00:00"
 
 
@@ -85,7 +82,8 @@ def _topic(spark: SparkSession, sf: str, files_count: int | None = None) -> str:
 
 def _pipeline(spark: SparkSession, sf: str, topic: str, with_rules: bool = True, **options) -> IngestPipeline:
     config = IngestConfig(inputSubscription=topic, root=fresh_dir(spark, "ingest"), baseUrl=fx.BASE_URL,
-                          bucketName=fx.BUCKET, retry=RetryConfig((0.0, 0.0, 0.0, 0.0)), **options)
+                          bucketName=fx.BUCKET, retry=RetryConfig((0.0, 0.0, 0.0, 0.0)),
+                          inputPartitions=spark.sparkContext.defaultParallelism, **options)
     if with_rules:
         files.write_rules(fx.rules(spark, sf), config.rules, 1)
     return IngestPipeline(spark, config, fx.cipher(spark))
@@ -102,12 +100,30 @@ def _ingested(spark: SparkSession, sf: str, **options) -> IngestPipeline:
     return job
 
 
-def _purchase_rows(job: IngestPipeline) -> DataFrame:
-    """Rows of the purchase table, every value opened as often as it was sealed."""
-    rows = job.store.read("purchase").select(*PURCHASE_COLUMNS)
+def _digest(rows: DataFrame, names: list[str], cells: Column) -> DataFrame:
+    """Per row the names of its cells and a digest of names and values, in order of name; NULL cells left out."""
+    cells = F.array_sort(F.filter(cells, lambda c: c["value"].isNotNull()))
+    texts = F.transform(cells, lambda c: F.concat(c["name"], F.lit("="), c["value"]))
+    return rows.select(*names, F.array_join(cells["name"], "|").alias("names"),
+                       F.md5(F.encode(F.array_join(texts, "\n"), "UTF-8")).alias("row_md5"))
+
+
+def _cells(columns: list[str]) -> Column:
+    return F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").alias("value")) for c in columns])
+
+
+def _table_rows(job: IngestPipeline) -> DataFrame:
+    """Rows of every form table, with the columns the job found, every value opened as often as it was sealed."""
+    parts = []
+    for form in job.store.registry().select("table").distinct().collect():
+        cells = _cells(job.store.columns(form.table))
+        rows = job.store.read(form.table).select(cells.alias("cells")).withColumn("row", F.monotonically_increasing_id())
+        parts.append(rows.select(F.lit(form.table).alias("table"), "row", F.inline("cells")))
+    cells = reduce(DataFrame.unionByName, parts)
     for _ in rules.TECHNIQUES:
-        rows = rows.select(*[F.coalesce(job.cipher.open_text(c), c).alias(c) for c in PURCHASE_COLUMNS])
-    return rows
+        cells = cells.withColumn("value", F.coalesce(job.cipher.open_text("value"), "value"))
+    rows = cells.groupBy("table", "row").agg(F.collect_list(F.struct("name", "value")).alias("cells"))
+    return _digest(rows, ["table"], F.col("cells"))
 
 
 # ---- sources -----------------------------------------------------------------------------------------------
@@ -181,6 +197,19 @@ def archive_objects(spark, sf):
         F.col("day").cast("int").alias("day"), "file_url", "body")
 
 
+@query
+def hostile_names(spark, sf):
+    """Forms named by whole document texts: every message is archived, in a folder any file system takes."""
+    cipher, path = fx.cipher(spark), fresh_dir(spark, "archive")
+    messages = fx.sealed(spark, sf, cipher, fx.HOSTILE)
+    staged = stage(messages, fx.rules(spark, sf), cipher, fx.BASE_URL, fx.BUCKET)
+    kept = accepted(staged, "message_id", "file_url", "payload", "formName", "month", "day")
+    files.archive(kept.hint("rebalance", "formName"), path, 0)
+    stored = spark.read.parquet(path)
+    return stored.select("message_id", F.md5(F.encode("formName", "UTF-8")).alias("form_md5"),
+                         (F.octet_length("form") <= 255).alias("short_folder"))
+
+
 @query
 def form_table_create(spark, sf):
     job = _ingested(spark, sf)
@@ -190,12 +219,26 @@ def form_table_create(spark, sf):
 @query
 def form_table_evolve(spark, sf):
     job = _ingested(spark, sf)
-    return job.store.registry().where("table = 'purchase'").select("column", "position")
+    return job.store.registry().select("table", "column", "position")
 
 
 @query
 def form_table_append(spark, sf):
-    return _purchase_rows(_ingested(spark, sf))
+    return _table_rows(_ingested(spark, sf))
+
+
+@query
+def backlog_then_stream(spark, sf):
+    """A backlog handed over as one batch, then a stream into the same tables: all rows stay."""
+    backlog, topic = fresh_dir(spark, "topic"), fresh_dir(spark, "topic")
+    sealed = fx.sealed(spark, sf, fx.cipher(spark))
+    late = F.col("publish_time") >= F.lit(DRIFT).cast("timestamp")
+    files.publish(sealed.where(~late), backlog)
+    files.publish(sealed.where(late), topic)
+    job = _pipeline(spark, sf, topic)
+    job.process(message_source.messages(spark, backlog), 0)
+    job.start(available_now=True).awaitTermination()
+    return _table_rows(job)
 
 
 @query
@@ -299,8 +342,14 @@ def normalise_names(spark, sf):
 
 @query
 def pivot_form_columns(spark, sf):
-    rows = _columns(spark, sf).where("formName = 'purchase'")
-    return evolve.wide_rows(rows, list(PURCHASE_COLUMNS), keep=("message_id",))
+    """Every form's messages as rows of the columns that the form's messages have."""
+    rows = _columns(spark, sf)
+    found = evolve.batch_columns(rows).groupBy("table").agg(F.array_sort(F.collect_list("column")).alias("columns"))
+    parts = []
+    for form in found.collect():
+        wide = evolve.wide_rows(rows.where(F.col("route") == form.table), form.columns, keep=("message_id",))
+        parts.append(_digest(wide.withColumn("table", F.lit(form.table)), ["table", "message_id"], _cells(form.columns)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -631,10 +680,10 @@ def deid_documents(spark, sf):
 
 @query
 def stream_ingest(spark, sf):
-    """The messages as a stream of several files: all rows of the purchase table, sealed columns opened."""
+    """The messages as a stream of several files: all rows of all tables, sealed columns opened."""
     job = _pipeline(spark, sf, _topic(spark, sf, 4), maxFilesPerTrigger=2)
     job.start(available_now=True).awaitTermination()
-    return _purchase_rows(job)
+    return _table_rows(job)
 
 
 @query

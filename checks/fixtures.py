@@ -88,14 +88,29 @@ SELECT o_orderkey AS line_no,
   o_orderkey % 29 = 5 AS is_short
 FROM orders"""
 
-# Conversations as nested documents of different depth, with brackets and quotes inside strings.
-DEEP = """
+def _json_text(column: str) -> str:
+    """A text column as a JSON string, without its quotes."""
+    for code, letter in ((92, chr(92)), (34, '"'), (10, "n"), (13, "r"), (9, "t")):
+        shown = "chr(92)" if code == 92 else f"'{letter}'"
+        column = f"replace({column}, chr({code}), concat(chr(92), {shown}))"
+    return column
+
+
+# Conversations as nested documents of different depth, with brackets and quotes inside strings, and their whole texts.
+DEEP = f"""
 SELECT concat(cast(conv_id AS string), '-', cast(turn AS string)) AS id,
-  concat('{"a":{"b":', cast(conv_id AS string), ',"x":[', cast(turn AS string), ',{"y":[["', role,
-    '"],"]}"]}]},"d":null,"k.z":"q[{', chr(92), '"","emp":{},"ea":[]',
-    CASE WHEN turn % 3 = 1 THEN ',"deep":[[[[[[[[[[[[[[[7]]]]]]]]]]]]]]]' ELSE '' END, '}') AS doc
+  concat('{{"a":{{"b":', cast(conv_id AS string), ',"x":[', cast(turn AS string), ',{{"y":[["', role,
+    '"],"]}}"]}}]}},"d":null,"k.z":"q[{{', chr(92), '"","emp":{{}},"ea":[],"n":{{"text":["', {_json_text("coalesce(text, '')")}, '"]}}',
+    CASE WHEN turn % 3 = 1 THEN ',"deep":[[[[[[[[[[[[[[[7]]]]]]]]]]]]]]]' ELSE '' END, '}}') AS doc
 FROM conversations"""
 
+# Documents as messages of forms that are named by the document's whole text.
+HOSTILE = f"""
+SELECT cast(doc_id AS string) AS message_id, TIMESTAMP '2024-01-15 00:00:00' AS publish_time,
+  concat('{{"formData":{{"n":1}},"formMetaData":{{"organization":"org1","team":"t","version":"v1","formName":"',
+    {_json_text("text")}, '"}}}}') AS body
+FROM documents"""
+
 # Documents as forms named after their source; the rule table names the text field of every source.
 DOCUMENT_RULES = """
 SELECT DISTINCT upper(source) AS formName, 'text' AS fieldName, 'masking' AS dlpTechnique, '' AS addnl_info

@@ -75,12 +75,10 @@ h AS (SELECT message_id, body, json_extract_string(body, '$.formMetaData.formNam
   json_extract_string(body, '$.formMetaData.team') AS team,
   json_extract_string(body, '$.formMetaData.version') AS version FROM m)"""
 
-# Opened rows of the purchase table.
-_PURCHASE = f"""WITH {_COLUMNS}
-SELECT {", ".join(f"max(value) FILTER (key = '{c}') AS {c}" for c in (
-    "_sysTrace", "coupon", "formMetaData_formName", "formMetaData_organization", "formMetaData_team",
-    "formMetaData_version", "fullname", "home_city", "props", "unit_price", "user_id"))} FROM c
-WHERE formName = 'purchase' GROUP BY message_id"""
+# Opened rows of all form tables.
+_ROWS = f"""WITH {_COLUMNS}, t AS (SELECT message_id, formName AS "table", string_agg(key, '|' ORDER BY key) AS names,
+  md5(string_agg(key || '=' || value, chr(10) ORDER BY key)) AS row_md5 FROM c GROUP BY message_id, formName)"""
+_TABLES = _ROWS + ' SELECT "table", names, row_md5 FROM t'
 
 _FIRST = f"""{_COLUMNS},
 found AS (SELECT DISTINCT formName, key AS "column" FROM c),
@@ -118,10 +116,14 @@ cast(day(publish_time) AS integer) AS day, {_URL} AS file_url, body FROM r WHERE
   WHERE publish_time < TIMESTAMP '2024-01-15 00:00:00')
 SELECT formName, formName AS "table", key AS "column",
 cast(row_number() OVER (PARTITION BY formName ORDER BY key) - 1 AS integer) AS position FROM g""",
-    "form_table_evolve": f"""WITH {_COLUMNS}, g AS (SELECT key, min(publish_time) >= TIMESTAMP '2024-01-15 00:00:00' AS late
-  FROM c WHERE formName = 'purchase' GROUP BY key)
-SELECT key AS "column", cast(row_number() OVER (ORDER BY late, key) - 1 AS integer) AS position FROM g""",
-    "form_table_append": _PURCHASE,
+    "form_table_evolve": f"""WITH {_COLUMNS}, g AS (SELECT formName, key,
+  min(publish_time) >= TIMESTAMP '2024-01-15 00:00:00' AS late FROM c GROUP BY formName, key)
+SELECT formName AS "table", key AS "column",
+cast(row_number() OVER (PARTITION BY formName ORDER BY late, key) - 1 AS integer) AS position FROM g""",
+    "hostile_names": """SELECT cast(doc_id AS VARCHAR) AS message_id, md5(text) AS form_md5, true AS short_folder
+FROM documents WHERE text <> ''""",
+    "form_table_append": _TABLES,
+    "backlog_then_stream": _TABLES,
     "error_rows": f"""WITH {_READ} SELECT coalesce(formName, '') AS formName, '' AS errorFormData,
 error AS description, true AS has_time FROM r WHERE error IS NOT NULL""",
     "error_table": f"""WITH {_READ} SELECT coalesce(formName, '') AS formName, '' AS errorFormData,
@@ -156,6 +158,7 @@ SELECT id, 'a.b' AS key, json_extract_string(doc, '$.a.b') AS value FROM m
 UNION ALL SELECT id, 'a.x[0]', json_extract_string(doc, '$.a.x[0]') FROM m
 UNION ALL SELECT id, 'a.x[1].y[0][0]', json_extract_string(doc, '$.a.x[1].y[0][0]') FROM m
 UNION ALL SELECT id, 'a.x[1].y[1]', json_extract_string(doc, '$.a.x[1].y[1]') FROM m
+UNION ALL SELECT id, 'n.text[0]', json_extract_string(doc, '$.n.text[0]') FROM m
 UNION ALL SELECT id, 'd', 'null' FROM m
 UNION ALL SELECT id, '["k.z"]', json_extract_string(doc, '$."k.z"') FROM m
 UNION ALL SELECT id, 'emp', '{{}}' FROM m
@@ -163,7 +166,7 @@ UNION ALL SELECT id, 'ea', '[]' FROM m
 UNION ALL SELECT id, 'deep' || repeat('[0]', 15), '7' FROM m WHERE json_extract(doc, '$.deep') IS NOT NULL""",
     "normalise_names": """SELECT doc_id, md5(replace(replace(regexp_replace(text, '[\\[\\]{}" ]', '', 'g'), '.', '_'), '-', '_'))
 AS name_md5 FROM documents""",
-    "pivot_form_columns": _PURCHASE.replace("SELECT max(value)", "SELECT message_id, max(value)", 1),
+    "pivot_form_columns": _ROWS + ' SELECT "table", message_id, names, row_md5 FROM t',
     "rules_csv_valid": f"""WITH {_CELLS} SELECT raw1 AS formName, raw2 AS fieldName, raw3 AS dlpTechnique, c4 AS addnl_info,
 count(*) AS n FROM valid GROUP BY ALL""",
     "rules_csv_action": f"""WITH {_CELLS} SELECT formName, fieldName, dlpTechnique, action, count(*) AS n
@@ -268,7 +271,7 @@ FROM f LEFT JOIN p ON lower(f.formName) = p.form_key AND f.key = p.field GROUP B
     "deid_documents": """SELECT cast(doc_id AS VARCHAR) AS message_id, source AS formName, lang, md5(text) AS text_md5,
 false AS in_clear FROM documents""",
     # streaming
-    "stream_ingest": _PURCHASE,
+    "stream_ingest": _TABLES,
     "stream_schema_drift": f'WITH {_COLUMNS} SELECT DISTINCT formName, key AS "column" FROM c',
     "stream_counts": f"""WITH {_READ} SELECT count(*) AS messages, count(error) AS rejected FROM r""",
 }

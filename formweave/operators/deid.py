@@ -16,13 +16,17 @@ FIELD_LISTS = tuple(f"{t.lower()}_fields" for t in TECHNIQUES)
 NOT_SEALED = "DEID: a field cannot be sealed"
 
 
-def with_rules(forms: DataFrame, by_form: DataFrame) -> DataFrame:
+def with_rules(forms: DataFrame, by_form: DataFrame, key_by: str = "message_id") -> DataFrame:
     """Add the field lists of each row's form, ignoring case; empty lists when it has none.
 
     There is no broadcast hint: Spark compares the size of the rule table with its threshold and broadcasts
     it if it fits, else it sorts and merges, where adaptive execution splits a form that holds many rows.
+    Rows without a form name find no rule; they get keys of their own, which no rule has, so that they spread.
     """
-    joined = forms.join(by_form, F.lower(forms["formName"]) == by_form["form_key"], "left").drop("form_key")
+    named = F.concat(F.lit("f"), F.lower("formName"))
+    keyed = forms.withColumn("_key", F.coalesce(named, F.concat(F.lit("n"), F.col(key_by).cast("string"))))
+    lists = by_form.withColumn("form_key", F.concat(F.lit("f"), F.col("form_key")))
+    joined = keyed.join(lists, F.col("_key") == F.col("form_key"), "left").drop("form_key", "_key")
     empty = F.array().cast("array<string>")
     return joined.withColumns({name: F.coalesce(name, empty) for name in FIELD_LISTS})
 
@@ -39,7 +43,7 @@ def deidentify(forms: DataFrame, by_form: DataFrame, cipher: EnvelopeCipher, on_
 
     A value that cannot be sealed rejects its row; ``on_error="pass"`` lets it through in the clear.
     """
-    rows = cipher.with_data_key(with_rules(forms, by_form), key_by)
+    rows = cipher.with_data_key(with_rules(forms, by_form, key_by), key_by)
     rows = rows.withColumn("sealed", F.col("values"))
     for fields in FIELD_LISTS:
         rows = rows.withColumn("sealed", seal_fields(F.col("sealed"), F.col(fields)))

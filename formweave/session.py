@@ -47,11 +47,9 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Let every core take part in work that is heavy per row, such as opening and sealing messages.
+def spread(rows: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Shuffle rows evenly, whatever their keys, over that many partitions, or one per core the session began with.
 
-    Only an input with fewer splits than the cluster has cores is shuffled, and evenly, whatever its keys; one
-    with more, as any large input has, is left alone.
+    For inputs of few, large files, whose rows are heavy work each, such as opening and sealing messages.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(partitions or rows.sparkSession.sparkContext.defaultParallelism)

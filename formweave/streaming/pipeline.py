@@ -11,6 +11,7 @@ import logging
 import time
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
+from threading import BoundedSemaphore
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -87,9 +88,18 @@ class IngestPipeline:
             # A message without a time or an id has no URL; accepted, it is archived all the same.
             kept = staged.where(F.col("file_url").isNotNull() | (F.col("route") != REJECTED_ROUTE))
             archived = pool.apply_async(inheritable_thread_target(self.spark)(files.archive), (kept, self.config.archive, batch_id))
-            tables = self.store.table_columns(found).toLocalIterator()
-            tried = pool.imap_unordered(inheritable_thread_target(self.spark)(
-                lambda t: (t.table, self._append(t.table, t.columns, accepted, batch_id))), tables)
+            # The pool reads ahead of its threads; a free place is waited for, so that the driver holds the columns of
+            # few tables at a time.
+            places = BoundedSemaphore(2 * self.config.parallelForms)
+            tables = (t for t in self.store.table_columns(found).toLocalIterator() if places.acquire())
+
+            def append(t):
+                try:
+                    return t.table, self._append(t.table, t.columns, accepted, batch_id)
+                finally:
+                    places.release()
+
+            tried = pool.imap_unordered(inheritable_thread_target(self.spark)(append), tables)
             failed = [table for table, done in tried if not done]
             archived.get()
         self._write_errors(staged, failed, batch_id)
@@ -98,7 +108,9 @@ class IngestPipeline:
 
     def _stage(self, messages: DataFrame, batch_id: int) -> DataFrame:
         config = self.config
-        rows = stage(spread(messages), current_rules(self.spark, config.rules), self.cipher, config.baseUrl,
+        if config.inputPartitions:
+            messages = spread(messages, config.inputPartitions)
+        rows = stage(messages, current_rules(self.spark, config.rules), self.cipher, config.baseUrl,
                      config.bucketName, config.onDeidError, config.collision)
         rows, seen = observed(rows, f"ingest-{batch_id}")
         # Adaptive execution merges the partitions of small tables and splits those of a table with many rows. Days
