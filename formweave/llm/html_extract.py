@@ -2,8 +2,8 @@
 
 Pages of a host are made from few templates, so its pages agree on where the article stands. Each page scores its
 containers and votes for the best ones by their generalised path (tags with their first class, digits masked); the
-votes are summed per host, and every page of the host is extracted again below the path that won. Where a page has
-nothing below that path, its own best container stands in.
+votes are summed per host, and every page of the host is extracted again below the path that won, or below the article
+around it. Where a page has nothing below that path, its own best container stands in.
 
 Votes are combined before the shuffle, a row per host and path; the winners are one row per host.
 """
@@ -40,6 +40,7 @@ comments commentlist respond disqus replies share sharing shares social related
 subscribe subscription signup login search searchform form widget widgets skip copyright legal tags tagcloud outbrain
 taboola""".split())
 ARTICLE_NAMES = frozenset("article entry post content story main body page text".split())
+WHOLE_NAMES = frozenset("article entry post story".split())  # names of a whole article, heading and lead included
 CLOSES_P = CONTAINERS | TEXT_BLOCKS | DROPPED - {"button", "label", "input", "select", "svg", "map", "object", "iframe",
                                                  "audio", "video", "canvas", "embed", "script", "style", "noscript",
                                                  "template", "textarea"}
@@ -205,19 +206,41 @@ def parse(source: str) -> Page:
     return page
 
 
+def articles(page: Page) -> list[int]:
+    """The article each container belongs to, itself included, -1 if none: the nearest article or main element, or
+    else the outermost container with the name of one."""
+    out = [-1] * len(page.paths)
+    for i, (path, parent) in enumerate(zip(page.paths, page.parents)):
+        if parent < 0:
+            continue
+        tag, _, name = path.rsplit(">", 1)[-1].partition(".")
+        if tag in ("article", "main"):
+            out[i] = i
+        elif out[parent] >= 0:
+            out[i] = out[parent]
+        elif tag not in ("html", "body") and WHOLE_NAMES.intersection(WORD.findall(name)):
+            out[i] = i
+    return out
+
+
 def scores(page: Page) -> dict[str, float]:
-    """Score of each container path: the text that stands in it directly, less what is links, and a part of what
-    its children hold. Articles and main elements count more, lists and tables less."""
+    """Score of each container path: the text that stands in it directly, less what is links, all that its children
+    hold up to the article around them, and a part of it further up. Articles and main elements count more, lists and
+    tables less."""
     own = [0.0] * len(page.paths)
+    tops = articles(page)
     for text, home, linked in zip(page.texts, page.homes, page.linked):
         weight = max(0.0, len(text) - 2.0 * linked) + 1.0
         own[home] += weight
-        share = 0.5
-        up = page.parents[home]
-        while up > 0 and share > 0.1:
+        share = 1.0
+        top, at, up = tops[home], home, page.parents[home]
+        while up > 0:
+            if top < 0 or at <= top:
+                share /= 2
+                if share <= 0.1:
+                    break
             own[up] += weight * share
-            share /= 2
-            up = page.parents[up]
+            at, up = up, page.parents[up]
     out: dict[str, float] = {}
     for path, value in zip(page.paths, own):
         if value:
@@ -237,10 +260,13 @@ def best(page: Page) -> str | None:
 
 
 def extract(page: Page, path: str | None) -> str:
-    """Blocks of the containers with this path and of all containers inside them, in page order."""
+    """Blocks of the containers with this path, or of the articles they belong to, and of all containers inside them,
+    in page order."""
+    tops = articles(page)
+    chosen = {i if top < 0 else top for i, (own, top) in enumerate(zip(page.paths, tops)) if own == path}
     inside = [False] * len(page.paths)
-    for i, (own, parent) in enumerate(zip(page.paths, page.parents)):
-        inside[i] = own == path or (parent >= 0 and inside[parent])
+    for i, parent in enumerate(page.parents):
+        inside[i] = i in chosen or (parent >= 0 and inside[parent])
     return "\n".join(t for t, home in zip(page.texts, page.homes) if inside[home])
 
 

@@ -36,6 +36,31 @@ def test_containers_without_article_tags():
     assert text_of(page("".join(NOISE) + body)) == "T\n" + " ".join(["word"] * 40) + "\nx\ny\na b"
 
 
+def test_an_article_is_left_whole():
+    """Headings, leads and boxes beside the part that holds most of the text, at any depth of wrappers."""
+    head, lead, text = "H" * 30, "l" * 300, "t" * 1000
+    for body in (f'<h1>{head}</h1><div class="body">{text}</div>', f"<h1>{head}</h1><div><div>{text}</div></div>",
+                 f"<h1>{head}</h1><div><div><div><div><div>{text}</div></div></div></div></div>",
+                 f'<header><h1>{head}</h1></header><div class="intro">{lead}</div><div class="text">{text}</div>',
+                 f'<div><h1>{head}</h1></div><div><div class="text">{text}</div><div>{lead}</div></div>'):
+        want = [x for x in (head, lead, text) if x in body]
+        for tag in ("article", "main", "div")[: 2 if "<header>" in body else 3]:
+            made = page("".join(NOISE) + f'<{tag} class="{"post" if tag == "div" else "x"}">{body}</{tag}><div>Other</div>')
+            found = text_of(made).split("\n")
+            assert sorted(found) == sorted(want), (tag, body)
+    two = f"<main><article><h1>{head}</h1><div>{text}</div></article><div>{lead}</div></main>"
+    assert text_of(page(two)) == f"{head}\n{text}"
+
+
+def test_the_article_around_a_winning_path_is_taken(spark):
+    head, text = "H" * 30, "t" * 1000
+    rows = [(i, f"http://h.com/{i}", page(f'<article><h1>{head}</h1><div><div class="body">{text}</div></div></article>'))
+            for i in range(3)]
+    found = h.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r["text"] for r in found} == {f"{head}\n{text}"}
+    assert h.extract(h.parse(rows[0][2]), ">html>body>article>div>div.body") == f"{head}\n{text}"
+
+
 def test_broken_markup():
     assert text_of("<article><p>cut off") == "cut off"
     assert text_of("plain text") == "plain text"
