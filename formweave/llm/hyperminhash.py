@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formweave.llm.blocks import (LOWERED, SPACES, U64, Block, Spans, blocks, materialise, mix, shuffle_partitions, ship,
@@ -138,9 +138,9 @@ def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
             ids = set_ids(values, texts, n)
             regs = registers(values, texts, n).astype("<u2")
             yield pa.record_batch([
-                batch.column(0).slice(rows.start, n), pa.array(sizes, pa.int64()),
+                batch.column(0).slice(rows.start, n), batch.column(1).slice(rows.start, n), pa.array(sizes, pa.int64()),
                 pa.array([ids[i] if sizes[i] else None for i in range(n)], pa.binary()),
-                pa.array([r.tobytes() for r in regs], pa.binary())], names=["doc_id", "n_shingles", "set_id", "regs"])
+                pa.array([r.tobytes() for r in regs], pa.binary())], names=["doc_id", "hash", "n_shingles", "set_id", "regs"])
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,22 +273,31 @@ def components(edges: DataFrame) -> DataFrame:
 # ---- the operator ------------------------------------------------------------------------------------------
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of each row of ``docs``.
+def text_hash() -> Column:
+    """With the id the key of a row: rows with both alike are judged alike."""
+    return F.xxhash64("text")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, hashed: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of each row of ``docs``; with ``hashed`` also hash, its text_hash.
 
     Words are what white space leaves, A-Z lower-cased; a text with fewer than ``width`` words is one shingle. Rows
     are linked if 100 * common shingles >= ``percent`` * all shingles. A null or wordless text has no shingles, is
     linked with nothing and kept; its component is its own id. Repeated rows are one document. The component is the
-    least id reachable; a null id counts as no id.
+    least id reachable; a null id counts as no id. Rows that reach no id have a null component and are kept.
     """
     ship(docs.sparkSession)
-    rows = docs.select("doc_id", "text")
+    rows = docs.select("doc_id", text_hash().alias("hash"), "text")
     kind = dict(rows.dtypes)["doc_id"]
-    sketches = materialise(rows.mapInArrow(lambda b: _sketch(b, width), f"doc_id {kind}, n_shingles bigint, "
-                                           "set_id binary, regs binary"), "sketches")
+    sketches = materialise(rows.mapInArrow(lambda b: _sketch(b, width), f"doc_id {kind}, hash bigint, "
+                                           "n_shingles bigint, set_id binary, regs binary"), "sketches")
     with_set = sketches.where("set_id IS NOT NULL")
-    classes = materialise(with_set.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-                                                         F.first("regs").alias("regs")), "classes")
+    # Of each class one row is named by id and hash, or by its hash alone where no row has an id.
+    named = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "hash"))).alias("named")
+    classes = with_set.groupBy("set_id").agg(named, F.min("hash").alias("least_hash"), F.first("n_shingles").alias("n"),
+                                             F.first("regs").alias("regs"))
+    classes = materialise(classes.select("set_id", F.col("named.doc_id").alias("rep"), F.coalesce(
+        "named.hash", "least_hash").alias("rep_hash"), "n", "regs"), "classes")
     links = _links(rows, classes, width, percent)
 
     labels = components(links)
@@ -297,10 +306,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     linked = groups.join(least, "label").select("set_id", "component_id")
     ids = classes.select("set_id", "rep").join(linked, "set_id", "left").select(
         F.col("set_id").alias("of_set"), F.coalesce("component_id", "rep").alias("component_id"))
-    placed = sketches.select("doc_id", "n_shingles", "set_id").join(ids, F.col("set_id") == F.col("of_set"), "left")
+    placed = sketches.select("doc_id", "hash", "n_shingles", "set_id").join(ids, F.col("set_id") == F.col("of_set"), "left")
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return placed.select("doc_id", "n_shingles", component.alias("component_id"),
-                         F.col("doc_id").eqNullSafe(component).alias("kept"))
+                         F.col("doc_id").eqNullSafe(component).alias("kept"), *(["hash"] if hashed else []))
 
 
 def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -312,10 +321,15 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     members = materialise(bands.join(crowded, ["band", "key"]), "buckets")
 
     wanted = classes.join(members.select("set_id").distinct(), "set_id", "left_semi")
-    wanted = materialise(wanted.select("set_id", "rep"), "wanted")
-    reps = small_side(wanted.withColumnRenamed("set_id", "want"), 64)
-    texts = rows.where("text IS NOT NULL").join(reps, F.col("doc_id") == F.col("rep")).select("want", "text")
-    # An id that stands on rows with different texts brings all of them; those with another set are left out.
+    wanted = materialise(wanted.select(F.col("set_id").alias("want"), "rep", "rep_hash"), "wanted")
+    reps = small_side(wanted.where("rep IS NOT NULL"), 64)
+    with_id = rows.where("text IS NOT NULL").join(
+        reps, (F.col("doc_id") == F.col("rep")) & (F.col("hash") == F.col("rep_hash"))).select("want", "text")
+    # Rows without an id are named by their text alone, so copies come along; one of them is enough.
+    reps = small_side(wanted.where("rep IS NULL"), 64)
+    without = rows.where("text IS NOT NULL AND doc_id IS NULL").join(
+        reps, F.col("hash") == F.col("rep_hash")).select("want", "text").dropDuplicates(["want"])
+    texts = with_id.unionByName(without)
     sets = materialise(texts.mapInArrow(
         lambda b: _full_sets(b, width), "set_id binary, n bigint, regs binary, hashes binary")
         .dropDuplicates(["set_id"]), "sets")

@@ -66,6 +66,25 @@ def test_stage(spark, odd, empty, name, stage):
         assert (kept > 0) == (docs is odd)
 
 
+def test_rows_of_a_group_go_one_by_one(spark, empty):
+    """A copy without an id, or under a repeated id, takes no other row with it; classes without any id are linked."""
+    from tests.llm.conftest import sentence
+
+    a, b, c, d, e = (sentence(500 + i, 60) for i in range(5))
+    near_e = [e + " " + " ".join(f"zz{i}{k}" for k in range(2)) for i in range(4)]
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (5, a), (5, d), (None, None), (9, near_e[0]),
+            *((None, x) for x in (e, *near_e[1:]))]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], empty.schema)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (None, b), (None, c), (5, d), (None, None), (9, near_e[0])], key=str)
+    # No class of a chain of near copies but its last has an id: every link is found from full sets without one.
+    words = sentence(600, 300).split(" ")
+    steps = [" ".join(["q%d" % k for k in range(12 * i)] + words[12 * i:]) for i in range(12)]
+    chain = [(None, t) for t in steps[1:]] + [(3, steps[0])]
+    found = hyperminhash.near_duplicates(spark.createDataFrame([(i, t, None, None, None) for i, t in chain], empty.schema))
+    assert {(r["component_id"], r["kept"]) for r in found.where("doc_id IS NULL").collect()} == {(3, False)}
+
+
 def test_pipeline_keeps_one_of_each_group(spark, tmp_path, corpus_frame):
     corpus_frame.write.parquet(f"{tmp_path}/documents.parquet")
     items(spark).write.parquet(f"{tmp_path}/benchmark.parquet")
