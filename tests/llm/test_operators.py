@@ -124,6 +124,54 @@ def test_repeats_settled_across_tasks(spark, monkeypatch):
     assert {d: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for d, r in found.items()} == want
 
 
+@pytest.mark.parametrize("hot_runs", [1, 4, 1 << 20])
+def test_a_common_phrase_is_dealt_over_many_buckets(spark, monkeypatch, hot_runs):
+    """A phrase shorter than the width in all documents, with other words around it: some neighbours stand twice."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffix_dedup, "HOT_RUNS", hot_runs)
+    monkeypatch.setattr(suffix_dedup, "SAMPLE", 1)
+    random = np.random.default_rng(11)
+    phrase = "the very same words everywhere"
+
+    def around(n):
+        return bytes(random.integers(97, 123, n, dtype=np.uint8)).decode()
+
+    docs = [(i, f"{around(60)}{phrase}{around(60)}") for i in range(200)]
+    docs += [(200 + i, f"{around(9)}{docs[3 * i][1][20 + i: 120 - i]}{around(70)}{phrase}{docs[i][1][90:]}") for i in range(40)]
+    docs += [(None, docs[5][1]), (300, docs[6][1])]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(7)
+    found = by_id(suffix_dedup.digest(suffix_dedup.remove_repeats(frame)))
+    assert {d: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for d, r in found.items()} == brute.repeats(
+        docs)
+
+    rows = frame.selectExpr("doc_id id", "xxhash64(text) hash", "text")
+    hot = suffix_dedup.hot_grams(rows, 50, 20)
+    assert (len(hot[0]) > 0) == (hot_runs < 100)
+    batch = pa.record_batch([pa.array([d for d, _ in docs[:200]]), pa.array(range(200)), pa.array([t for _, t in docs[:200]])],
+                            names=["id", "hash", "text"])
+    held = {}
+    for part in suffix_dedup._send_runs([batch], 50, 20, 64, hot):
+        for r in part.to_pylist():
+            for g in suffix_dedup.unpacked(r["gram"], 5) if r["kind"] else ():
+                held.setdefault(int(g), {}).setdefault(r["bucket"], []).append(1)
+    common = max(held.values(), key=lambda b: sum(map(len, b.values())))
+    assert sum(map(len, common.values())) >= 100
+    assert max(map(len, common.values())) <= (20 if hot_runs < 100 else 200)
+    # Its windows are dealt out likewise, each with its own bytes.
+    (gram,) = (g for g, b in held.items() if b is common)
+    looked = [[{"low": np.array([45], "<u4").tobytes(), "size": np.array([30], "<u4").tobytes(),
+                "gram": np.array([gram], "<u8").tobytes()}]] * 200
+    wanted = batch.append_column("runs", pa.array(looked))
+    sizes = {}
+    for part in suffix_dedup._send_suffixes([wanted], 50, 64, hot):
+        for r in part.to_pylist():
+            if r["kind"]:
+                sizes[r["bucket"]] = sizes.get(r["bucket"], 0) + int(suffix_dedup.unpacked(r["size"], 4).sum())
+    assert sum(sizes.values()) >= 5900
+    assert max(sizes.values()) <= (600 if hot_runs < 100 else 6000)
+
+
 def test_radix_groups_are_equal_windows():
     random = np.random.default_rng(5)
     data = random.integers(97, 99, 3000, dtype=np.uint8)
