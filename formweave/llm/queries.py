@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formweave.llm import (decontaminate, html_extract, hyperminhash, imatch, langid, pareto_mix, quality,
-                           suffix_dedup, token_counts, url_rules)
+                           suffix_dedup, token_counts, turn_repair, url_rules)
 from formweave.llm.blocks import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,7 +83,80 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.train(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_report(turn_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 ORACLE: dict[str, str] = {
+    "op11_conversation_repair": r"""
+WITH RECURSIVE k AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, x: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))) AS t),
+r AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)),
+           lambda c, b: xor(c >> 8, k.t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS lot
+  FROM conversations, k),
+d AS (
+  SELECT conv_id, turn, CASE lot WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE lot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE lot WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM r),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1, 's') AS last, left(role, 1) AS initial
+  FROM d),
+q AS (
+  SELECT *, last = '' AS blank, last <> '' AND seen AS duplicate,
+         last <> '' AND NOT seen AND last NOT IN ('.', '!', '?') AS truncated,
+         coalesce(before || initial NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS seen,
+               lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM o)),
+n AS (
+  SELECT conv_id, count(*) AS rows, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+         count_if(blank) AS blank, count_if(duplicate) AS duplicate, count_if(truncated) AS truncated,
+         count_if(illegal) AS illegal
+  FROM q GROUP BY conv_id),
+w(conv_id, pos, f) AS (
+  SELECT conv_id, 0::BIGINT, [{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}, {'c': 1000000000, 'a': '', 't': []},
+                              {'c': 1000000000, 'a': '', 't': []}, {'c': 1000000000, 'a': '', 't': []}]
+  FROM n
+  UNION ALL
+  SELECT conv_id, pos, CASE WHEN gone THEN list_transform(g, lambda x: {'c': x.c + 4, 'a': x.a || 'D', 't': x.t}) ELSE [
+      {'c': g[1].c + 4, 'a': g[1].a || 'D', 't': g[1].t},
+      list_min([{'c': g[2].c + 4, 'a': g[2].a || 'D', 't': g[2].t},
+                CASE WHEN initial = 's' THEN {'c': g[1].c + p, 'a': g[1].a || 'K', 't': list_append(g[1].t, role || ':' || text)} END]),
+      list_min([{'c': g[3].c + 4, 'a': g[3].a || 'D', 't': g[3].t},
+                {'c': m.c + p + 3, 'a': m.a || 'R', 't': list_append(m.t, 'user:' || text)},
+                CASE WHEN initial = 'u' THEN {'c': m.c + p, 'a': m.a || 'K', 't': list_append(m.t, role || ':' || text)} END]),
+      list_min([{'c': g[4].c + 4, 'a': g[4].a || 'D', 't': g[4].t},
+                {'c': g[3].c + p + 3, 'a': g[3].a || 'R', 't': list_append(g[3].t, 'assistant:' || text)},
+                CASE WHEN initial = 'a' THEN {'c': g[3].c + p, 'a': g[3].a || 'K', 't': list_append(g[3].t, role || ':' || text)} END])
+    ] END
+  FROM (
+    SELECT *, list_min([g[1], g[2], g[4]]) AS m
+    FROM (
+      SELECT *, [f[1], f[2], two, list_min([f[4], {'c': two.c + 3, 'a': two.a || 'I', 't': list_append(two.t, 'assistant:')}])] AS g
+      FROM (
+        SELECT w.conv_id, w.pos + 1 AS pos, w.f, q.blank OR q.duplicate AS gone, CASE WHEN q.truncated THEN 3 ELSE 0 END AS p,
+               q.initial, q.role, q.text,
+               list_min([w.f[3], {'c': e.c + 3, 'a': e.a || 'I', 't': list_append(e.t, 'user:')}]) AS two
+        FROM (SELECT *, list_min([f[1], f[2], f[4]]) AS e FROM w) w
+        JOIN q ON w.conv_id IS NOT DISTINCT FROM q.conv_id AND q.pos = w.pos + 1)))),
+z AS (
+  SELECT conv_id, list_min([f[1], f[4], {'c': two.c + 3, 'a': two.a || 'I', 't': list_append(two.t, 'assistant:')}]) AS b
+  FROM (
+    SELECT w.conv_id, w.f, list_min([w.f[3], {'c': e.c + 3, 'a': e.a || 'I', 't': list_append(e.t, 'user:')}]) AS two
+    FROM (SELECT *, list_min([f[1], f[2], f[4]]) AS e FROM w) w
+    JOIN n ON w.conv_id IS NOT DISTINCT FROM n.conv_id AND w.pos = n.rows))
+SELECT c.conv_id, coalesce(n.gaps, 0)::BIGINT AS gaps, coalesce(n.blank, 0)::BIGINT AS blank,
+       coalesce(n.duplicate, 0)::BIGINT AS duplicate, coalesce(n.truncated, 0)::BIGINT AS truncated,
+       coalesce(n.illegal, 0)::BIGINT AS illegal, coalesce(z.b.c, 0)::BIGINT AS cost, coalesce(z.b.a, '') AS audit,
+       sha256(coalesce(array_to_string(z.b.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN n ON c.conv_id IS NOT DISTINCT FROM n.conv_id LEFT JOIN z ON c.conv_id IS NOT DISTINCT FROM z.conv_id""",
     "op4_source_mix": r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
