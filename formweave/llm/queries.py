@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formweave.llm import (decontaminate, html_extract, hyperminhash, imatch, langid, pareto_mix, quality,
+from formweave.llm import (decontaminate, fp_search, html_extract, hyperminhash, imatch, langid, pareto_mix, quality,
                            suffix_dedup, token_counts, turn_repair, url_rules)
 from formweave.llm.blocks import held_out
 
@@ -88,7 +88,39 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repair_report(turn_repair.damage(table(spark, sf_dir, "conversations")))
 
 
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_search.search_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLE: dict[str, str] = {
+    "op13_ranked_search": r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count_if(len(w) > 0)::BIGINT AS documents, sum(len(w))::BIGINT AS length FROM d),
+q AS (
+  SELECT item_id, item, term, count(*)::BIGINT AS qtf
+  FROM (SELECT item_id, row_number() OVER () AS item, unnest(regexp_extract_all(translate(text,
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, item, term),
+v AS (SELECT DISTINCT term FROM q),
+t AS (
+  SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(w) AS term FROM d) JOIN v USING (term)
+  GROUP BY row, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * s.documents + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight
+  FROM (SELECT term, count(*)::BIGINT AS df FROM t GROUP BY term), s),
+m AS (SELECT doc_id, row, 100 - 75 + ((75 * len(w)::BIGINT * s.documents) // s.length) AS m FROM d, s WHERE len(w) > 0),
+r AS (
+  SELECT q.item_id, q.item, m.doc_id,
+         sum(q.qtf * w.weight * ((1000000000 * t.tf) // (1000 * t.tf + 8 * m.m)))::BIGINT AS score
+  FROM q JOIN t USING (term) JOIN w USING (term) JOIN m USING (row) GROUP BY q.item_id, q.item, m.doc_id, row)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+WHERE rank <= 10""",
     "op11_conversation_repair": r"""
 WITH RECURSIVE k AS (
   SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
