@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formweave.llm import (decontaminate, fp_search, html_extract, hyperminhash, imatch, langid, pareto_mix, quality,
-                           suffix_dedup, token_counts, turn_repair, url_rules)
+from formweave.llm import (combination_join, decontaminate, fp_search, html_extract, hyperminhash, imatch, langid,
+                           pareto_mix, quality, suffix_dedup, token_counts, turn_repair, url_rules)
 from formweave.llm.blocks import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repair_report(turn_repair.damage(table(spark, sf_dir, "conversations")))
 
 
+@query
+def op12_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combination_join.similarity_join(table(spark, sf_dir, "documents"), width=5, percent=80)
+
+
 @query
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fp_search.search_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
