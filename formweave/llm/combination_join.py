@@ -17,8 +17,9 @@ which is how most documents leave at once.
 
 Documents with equal text are one set. Sets that share a combination are verified on their full tokens, first each with
 one hub per combination, which connects large groups of near copies by one comparison per member; then, where members
-of a combination are still in different components, all of those with each other, in blocks dealt over the tasks. Links
-join to components, whatever their number.
+of a combination are still in different components, all of those with each other, in blocks dealt over the tasks;
+combinations with sets in common are compared as one group where that sends less. Links join to components, whatever
+their number.
 """
 
 from __future__ import annotations
@@ -398,7 +399,11 @@ def links(texts: DataFrame, shared: DataFrame, width: int = 5, percent: int = 80
     sigs = materialise(postings.repartition("key").sortWithinPartitions("key").mapInArrow(
         partial(_signatures, percent=percent), "sig bigint, key binary, n bigint, own bigint"), "signatures")
     # The hub is the set with the smallest share of tokens of its own: of a text and its edited copies, the text.
-    crowded = sigs.groupBy("sig").agg(F.count("*").alias("size"), F.min(F.struct("own", "key", "n")).alias("hub")).where("size > 1")
+    # Of combinations with the same sets, by 128 bits of their keys' hashes, one is enough.
+    crowded = sigs.groupBy("sig").agg(
+        F.count("*").alias("size"), F.min(F.struct("own", "key", "n")).alias("hub"), F.bit_xor(F.xxhash64("key")).alias("x"),
+        F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y")).where("size > 1").groupBy("size", "x", "y").agg(
+        F.min(F.struct("sig", "hub")).alias("one")).select("size", "one.sig", "one.hub")
     members = materialise(sigs.join(crowded, "sig").select(
         "sig", "size", "key", "n", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n")), "members")
 
@@ -421,8 +426,9 @@ def links(texts: DataFrame, shared: DataFrame, width: int = 5, percent: int = 80
     now = members.where("size > 2").select("sig", "size", "key").join(labels, "key", "left").select(
         "sig", "size", "key", F.coalesce("label", "key").alias("label"))
     open_ = now.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
+    groups = _groups(materialise(now.join(open_, "sig", "left_semi"), "open"))
     n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    now = now.join(open_, "sig", "left_semi").withColumn("n_blocks", n_blocks).withColumn(
+    now = groups.withColumn("n_blocks", n_blocks).withColumn(
         "block", F.pmod(F.xxhash64("key"), F.col("n_blocks")).cast("int"))
     short = sets.mapInArrow(_short_sets, "of binary, n bigint, tokens binary")
     dealt = now.join(short, F.col("key") == F.col("of")).withColumn(
@@ -435,6 +441,27 @@ def links(texts: DataFrame, shared: DataFrame, width: int = 5, percent: int = 80
     return near_hub.unionByName(verified(pairs.distinct()))
 
 
+def _groups(rows: DataFrame) -> DataFrame:
+    """sig, size, key, label: the sets to compare with each other. Combinations that have sets in common are one group,
+    so that a set is sent once and not with each of its combinations; but where such a group is so large that it would
+    send more, its combinations stay apart. Either way covers all pairs that share a combination."""
+    def sent(size: Column) -> Column:
+        return size * F.ceil(size / BLOCK)
+
+    first = rows.groupBy("sig").agg(F.min("key").alias("a"))
+    joined = components(rows.join(first, "sig").select("a", F.col("key").alias("b"))).select(
+        F.col("node").alias("key"), F.col("label").alias("family"))
+    placed = materialise(rows.join(joined, "key"), "families")
+    whole = placed.select("family", "key", "label").distinct()
+    sizes = whole.groupBy("family").agg(F.count("*").alias("members"))
+    # Each row of a combination is one of `size` rows.
+    apart = placed.groupBy("family").agg(F.sum(F.ceil(F.col("size") / BLOCK)).alias("apart"))
+    better = sizes.join(apart, "family").select("family", "members", (sent(F.col("members")) <= F.col("apart")).alias("one"))
+    return whole.join(better.where("one"), "family").select(
+        F.xxhash64("family").alias("sig"), F.col("members").alias("size"), "key", "label").unionByName(
+        placed.join(better.where("NOT one"), "family", "left_semi").select("sig", "size", "key", "label"))
+
+
 def similarity_join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of ``docs``.
 
