@@ -59,8 +59,8 @@ def _packed(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 def _tokens(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Distinct tokens of sets, dealt over 2 ** bits buckets by their first bits; the next 32 bits are the token. Each
-    row has sets of one bucket: keys, sizes, distinct tokens, tokens in this bucket, and those. A row with bucket -1
-    gives keys and sizes alone."""
+    row has sets of one bucket: keys, the number of tokens in this bucket, and those. A row with bucket -1 gives keys
+    with their sizes and numbers of distinct tokens."""
     shift = U64(32 - bits)
     held: list[tuple] = []
     size = 0
@@ -70,8 +70,8 @@ def _tokens(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterato
         sizes, distinct = (np.concatenate([h[k] for h in held]).astype("<u4") for k in (1, 2))
         first = np.concatenate([[0], np.cumsum([len(h[0]) for h in held])])
         tokens = np.concatenate([h[3] for h in held])
-        owner = np.concatenate([h[4] + first[i] for i, h in enumerate(held)])
-        bucket = (tokens >> U64(32)).astype(np.int64)
+        owner = np.concatenate([(h[4] + first[i]).astype(np.int32) for i, h in enumerate(held)])
+        bucket = (tokens >> U64(32)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         tokens, owner, bucket = tokens[order].astype("<u4"), owner[order], bucket[order]
         # Runs of one set in one bucket.
@@ -79,16 +79,14 @@ def _tokens(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterato
         counts = np.diff(np.append(runs, len(bucket))).astype("<u4")
         of, where = owner[runs], bucket[runs]
         cuts = np.append(np.flatnonzero(np.diff(where, prepend=-1)), len(runs))
-        names = ["bucket", "keys", "sizes", "distinct", "counts", "tokens"]
+        names = ["bucket", "keys", "counts", "tokens"]
         if len(runs):
             yield pa.record_batch([
-                pa.array(where[cuts[:-1]].astype(np.int32)), _packed(keys[of], cuts), _packed(sizes[of], cuts),
-                _packed(distinct[of], cuts), _packed(counts, cuts),
+                pa.array(where[cuts[:-1]].astype(np.int32)), _packed(keys[of], cuts), _packed(counts, cuts),
                 _packed(tokens, np.append(runs, len(tokens))[cuts])], names=names)
         whole = np.array([0, len(keys)])
-        none = _packed(np.zeros(0, "<u4"), np.array([0, 0]))
         yield pa.record_batch([pa.array([-1], pa.int32()), _packed(keys, whole), _packed(sizes, whole),
-                               _packed(distinct, whole), none, none], names=names)
+                               _packed(distinct, whole)], names=names)
 
     for batch in slices(batches):
         for rows, block in blocks(batch, "text"):
@@ -121,45 +119,47 @@ class Bucket:
     def add(self, row: dict) -> None:
         counts = np.frombuffer(row["counts"], "<u4")
         keys = np.frombuffer(row["keys"], f"V{KEY_BYTES}")
-        self.parts.append((keys, np.frombuffer(row["sizes"], "<u4"), np.frombuffer(row["distinct"], "<u4"),
-                           np.frombuffer(row["tokens"], "<u4"), np.repeat(np.arange(len(keys)), counts)))
-        self.size += len(self.parts[-1][3])
+        self.parts.append((keys, np.frombuffer(row["tokens"], "<u4"), np.repeat(np.arange(len(keys), dtype=np.int32), counts)))
+        self.size += len(self.parts[-1][1])
 
     def settle(self, last: bool) -> Iterator[pa.RecordBatch]:
         """Give out the common tokens, and at last those of more than one set."""
-        first = np.concatenate([[0], np.cumsum([len(p[0]) for p in self.parts])])
-        keys, sizes, distinct, tokens = (np.concatenate([p[k] for p in self.parts]) for k in range(4))
-        owner = np.concatenate([p[4] + first[i] for i, p in enumerate(self.parts)])
-        order = np.argsort(tokens, kind="stable")
+        first = np.concatenate([[0], np.cumsum([len(p[0]) for p in self.parts])]).astype(np.int32)
+        keys, tokens = (np.concatenate([p[k] for p in self.parts]) for k in range(2))
+        owner = np.concatenate([p[2] + first[i] for i, p in enumerate(self.parts)])
+        self.parts = []
+        order = np.argsort(tokens, kind="stable").astype(np.int32)
         tokens, owner = tokens[order], owner[order]
-        starts = np.flatnonzero(np.diff(tokens.astype(np.int64), prepend=-1))
-        df = np.diff(np.append(starts, len(tokens)))
+        del order
+        starts = np.flatnonzero(np.diff(tokens, prepend=tokens[:1] + np.uint32(1)) != 0)
+        counts = np.diff(np.append(starts, len(tokens))).astype(np.int32)
         known = np.isin(tokens[starts], self.common)
-        df = np.where(known | (df > COMMON), COMMON + 1, df)
+        df = np.where(known | (counts > COMMON), COMMON + 1, counts).astype(np.int32)
         self.common = np.union1d(self.common, tokens[starts][df > COMMON])
-        df = np.repeat(df, np.diff(np.append(starts, len(tokens))))
+        df = np.repeat(df, counts)
         out = df > 1 if last else df > COMMON
-        yield self._rows(keys, sizes, distinct, tokens[out], df[out], owner[out])
-        rest = ~out
-        used, renumbered = np.unique(owner[rest], return_inverse=True)
-        self.parts = [] if last else [(keys[used], sizes[used], distinct[used], tokens[rest], renumbered)]
+        yield self._rows(keys, tokens[out], df[out], owner[out])
+        if not last:
+            used, renumbered = np.unique(owner[~out], return_inverse=True)
+            self.parts = [(keys[used], tokens[~out], renumbered.astype(np.int32))]
         self.size = 0
 
-    def _rows(self, keys, sizes, distinct, tokens, df, owner) -> pa.RecordBatch:
+    def _rows(self, keys: np.ndarray, tokens: np.ndarray, df: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(owner, kind="stable")
         postings = np.empty(len(tokens), POSTING)
         postings["token"], postings["df"] = tokens[order], df[order]
         owner = owner[order]
         runs = np.flatnonzero(np.diff(owner, prepend=-1))
-        of = owner[runs]
-        return _class_rows(keys[of], sizes[of], distinct[of], np.full(len(runs), self.number),
-                           _packed(postings, np.append(runs, len(owner))))
+        return _set_rows(keys[owner[runs]], np.full(len(runs), self.number), None,
+                         _packed(postings, np.append(runs, len(owner))))
 
 
-def _class_rows(keys, sizes, distinct, bucket, postings: pa.Array) -> pa.RecordBatch:
+def _set_rows(keys: np.ndarray, bucket: np.ndarray, sizes: tuple | None, postings: pa.Array | None) -> pa.RecordBatch:
+    n, distinct = (pa.array(x.astype(np.int64)) for x in sizes) if sizes else (pa.nulls(len(keys), pa.int64()),) * 2
     return pa.record_batch([
-        _packed(keys, np.arange(len(keys) + 1)), pa.array(sizes.astype(np.int64)), pa.array(distinct.astype(np.int64)),
-        pa.array(bucket.astype(np.int32)), postings], names=["key", "n", "distinct", "bucket", "postings"])
+        _packed(keys, np.arange(len(keys) + 1)), pa.array(bucket.astype(np.int32)), n, distinct,
+        pa.nulls(len(keys), pa.binary()) if postings is None else postings],
+        names=["key", "bucket", "n", "distinct", "postings"])
 
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,9 +170,8 @@ def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for row in batch.to_pylist():
             if row["bucket"] < 0:
                 keys = np.frombuffer(row["keys"], f"V{KEY_BYTES}")
-                none = pa.nulls(len(keys), pa.binary())
-                yield _class_rows(keys, np.frombuffer(row["sizes"], "<u4"), np.frombuffer(row["distinct"], "<u4"),
-                                  np.full(len(keys), -1), none)
+                sizes = tuple(np.frombuffer(row[c], "<u4") for c in ("counts", "tokens"))
+                yield _set_rows(keys, np.full(len(keys), -1), sizes, None)
                 continue
             if bucket is None or bucket.number != row["bucket"]:
                 if bucket is not None:
@@ -240,7 +239,7 @@ def signatures(tokens: np.ndarray, df: np.ndarray, n: int, distinct: int, percen
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by set."""
+    """Rows come sorted by set, the one with its sizes first."""
     out: list[tuple] = []
     made, key, held, sizes = 0, None, [], (0, 0)
 
@@ -271,14 +270,15 @@ def _signatures(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
 
     for batch in slices(batches, 4096):
         columns = [batch.column(i).to_pylist() for i in range(5)]
-        for k, n, distinct, bucket, postings in zip(*columns):
-            if k != key:
-                made += close()
-                key, held, sizes = k, [], (n, distinct)
-                if made > 200_000:
-                    yield flush()
-                    out, made = [], 0
-            held.append((bucket, postings))
+        for k, bucket, n, distinct, postings in zip(*columns):
+            if bucket >= 0:
+                held.append((bucket, postings))
+                continue
+            made += close()
+            key, held, sizes = k, [], (n, distinct)
+            if made > 200_000:
+                yield flush()
+                out, made = [], 0
     close()
     if out:
         yield flush()
@@ -380,23 +380,22 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 
 
 def shared_tokens(texts: DataFrame, width: int = 5) -> DataFrame:
-    """key, n, distinct, bucket, postings of every text: the tokens that other texts have too, and, once per text, a
-    row without postings."""
+    """key, bucket, n, distinct, postings of every text: per bucket the tokens that other texts have too, and once per
+    text, with bucket -1, its sizes."""
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = max(1, (size // (6 * TOKENS_PER_BUCKET)).bit_length())
     dealt = texts.mapInArrow(partial(_tokens, width=width, bits=bits),
-                             "bucket int, keys binary, sizes binary, distinct binary, counts binary, tokens binary")
+                             "bucket int, keys binary, counts binary, tokens binary")
     # Rows without tokens go anywhere.
     place = F.when(F.col("bucket") < 0, F.xxhash64("keys")).otherwise(F.col("bucket").cast("bigint"))
     parts = max(1 << bits, shuffle_partitions(texts.sparkSession))
     return dealt.withColumn("place", place).repartition(parts, "place").sortWithinPartitions("bucket").drop(
-        "place").mapInArrow(_shared_tokens, "key binary, n bigint, distinct bigint, bucket int, postings binary")
+        "place").mapInArrow(_shared_tokens, "key binary, bucket int, n bigint, distinct bigint, postings binary")
 
 
 def links(texts: DataFrame, shared: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Verified links (a, b) between text keys: enough to connect whatever is linked."""
-    postings = shared.where("postings IS NOT NULL")
-    sigs = materialise(postings.repartition("key").sortWithinPartitions("key").mapInArrow(
+    sigs = materialise(shared.repartition("key").sortWithinPartitions("key", "bucket").mapInArrow(
         partial(_signatures, percent=percent), "sig bigint, key binary, n bigint, own bigint"), "signatures")
     # The hub is the set with the smallest share of tokens of its own: of a text and its edited copies, the text.
     # Of combinations with the same sets, by 128 bits of their keys' hashes, one is enough.
@@ -456,7 +455,9 @@ def _groups(rows: DataFrame) -> DataFrame:
     sizes = whole.groupBy("family").agg(F.count("*").alias("members"))
     # Each row of a combination is one of `size` rows.
     apart = placed.groupBy("family").agg(F.sum(F.ceil(F.col("size") / BLOCK)).alias("apart"))
-    better = sizes.join(apart, "family").select("family", "members", (sent(F.col("members")) <= F.col("apart")).alias("one"))
+    better = materialise(sizes.join(apart, "family").select(
+        "family", "members", (sent(F.col("members")) <= F.col("apart")).alias("one")), "ways")
+    better = small_side(better, 64)
     return whole.join(better.where("one"), "family").select(
         F.xxhash64("family").alias("sig"), F.col("members").alias("size"), "key", "label").unionByName(
         placed.join(better.where("NOT one"), "family", "left_semi").select("sig", "size", "key", "label"))
@@ -474,7 +475,7 @@ def similarity_join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     ship(docs.sparkSession)
     texts = distinct_texts(docs)
     shared = materialise(shared_tokens(texts, width), "shared")
-    sizes = shared.where("postings IS NULL").select("key", "n")
+    sizes = shared.where("bucket < 0").select("key", "n")
     labels = components(links(texts, shared, width, percent)).withColumnRenamed("node", "key")
     rows = docs.select("doc_id", text_key().alias("key"))
     named = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"))

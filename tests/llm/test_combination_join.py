@@ -106,7 +106,7 @@ def test_bucket_gives_each_shared_token_once(monkeypatch):
         bucket, rows = join.Bucket(3), []
         for i, s in enumerate(sets):
             one = np.array([len(s)], "<u4").tobytes()
-            bucket.add({"keys": i.to_bytes(16, "big"), "sizes": one, "distinct": one, "counts": one, "tokens": s.tobytes()})
+            bucket.add({"keys": i.to_bytes(16, "big"), "counts": one, "tokens": s.tobytes()})
             if i % settle_every == settle_every - 1:
                 rows += [x for b in bucket.settle(last=False) for x in b.to_pylist()]
         rows += [x for b in bucket.settle(last=True) for x in b.to_pylist()]
