@@ -80,6 +80,16 @@ def _topic(spark: SparkSession, sf: str, files_count: int | None = None) -> str:
     return path
 
 
+def _split_topic(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """The messages as two topics: before and from the day a new column appears."""
+    early, late = fresh_dir(spark, "topic"), fresh_dir(spark, "topic")
+    sealed = fx.sealed(spark, sf, fx.cipher(spark))
+    is_late = F.col("publish_time") >= F.lit(DRIFT).cast("timestamp")
+    files.publish(sealed.where(~is_late), early)
+    files.publish(sealed.where(is_late), late)
+    return early, late
+
+
 def _pipeline(spark: SparkSession, sf: str, topic: str, with_rules: bool = True, **options) -> IngestPipeline:
     config = IngestConfig(inputSubscription=topic, root=fresh_dir(spark, "ingest"), baseUrl=fx.BASE_URL,
                           bucketName=fx.BUCKET, retry=RetryConfig((0.0, 0.0, 0.0, 0.0)),
@@ -115,10 +125,9 @@ def _cells(columns: list[str]) -> Column:
 def _table_rows(job: IngestPipeline) -> DataFrame:
     """Rows of every form table, with the columns the job found, every value opened as often as it was sealed."""
     parts = []
-    for form in job.store.registry().select("table").distinct().collect():
-        cells = _cells(job.store.columns(form.table))
-        rows = job.store.read(form.table).select(cells.alias("cells")).withColumn("row", F.monotonically_increasing_id())
-        parts.append(rows.select(F.lit(form.table).alias("table"), "row", F.inline("cells")))
+    for table, wide in job.store.tables():
+        rows = wide.select(_cells(wide.columns).alias("cells")).withColumn("row", F.monotonically_increasing_id())
+        parts.append(rows.select(F.lit(table).alias("table"), "row", F.inline("cells")))
     cells = reduce(DataFrame.unionByName, parts)
     for _ in rules.TECHNIQUES:
         cells = cells.withColumn("value", F.coalesce(job.cipher.open_text("value"), "value"))
@@ -230,17 +239,79 @@ def form_table_append(spark, sf):
 @query
 def backlog_then_stream(spark, sf):
     """A backlog handed over as one batch, then a stream into the same tables: all rows stay."""
-    backlog, topic = fresh_dir(spark, "topic"), fresh_dir(spark, "topic")
-    sealed = fx.sealed(spark, sf, fx.cipher(spark))
-    late = F.col("publish_time") >= F.lit(DRIFT).cast("timestamp")
-    files.publish(sealed.where(~late), backlog)
-    files.publish(sealed.where(late), topic)
+    backlog, topic = _split_topic(spark, sf)
     job = _pipeline(spark, sf, topic)
     job.process(message_source.messages(spark, backlog), 0)
     job.start(available_now=True).awaitTermination()
     return _table_rows(job)
 
 
+@query
+def stream_then_backlog(spark, sf):
+    """A stream first, then an older backlog under batch number 0 into the same tables."""
+    early, late = _split_topic(spark, sf)
+    job = _pipeline(spark, sf, late)
+    job.start(available_now=True).awaitTermination()
+    job.process(message_source.messages(spark, early), 0)
+    return _table_rows(job)
+
+
+@query
+def replayed_batches(spark, sf):
+    """Two backlogs around a stream, packed folders, then a late replay of the first backlog."""
+    early, late = _split_topic(spark, sf)
+    job = _pipeline(spark, sf, late)
+    backlog = message_source.messages(spark, early)
+    even = F.pmod(F.xxhash64("message_id"), F.lit(2)) == 0
+    job.backlog(backlog.where(even), "even")
+    job.start(available_now=True).awaitTermination()
+    job.backlog(backlog.where(~even), "odd")
+    job.store.compact()
+    job.backlog(backlog.where(even), "even")
+    return _table_rows(job)
+
+
+@query
+def committed_reads(spark, sf):
+    """A later batch has written all its rows but is not committed: readers see the first batch, its columns alone."""
+    early, late = _split_topic(spark, sf)
+    job = _pipeline(spark, sf, late)
+    job.process(message_source.messages(spark, early), 0)
+    commit, job.store.commit = job.store.commit, lambda *_, **__: None
+    job.process(message_source.messages(spark, late), 1)
+    job.store.commit = commit
+    return _table_rows(job)
+
+
+@query
+def compacted_tables(spark, sf):
+    """A stream of many small batches, packed: the same rows, from one folder."""
+    job = _pipeline(spark, sf, _topic(spark, sf, 6), maxFilesPerTrigger=1)
+    job.start(available_now=True).awaitTermination()
+    job.store.compact()
+    return _table_rows(job)
+
+
+@query
+def table_counts(spark, sf):
+    """Rows of every table as the log of commits has them, after packing."""
+    job = _ingested(spark, sf)
+    job.store.compact()
+    return job.store.table_counts()
+
+
+@query
+def repeated_deliveries(spark, sf):
+    """A topic that delivers every message twice, the second time in another file: single rows, across a restart."""
+    first, second = fresh_dir(spark, "topic"), _topic(spark, sf, 3)
+    files.publish(message_source.messages(spark, second), first)
+    job = _pipeline(spark, sf, first, redeliverySeconds=86_400 * 366)
+    job.start(available_now=True).awaitTermination()
+    files.publish(message_source.messages(spark, second), first)
+    IngestPipeline(spark, job.config, job.cipher).start(available_now=True).awaitTermination()
+    return _table_rows(job)
+
+
 @query
 def error_rows(spark, sf):
     bad = rejected(_read(spark, sf), "formName", "error").withColumn("file_url", F.lit(None).cast("string"))
@@ -255,10 +326,10 @@ def dead_letter(spark, sf):
     job = _pipeline(spark, sf, _topic(spark, sf))
     append = job.store.append
 
-    def failing(table, columns, rows, batch_id):
-        if table == "purchase":
+    def failing(rows, batch_id, attempt):
+        if not rows.where("route = 'purchase'").isEmpty():
             raise RuntimeError("no quota")
-        append(table, columns, rows, batch_id)
+        append(rows, batch_id, attempt)
 
     job.store.append = failing
     job.process(message_source.messages(spark, job.config.inputSubscription), 0)
@@ -343,7 +414,11 @@ def normalise_names(spark, sf):
 @query
 def pivot_form_columns(spark, sf):
     """Every form's messages as rows of the columns that the form's messages have."""
+    path = fresh_dir(spark, "staged")
     rows = _columns(spark, sf)
+    # Parsed and written once, by form; each form's branch reads its own folder.
+    rows.select("message_id", "formName", "columns", "route").write.partitionBy("route").parquet(path)
+    rows = spark.read.schema(rows.select("message_id", "formName", "columns", "route").schema).parquet(path)
     found = evolve.batch_columns(rows).groupBy("table").agg(F.array_sort(F.collect_list("column")).alias("columns"))
     parts = []
     for form in found.collect():
@@ -699,6 +774,4 @@ def stream_counts(spark, sf):
     """What the job reports per batch, summed."""
     job = _pipeline(spark, sf, _topic(spark, sf, 4), maxFilesPerTrigger=2)
     job.start(available_now=True).awaitTermination()
-    seen = [(c["messages"], c["rejected"]) for c in job.counts.values()]
-    return spark.createDataFrame(seen, "messages bigint, rejected bigint").agg(
-        F.sum("messages").alias("messages"), F.sum("rejected").alias("rejected"))
+    return job.store.batches().agg(F.sum("messages").alias("messages"), F.sum("rejected").alias("rejected"))

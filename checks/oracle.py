@@ -124,6 +124,15 @@ cast(row_number() OVER (PARTITION BY formName ORDER BY late, key) - 1 AS integer
 FROM documents WHERE text <> ''""",
     "form_table_append": _TABLES,
     "backlog_then_stream": _TABLES,
+    "stream_then_backlog": _TABLES,
+    "replayed_batches": _TABLES,
+    "compacted_tables": _TABLES,
+    "repeated_deliveries": _TABLES,
+    "committed_reads": _ROWS.replace("GROUP BY", "WHERE publish_time < TIMESTAMP '2024-01-15 00:00:00' GROUP BY")
+    + ' SELECT "table", names, row_md5 FROM t',
+    "table_counts": f"""WITH {_READ} SELECT formName AS "table",
+count(DISTINCT publish_time >= TIMESTAMP '2024-01-15 00:00:00') AS batches, count(*) AS rows
+FROM r WHERE error IS NULL GROUP BY formName""",
     "error_rows": f"""WITH {_READ} SELECT coalesce(formName, '') AS formName, '' AS errorFormData,
 error AS description, true AS has_time FROM r WHERE error IS NOT NULL""",
     "error_table": f"""WITH {_READ} SELECT coalesce(formName, '') AS formName, '' AS errorFormData,

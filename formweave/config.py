@@ -64,6 +64,7 @@ class IngestConfig:
     inputPartitions: int | None = None
     triggerSeconds: int = 10
     maxFilesPerTrigger: int | None = None
+    redeliverySeconds: int | None = None
     extra: dict = field(default_factory=dict)
 
     @property
@@ -113,7 +114,7 @@ def ingest_config(argv: list[str]) -> IngestConfig:
         raise ValueError(f"missing required option: {', '.join(missing)}")
     key_names = {f.name for f in fields(KeyConfig)}
     plain = {f.name: f for f in fields(IngestConfig)}
-    numbers = {"parallelForms", "inputPartitions", "triggerSeconds", "maxFilesPerTrigger"}
+    numbers = {"parallelForms", "inputPartitions", "triggerSeconds", "maxFilesPerTrigger", "redeliverySeconds"}
     kwargs = {n: int(v) if n in numbers else v
               for n, v in given.items() if n in plain and n not in ("keys", "retry", "extra")}
     extra = {n: v for n, v in given.items() if n not in plain and n not in key_names and n != "waits"}

@@ -32,6 +32,34 @@ REGISTRY = T.StructType([
     T.StructField("batch_id", T.LongType()),
 ])
 
+# The commit log: what a committed batch is made of. Of its kinds of rows, "batch" has the counts of a batch, "table"
+# the folder of one of its tables, "column" a column it brought. `version` is the commit that a batch's rows come from;
+# a snapshot, which has `as_of`, stands for all commits up to that one.
+COMMIT = T.StructType([
+    T.StructField("kind", T.StringType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("as_of", T.LongType()),
+    T.StructField("version", T.LongType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("attempt", T.StringType()),
+    T.StructField("table", T.StringType()),
+    T.StructField("formName", T.StringType()),
+    T.StructField("column", T.StringType()),
+    T.StructField("place", T.IntegerType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("messages", T.LongType()),
+    T.StructField("rejected", T.LongType()),
+])
+
+# Rows of all form tables: the names of `columns` in lower case. `attempt` and `route`, the table, are partition columns.
+LANDED = T.StructType([
+    T.StructField("message_id", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("columns", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("attempt", T.StringType()),
+    T.StructField("route", T.StringType()),
+])
+
 # A processed micro-batch: every message once, accepted or rejected. `route` is the partition column.
 STAGED = T.StructType([
     T.StructField("message_id", T.StringType()),
@@ -54,8 +82,8 @@ DEAD_LETTER = T.StructType([
 ])
 
 
-# Runs of the streaming job. Each checkpoint has its own.
-RUNS = T.StructType([T.StructField("run", T.LongType())])
+# Runs: each checkpoint of a stream and each named backlog has its own.
+RUNS = T.StructType([T.StructField("run", T.LongType()), T.StructField("name", T.StringType())])
 
 
 def start_table(spark: SparkSession, path: str, schema: T.StructType) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,3 +54,17 @@ def spread(rows: DataFrame, partitions: int | None = None) -> DataFrame:
     For inputs of few, large files, whose rows are heavy work each, such as opening and sealing messages.
     """
     return rows.repartition(partitions or rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def remove_older(spark: SparkSession, parent: str, keep: set[str], seconds: float) -> int:
+    """Delete the folders directly below `parent` that are not in `keep` and did not change for so long."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(parent)
+    system = path.getFileSystem(context._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return 0
+    limit, removed = (time.time() - seconds) * 1000, 0
+    for status in system.listStatus(path):
+        if status.isDirectory() and status.getPath().getName() not in keep and status.getModificationTime() <= limit:
+            removed += bool(system.delete(status.getPath(), True))
+    return removed

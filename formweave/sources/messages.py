@@ -27,6 +27,15 @@ def message_stream(spark: SparkSession, subscription: str, max_files: int | None
     return reader.parquet(subscription)
 
 
+def deliver_once(stream: DataFrame, seconds: int) -> DataFrame:
+    """Each message id once, if its deliveries carry times within so many seconds of each other. The ids of that span are
+    the state, kept by id over the shuffle partitions and with the checkpoint, so a restart knows them. Messages without
+    an id or a time pass as they are; a message older than the span behind the newest one is late and dropped."""
+    told = F.col("message_id").isNotNull() & F.col("publish_time").isNotNull()
+    known = stream.where(told).withWatermark("publish_time", f"{seconds} seconds").dropDuplicatesWithinWatermark(["message_id"])
+    return known.unionByName(stream.where(~told))
+
+
 def from_kafka(records: DataFrame) -> DataFrame:
     """Kafka records as messages; topic, partition and offset identify one, its headers are the attributes."""
     attributes = F.map_from_entries(F.transform("headers", lambda h: F.struct(h["key"], h["value"].cast("string"))))

@@ -2,7 +2,8 @@
 
 Per batch: one pass opens, parses, seals and stages every message, partitioned by the table it goes to; all
 sinks then read the staged columns they need. Staging is a written table below the pipeline's root, so losing
-an executor costs no more than the task that ran there. Two staging folders are used in turn.
+an executor costs no more than the task that ran there. Two staging folders per run are used in turn. One commit makes
+the batch visible in all its tables, after everything else is written.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import logging
 import time
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
-from threading import BoundedSemaphore
+from urllib.parse import quote
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from formweave.schemas import REJECTED_ROUTE, RUNS, STAGED, start_table
 from formweave.session import shared_dir, spread
 from formweave.sinks import files
 from formweave.sinks.tables import FormStore
-from formweave.sources.messages import message_stream
+from formweave.sources.messages import deliver_once, message_stream
 from formweave.sources.rules import current_rules
 from formweave.streaming.retry import with_retries
 
@@ -44,69 +45,77 @@ class IngestPipeline:
                  sleep: Callable[[float], None] = time.sleep):
         self.spark, self.config, self.cipher, self.sleep = spark, config, cipher, sleep
         self.store = FormStore(spark, config.root, config.dataSet)
-        self.counts: dict[int, dict[str, int]] = {}
         shared_dir(spark)
 
+    @property
+    def counts(self) -> dict[int, dict[str, int]]:
+        """Messages and rejected messages of every committed batch, also of earlier runs."""
+        return {r.batch_id: {"messages": r.messages, "rejected": r.rejected} for r in self.store.batches().collect()}
+
     # -- running ---------------------------------------------------------------------------------------
 
     def start(self, available_now: bool = False) -> StreamingQuery:
         """Run continuously, or over what is there now."""
         config = self.config
         source = message_stream(self.spark, config.inputSubscription, config.maxFilesPerTrigger, **config.extra)
-        first = self._run() * RUN_BATCHES
+        if config.redeliverySeconds:
+            source = deliver_once(source, config.redeliverySeconds)
+        first = self._run(config.checkpoint) * RUN_BATCHES
         writer = source.writeStream.foreachBatch(lambda rows, n: self.process(rows, first + n)).option("checkpointLocation", config.checkpoint)
         if available_now:
             return writer.trigger(availableNow=True).start()
         return writer.trigger(processingTime=f"{config.triggerSeconds} seconds").start()
 
-    def _run(self) -> int:
-        """Number of the stream's run. It is kept with the checkpoint: a restart goes on with it, and a stream whose
-        checkpoint is new or lost takes the next number, so that its batches never replace earlier ones."""
-        marker = f"{self.config.checkpoint}/run"
+    def backlog(self, messages: DataFrame, name: str) -> None:
+        """A whole backlog as one batch, before, beside or after a stream. A backlog of the same name replaces it."""
+        self.process(messages, self._run(f"{self.config.root}/backlogs/{quote(name, safe='')}", name) * RUN_BATCHES)
+
+    def _run(self, place: str, name: str | None = None) -> int:
+        """Number of the run that is kept at `place`: a stream's checkpoint or a backlog's folder. A restart goes on with
+        it, and a stream whose checkpoint is new or lost takes the next number, so that its batches never replace
+        earlier ones."""
+        marker = f"{place}/run"
         start_table(self.spark, marker, RUNS)
         start_table(self.spark, self.config.runs, RUNS)
         known = self.spark.read.schema(RUNS).parquet(marker).first()
         if known:
             return known.run
         last = self.spark.read.schema(RUNS).parquet(self.config.runs).agg(F.max("run").alias("run")).first().run
-        row = self.spark.createDataFrame([((last or 0) + 1,)], RUNS)
+        row = self.spark.createDataFrame([((last or 0) + 1, name)], RUNS)
         row.write.mode("append").parquet(self.config.runs)
         row.write.mode("overwrite").parquet(marker)
         return (last or 0) + 1
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
-        """One micro-batch, or a whole backlog as batch 0, which comes before those of any stream. Safe to repeat."""
+        """One batch under a number of its own. Safe to repeat: the later commit of a number holds. The number of jobs
+        does not depend on the number of forms."""
         if messages.isEmpty():
-            self._count(batch_id, {"messages": 0, "rejected": 0})
+            self.store.commit(batch_id, {"messages": 0, "rejected": 0})
             return
         self.cipher.rotate()
-        staged = self._stage(messages, batch_id)
+        staged, seen = self._stage(messages, batch_id)
         accepted = staged.where(F.col("route") != REJECTED_ROUTE)
         found = evolve.batch_columns(accepted).checkpoint()
-        self.store.widen(found, batch_id)
-        with ThreadPool(self.config.parallelForms) as pool:
+        with ThreadPool(2) as pool:
             # A message without a time or an id has no URL; accepted, it is archived all the same.
             kept = staged.where(F.col("file_url").isNotNull() | (F.col("route") != REJECTED_ROUTE))
             archived = pool.apply_async(inheritable_thread_target(self.spark)(files.archive), (kept, self.config.archive, batch_id))
-            # The pool reads ahead of its threads; a free place is waited for, so that the driver holds the columns of
-            # few tables at a time.
-            places = BoundedSemaphore(2 * self.config.parallelForms)
-            tables = (t for t in self.store.table_columns(found).toLocalIterator() if places.acquire())
-
-            def append(t):
-                try:
-                    return t.table, self._append(t.table, t.columns, accepted, batch_id)
-                finally:
-                    places.release()
-
-            tried = pool.imap_unordered(inheritable_thread_target(self.spark)(append), tables)
-            failed = [table for table, done in tried if not done]
+            places, failed = self._append(accepted, found, batch_id)
             archived.get()
         self._write_errors(staged, failed, batch_id)
+        counted = accepted.groupBy(F.col("route").alias("table")).agg(F.count("*").alias("rows"))
+        changed = self._changed(found)
+        self.store.commit(batch_id, seen, counted.join(places, "table"), found)
+        log.info("batch %s: %s", batch_id, seen)
+        self._sync_catalog(changed)
 
     # -- steps -----------------------------------------------------------------------------------------
 
-    def _stage(self, messages: DataFrame, batch_id: int) -> DataFrame:
+    def staged_path(self, batch_id: int) -> str:
+        """Two folders per run are used in turn."""
+        return f"{self.config.staging}/run={batch_id // RUN_BATCHES}/slot={batch_id % 2}"
+
+    def _stage(self, messages: DataFrame, batch_id: int) -> tuple[DataFrame, dict[str, int]]:
         config = self.config
         if config.inputPartitions:
             messages = spread(messages, config.inputPartitions)
@@ -116,26 +125,43 @@ class IngestPipeline:
         # Adaptive execution merges the partitions of small tables and splits those of a table with many rows. Days
         # are kept together too, so that the archive, which is laid out by day, gets few files.
         rows = rows.hint("rebalance", "route", "month", "day")
-        path = f"{config.staging}/slot={batch_id % 2}"
+        path = self.staged_path(batch_id)
         rows.write.mode("overwrite").partitionBy("route").parquet(path)
-        self._count(batch_id, seen.get)
-        return self.spark.read.schema(STAGED).parquet(path)
+        return self.spark.read.schema(STAGED).parquet(path), seen.get
+
+    def _append(self, accepted: DataFrame, found: DataFrame, batch_id: int) -> tuple[DataFrame, list[str]]:
+        """Write the rows of all tables in one job: (table, attempt) of what is stored, and the tables given up. Where
+        the job keeps failing, each table is tried on its own, so that one that cannot be written loses no other."""
+        tables = found.select("table").distinct()
+        attempt = self.store.new_attempt()
+        if with_retries(lambda: self.store.append(accepted, batch_id, attempt), self.config.retry.waits, self.sleep):
+            return tables.withColumn("attempt", F.lit(attempt)), []
+        stored, failed = [], []
+
+        def alone(table: str) -> None:
+            own = self.store.new_attempt()
+            rows = accepted.where(F.col("route") == table)
+            done = with_retries(lambda: self.store.append(rows, batch_id, own), (0.0,), self.sleep)
+            stored.append((table, own)) if done else failed.append(table)
 
-    def _count(self, batch_id: int, seen: dict[str, int]) -> None:
-        """Keep the counts of every batch of this run, a few numbers each, and log them."""
-        log.info("batch %s: %s", batch_id, seen)
-        self.counts[batch_id] = seen
-
-    def _append(self, table: str, columns: list[str], accepted: DataFrame, batch_id: int) -> bool:
-        rows = accepted.where(F.col("route") == table)
-        waits = self.config.retry.waits
-        if not with_retries(lambda: self.store.append(table, columns, rows, batch_id), waits, self.sleep):
-            return False
-        # The rows are stored: a catalog that fails must not send them to the errors as well.
-        if not with_retries(lambda: self.store.sync_catalog(table, columns, batch_id), waits, self.sleep):
-            log.error("the catalog lags behind table %s since batch %s", table, batch_id)
-            self.store.lagging.add(table)
-        return True
+        with ThreadPool(self.config.parallelForms) as pool:
+            pool.map(inheritable_thread_target(self.spark)(alone), [r.table for r in tables.collect()])
+        return self.spark.createDataFrame(stored, "table string, attempt string"), sorted(failed)
+
+    def _changed(self, found: DataFrame) -> list[str]:
+        """Tables whose view the catalog must learn anew."""
+        if not self.config.dataSet:
+            return []
+        added = evolve.new_columns(found, self.store.registry()).select("table").distinct()
+        return sorted({r.table for r in added.collect()} | self.store.lagging)
+
+    def _sync_catalog(self, changed: list[str]) -> None:
+        """The rows are committed: a catalog that fails must not send them to the errors as well."""
+        if with_retries(lambda: self.store.sync_catalog(changed), self.config.retry.waits, self.sleep):
+            self.store.lagging.difference_update(changed)
+        else:
+            log.error("the catalog lags behind tables %s", changed)
+            self.store.lagging.update(changed)
 
     def _write_errors(self, staged: DataFrame, failed: list[str], batch_id: int) -> None:
         """One error append per batch: rejected messages, and rows whose append was given up, which also go to the dead
