@@ -19,6 +19,7 @@ from formweave.plans.ingest import stage
 from formweave.plans.rule_load import load_rules
 from formweave.session import fresh_dir, spread
 from formweave.sinks import files
+from formweave.sources import archive as archive_source
 from formweave.sources import messages as message_source
 from formweave.sources import rules as rule_source
 from formweave.streaming.pipeline import IngestPipeline
@@ -206,6 +207,14 @@ def archive_objects(spark, sf):
         F.col("day").cast("int").alias("day"), "file_url", "body")
 
 
+@query
+def archive_lookup(spark, sf):
+    """The payloads that the URLs of all error rows lead to, opened: those of a form whose appends always fail."""
+    job = _failing_purchases(spark, sf)
+    found = archive_source.payloads_of(spark.read.parquet(job.config.errors), archive_source.archived(spark, job.config.archive))
+    return parse.open_messages(found, job.cipher).select("message_id", "file_url", "body")
+
+
 @query
 def hostile_names(spark, sf):
     """Forms named by whole document texts: every message is archived, in a folder any file system takes."""
@@ -320,9 +329,8 @@ def error_rows(spark, sf):
                        F.col("timeStamp").isNotNull().alias("has_time"))
 
 
-@query
-def dead_letter(spark, sf):
-    """Appends to one form's table always fail; its messages must all end as error rows and dead letters."""
+def _failing_purchases(spark: SparkSession, sf: str) -> IngestPipeline:
+    """All messages ingested while appends to one form's table always fail."""
     job = _pipeline(spark, sf, _topic(spark, sf))
     append = job.store.append
 
@@ -333,6 +341,13 @@ def dead_letter(spark, sf):
 
     job.store.append = failing
     job.process(message_source.messages(spark, job.config.inputSubscription), 0)
+    return job
+
+
+@query
+def dead_letter(spark, sf):
+    """Appends to one form's table always fail; its messages must all end as error rows and dead letters."""
+    job = _failing_purchases(spark, sf)
     letters = parse.open_messages(spark.read.parquet(job.config.dead_letter), job.cipher)
     letters = letters.select("message_id", F.lit("").alias("errorFormData"), "body")
     errors = spark.read.parquet(job.config.errors).where(F.col("formName") == "purchase").where(
@@ -593,6 +608,16 @@ def rules_upsert(spark, sf):
     return rule_source.current_rules(spark, table).groupBy(*rules.RULE, "addnl_info").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def rules_before_change(spark, sf):
+    """The rule table as it was before a change file, which rewrote the buckets it touched."""
+    csv, table = fresh_dir(spark, "rule-csv"), fresh_dir(spark, "rules")
+    fx.write_rule_csv(spark, sf, csv)
+    files.write_rules(fx.rules(spark, sf), table, 1)
+    load_rules(spark, csv, table)
+    return rule_source.rules_at(spark, table, version=1)
+
+
 # ---- scalar functions --------------------------------------------------------------------------------------
 
 

@@ -101,6 +101,7 @@ SELECT CASE WHEN NOT is_short THEN c1 END AS formName, CASE WHEN NOT is_short TH
   CASE WHEN NOT is_short THEN c3 END AS dlpTechnique, CASE WHEN NOT is_short THEN c4 END AS addnl_info,
   CASE WHEN is_short THEN c1 || ',"' || c2 || '"' END AS bad_line FROM cells""",
     "src_rules": fx.RULES,
+    "rules_before_change": fx.RULES,
     "src_form_schema": f"""WITH {_COLUMNS} SELECT formName, formName AS "table", key AS "column",
 cast(CASE WHEN min(publish_time) < TIMESTAMP '2024-01-15 00:00:00' THEN 0 ELSE 1 END AS bigint) AS since
 FROM c GROUP BY formName, key""",
@@ -137,6 +138,8 @@ FROM r WHERE error IS NULL GROUP BY formName""",
 error AS description, true AS has_time FROM r WHERE error IS NOT NULL""",
     "error_table": f"""WITH {_READ} SELECT coalesce(formName, '') AS formName, '' AS errorFormData,
 error AS description, count(*) AS n FROM r WHERE error IS NOT NULL GROUP BY ALL""",
+    "archive_lookup": f"""WITH {_READ} SELECT message_id, {_URL} AS file_url, body FROM r
+WHERE error IS NULL AND formName = 'purchase'""",
     "dead_letter": f"""WITH {_READ} SELECT message_id, '' AS errorFormData, body FROM r
   WHERE error IS NULL AND formName = 'purchase'
 UNION ALL SELECT '', {_URL}, 'Exceeded rate limits: too many table update operations for this table' FROM r

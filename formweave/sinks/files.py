@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from formweave.functions.text import table_name
 from formweave.schemas import DEAD_LETTER, ERRORS, MESSAGE, RULES
+from formweave.sources.rules import BUCKETS, rule_bucket, versions_path
 
 
 def _batch(path: str, batch_id: int) -> str:
@@ -27,9 +28,12 @@ def publish(messages: DataFrame, topic: str, **options: str) -> None:
 
 def archive(rows: DataFrame, path: str, batch_id: int) -> None:
     """Store the payloads of staged rows as they came, by form, month and day. The form's folder has its table name,
-    which any file system takes; the name as it came is a column."""
+    which any file system takes; the name as it came is a column. Files are sorted by URL and have a Bloom filter on it,
+    so a look-up by URL reads few row groups."""
     (rows.select("message_id", "file_url", "payload", "formName", table_name("formName").alias("form"), "month", "day")
-     .write.mode("overwrite").partitionBy("form", "month", "day").parquet(_batch(path, batch_id)))
+     .sortWithinPartitions("form", "month", "day", "file_url")
+     .write.mode("overwrite").option("parquet.bloom.filter.enabled#file_url", "true")
+     .partitionBy("form", "month", "day").parquet(_batch(path, batch_id)))
 
 
 def error_rows(rows: DataFrame, description: Column | str = "error") -> DataFrame:
@@ -54,5 +58,15 @@ def dead_letter(rows: DataFrame, path: str, batch_id: int, **options: str) -> No
     rows.select(*DEAD_LETTER.names).write.mode("overwrite").parquet(_batch(path, batch_id))
 
 
-def write_rules(rules: DataFrame, path: str, version: int) -> None:
-    rules.select(*RULES.names).write.mode("overwrite").parquet(f"{path}/version={version}")
+def write_rules(rules: DataFrame, path: str, version: int, buckets: list[int] | None = None) -> None:
+    """Write a version of the rule table: all of it, or the buckets named, which ``rules`` then holds in full. One file
+    in the log of versions completes it; until then readers see the version before."""
+    spark = rules.sparkSession
+    folder = f"{path}/version={version}"
+    placed = rules.select(*RULES.names, rule_bucket())
+    placed.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
+    counts = spark.read.schema(placed.schema).parquet(folder).groupBy("bucket").agg(F.count("*").alias("rows"))
+    numbers = range(BUCKETS) if buckets is None else buckets
+    named = spark.createDataFrame([(b,) for b in numbers] or [(None,)], "bucket int").join(counts, "bucket", "left")
+    written = named.select(F.lit(version).cast("bigint").alias("version"), "bucket", F.coalesce("rows", F.lit(0)).alias("rows"))
+    written.coalesce(1).write.mode("overwrite").parquet(f"{versions_path(path)}/commit={version}")

@@ -2,26 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from formweave.schemas import RULES, start_table
 
-_VERSIONED = T.StructType([*RULES.fields, T.StructField("version", T.LongType())])
+# Rules lie in this many buckets by form and field; a change of rules writes the buckets it touches.
+BUCKETS = 64
+_BUCKETED = T.StructType([*RULES.fields, T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType())])
+_WRITTEN = T.StructType([T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType()),
+                         T.StructField("rows", T.LongType())])
+
+
+def rule_bucket() -> Column:
+    return F.pmod(F.xxhash64("formName", "fieldName"), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def versions_path(path: str) -> str:
+    """The log of the table's versions, in a folder that table readers pass over."""
+    return f"{path}/_versions"
 
 
 def rule_versions(spark: SparkSession, path: str) -> DataFrame:
-    """All versions of the rule table. Version 0, which is empty, makes sure there is one."""
-    start_table(spark, f"{path}/version=0", RULES)
-    return spark.read.schema(_VERSIONED).parquet(path)
+    """version, bucket, rows: what each complete version has written. Version 0, which is empty, is always there."""
+    start_table(spark, f"{versions_path(path)}/commit=0", _WRITTEN)
+    return spark.read.schema(_WRITTEN).parquet(versions_path(path))
+
+
+def newest_version(spark: SparkSession, path: str) -> int:
+    return rule_versions(spark, path).agg(F.max("version")).first()[0] or 0
+
+
+def rules_at(spark: SparkSession, path: str, version: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+    """The rule table, or some of its buckets, as of a version, the newest unless given. Each bucket is as the last
+    version up to that one wrote it; only the folders of these are read."""
+    written = rule_versions(spark, path).where("bucket IS NOT NULL")
+    if version is not None:
+        written = written.where(F.col("version") <= version)
+    if buckets is not None:
+        written = written.where(F.col("bucket").isin(*buckets))
+    last = written.groupBy("bucket").agg(F.max(F.struct("version", "rows")).alias("w")).where("w.rows > 0")
+    folders = [f"{path}/version={r.w.version}/bucket={r.bucket}" for r in last.collect()]
+    if not folders:
+        return spark.createDataFrame([], RULES)
+    return spark.read.schema(_BUCKETED).option("basePath", path).parquet(*folders).select(*RULES.names)
 
 
 def current_rules(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of the rule table. Older versions are pruned as partitions, not read."""
-    versions = rule_versions(spark, path)
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.where(F.col("version") == F.lit(newest)).drop("version")
+    """The newest version of the rule table."""
+    return rules_at(spark, path)
 
 
 def rule_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

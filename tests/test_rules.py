@@ -7,7 +7,7 @@ from formweave.operators import rules
 from formweave.plans.rule_load import load_rules
 from formweave.schemas import RULES
 from formweave.sinks.files import write_rules
-from formweave.sources.rules import current_rules, rule_csv
+from formweave.sources.rules import current_rules, rule_csv, rules_at
 
 BASE = [
     ("purchase", "full name", "CRYPTOHASHING", ""), ("PURCHASE", "user_id", "redaction", ""),
@@ -104,3 +104,25 @@ def test_active_for_reader_and_loader_differ(spark):
     only_loader = rows.where(loader & ~reader).collect()
     assert [r.formName for r in only_loader] == ["view"]
     assert rows.where(reader & ~F.coalesce(loader, F.lit(False))).count() == 0
+
+
+def test_a_change_of_one_key_rewrites_one_bucket(spark, tmp_path):
+    table = str(tmp_path / "table")
+    many = [(f"form{i}", "x", "MASKING", "") for i in range(300)]
+    write_rules(spark.createDataFrame(many, RULES), table, 1)
+    (tmp_path / "one.csv").write_text("h1,h2,h3,h4\nform7,x,MASKING,Deleted\nform7,x,REDACTION,\n")
+    assert load_rules(spark, str(tmp_path / "one.csv"), table) == 2
+    assert len(list((tmp_path / "table" / "version=2").glob("bucket=*"))) == 1
+    now = {tuple(r) for r in current_rules(spark, table).collect()}
+    assert now == set(many) - {many[7]} | {("form7", "x", "MASKING", "DELETED"), ("form7", "x", "REDACTION", "")}
+    assert {tuple(r) for r in rules_at(spark, table, version=1).collect()} == set(many)
+    # A version whose log is missing, as after a crash, is not seen; writing it again completes it.
+    spark.createDataFrame([("a", "b", "c", "", 0)], "formName string, fieldName string, dlpTechnique string, "
+                          "addnl_info string, bucket int").write.partitionBy("bucket").parquet(f"{table}/version=3")
+    assert {tuple(r) for r in current_rules(spark, table).collect()} == now
+    (tmp_path / "none.csv").write_text("h1,h2,h3,h4\n")
+    assert load_rules(spark, str(tmp_path / "none.csv"), table) == 3
+    assert {tuple(r) for r in current_rules(spark, table).collect()} == now
+    # A table written anew has nothing of before, also in buckets that are empty now.
+    write_rules(spark.createDataFrame(many[:1], RULES), table, 4)
+    assert current_rules(spark, table).count() == 1
