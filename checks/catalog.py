@@ -410,6 +410,21 @@ def stringify_values(spark, sf):
     return _pairs(accepted(_read(spark, sf), "message_id", "values"), "values", "message_id")
 
 
+@query
+def exact_numbers(spark, sf):
+    """Numbers of 41 digits, with trailing zeros, beyond a double, minus zero, and nested: as they were written."""
+    return _pairs(accepted(_read(spark, sf, fx.NUMBERS), "message_id", "values"), "values", "message_id")
+
+
+@query
+def exact_number_records(spark, sf):
+    """The same numbers in the records that are published."""
+    names = ("long", "cents", "tiny", "huge", "minus")
+    return records.form_records(fx.run(spark, sf, fx.NUMBER_REQUESTS)).select(
+        "message_id", *[F.regexp_extract("record", f'"{n}":([^,}}]*)', 1).alias(n) for n in names],
+        F.regexp_extract("record", r'"deep":([^\]]*)', 1).alias("deep"))
+
+
 @query
 def flatten_live(spark, sf):
     return _pairs(_columns(spark, sf), "columns", "message_id", "formName")

@@ -51,6 +51,21 @@ SELECT cast(event_id AS string) AS message_id, ts AS publish_time,
     '}}') AS body
 FROM events"""
 
+# Orders as forms whose numbers must stay as they are written, alone and nested, beside text that looks like a mark.
+NUMBER_FORM = """concat('{"long":', repeat('9', 33), lpad(cast(o_orderkey % 100000000 AS string), 8, '1'),
+    ',"cents":', cast(o_custkey AS string), '.50,"tiny":0.', repeat('0', 40), cast(o_orderkey AS string),
+    ',"huge":1e', cast(400 + o_orderkey % 7 AS string), ',"minus":-0,"deep":{"x":[1.0,', cast(o_custkey AS string), '.00]}',
+    CASE WHEN o_orderkey % 3 = 0 THEN concat(',"text":"', chr(92), 'u0001 7.0 and -0"') ELSE '' END, '}')"""
+NUMBERS = f"""
+SELECT cast(o_orderkey AS string) AS message_id, TIMESTAMP '2024-01-15 00:00:00' AS publish_time,
+  concat('{{"formData":', {NUMBER_FORM},
+    ',"formMetaData":{{"organization":"org1","team":"t","version":"v1","formName":"order"}}}}') AS body
+FROM orders"""
+NUMBER_REQUESTS = f"""
+SELECT cast(o_orderkey AS string) AS message_id, 'org1' AS organization, 't' AS team, 'order' AS formName, 'v1' AS version,
+  {NUMBER_FORM} AS body
+FROM orders"""
+
 # Customers as form requests: malformed and empty bodies, fields to drop in two spellings.
 REQUESTS = """
 SELECT cast(c_custkey AS string) AS message_id, 'org1' AS organization, c_mktsegment AS team,

@@ -164,6 +164,15 @@ UNION ALL SELECT message_id, 'formMetaData_geok_z0', message_id FROM ok WHERE bo
 UNION ALL SELECT message_id, 'formMetaData_geok_z1', '{{}}' FROM ok WHERE body LIKE '%"geo"%'""",
     "drop_reserved": f"WITH {_RESERVED} SELECT message_id, 'user_id' AS names FROM h WHERE organization IS NOT NULL",
     "stringify_values": f"WITH {_FIELDS} SELECT message_id, key, value FROM f",
+    "exact_numbers": """SELECT cast(o_orderkey AS VARCHAR) AS message_id, unnest(['long', 'cents', 'tiny', 'huge', 'minus', 'deep']) AS key,
+  unnest([repeat('9', 33) || lpad(cast(o_orderkey % 100000000 AS VARCHAR), 8, '1'), o_custkey || '.50',
+    '0.' || repeat('0', 40) || o_orderkey, '1e' || (400 + o_orderkey % 7), '-0', '{"x":[1.0,' || o_custkey || '.00]}']) AS value
+FROM orders UNION ALL
+SELECT cast(o_orderkey AS VARCHAR), 'text', chr(1) || ' 7.0 and -0' FROM orders WHERE o_orderkey % 3 = 0""",
+    "exact_number_records": """SELECT cast(o_orderkey AS VARCHAR) AS message_id,
+  repeat('9', 33) || lpad(cast(o_orderkey % 100000000 AS VARCHAR), 8, '1') AS long, o_custkey || '.50' AS cents,
+  '0.' || repeat('0', 40) || o_orderkey AS tiny, '1e' || (400 + o_orderkey % 7) AS huge, '-0' AS minus,
+  '{"x":[1.0,' || o_custkey || '.00' AS deep FROM orders""",
     "flatten_live": f"WITH {_COLUMNS} SELECT message_id, formName, key, value FROM c",
     "flatten_deep": f"""WITH m AS ({fx.DEEP})
 SELECT id, 'a.b' AS key, json_extract_string(doc, '$.a.b') AS value FROM m

@@ -36,10 +36,10 @@ def next_level(entries: str) -> str:
         ELSE array(e) END))"""
 
 
-def entry_texts(entries: Column) -> Column:
-    """MAP<path, text> of the entries."""
+def entry_texts(entries: Column, mark: str) -> Column:
+    """MAP<path, text> of the entries, numbers as they were written."""
     return F.map_from_entries(F.transform(entries, lambda e: F.struct(
-        e["path"], F.coalesce(e["value"].try_cast("string"), F.lit("null")))))
+        e["path"], F.coalesce(jsonvals.plain(e["value"].try_cast("string"), mark), F.lit("null")))))
 
 
 def all_levels(entries: str, depth: str) -> str:
@@ -51,9 +51,10 @@ def all_levels(entries: str, depth: str) -> str:
 def flatten_json(df: DataFrame, text: str, into: str = "flat") -> DataFrame:
     """Add `into`, the MAP<path, text> of the JSON documents in column `text`; NULL where malformed. A document of any
     depth is flattened in full, within its row."""
-    rows = df.withColumn("_depth", jsonvals.nesting_depth(text)).withColumn("_doc", jsonvals.parse(text))
+    rows = df.withColumn("_depth", jsonvals.nesting_depth(text)).withColumn("_mark", jsonvals.number_mark(text))
+    rows = rows.withColumn("_doc", jsonvals.parse(jsonvals.marked(text, "_mark")))
     entries = F.expr(f"CASE WHEN _doc IS NOT NULL THEN {all_levels(root_entries('_doc'), '_depth')} END")
-    return rows.withColumn(into, entry_texts(entries)).drop("_doc", "_depth")
+    return rows.withColumn(into, entry_texts(entries, "_mark")).drop("_doc", "_depth", "_mark")
 
 
 def odd_metadata() -> Column:
@@ -66,7 +67,7 @@ def flat_metadata(odd: Column) -> Column:
     """MAP<path, text> of the metadata under its reserved name. Plain metadata skips the nested branch."""
     entries = all_levels(root_entries("meta_doc", FORM_META), "meta_depth")
     plain = F.transform_keys(jsonvals.null_as_text("meta"), lambda k, _: F.concat(F.lit(FORM_META + "."), k))
-    return F.when(odd, entry_texts(F.expr(entries))).otherwise(plain)
+    return F.when(odd, entry_texts(F.expr(entries), "mark")).otherwise(plain)
 
 
 def name_error(names: Column) -> Column:

@@ -36,14 +36,16 @@ def open_messages(messages: DataFrame, cipher: EnvelopeCipher) -> DataFrame:
 
 
 def parse_bodies(messages: DataFrame) -> DataFrame:
-    """Add `meta` and `form`, the members of the two parts as text, and `meta_doc`, the metadata as VARIANT."""
-    doc = messages.withColumn("doc", jsonvals.parse("body"))
+    """Add `meta` and `form`, the members of the two parts as text, numbers as they were written, and `meta_doc`, the
+    metadata as VARIANT, whose numbers carry the `mark`."""
+    doc = messages.withColumn("mark", jsonvals.number_mark("body")).withColumn(
+        "doc", jsonvals.parse(jsonvals.marked("body", "mark")))
     return doc.select(
         *[c for c in doc.columns if c != "doc"],
         F.col("doc").isNotNull().alias("is_json"),
         F.try_variant_get("doc", f"$.{FORM_META}", "variant").alias("meta_doc"),
-        jsonvals.object_texts("doc", f"$.{FORM_META}").alias("meta"),
-        jsonvals.object_texts("doc", f"$.{FORM_DATA}").alias("form"),
+        jsonvals.plain_texts(jsonvals.object_texts("doc", f"$.{FORM_META}"), "mark").alias("meta"),
+        jsonvals.plain_texts(jsonvals.object_texts("doc", f"$.{FORM_DATA}"), "mark").alias("form"),
     )
 
 

@@ -9,11 +9,14 @@ from formweave.functions import jsonvals
 from formweave.functions.text import has_prefix
 
 EMPTY_RECORD = "{}"
+HEADERS = ("organization", "team", "version", "formName")
 
 
 def with_form_fields(requests: DataFrame) -> DataFrame:
-    """Add `fields`, the body's members with their JSON types; NULL when the body is not an object."""
-    return requests.withColumn("fields", jsonvals.object_values(jsonvals.parse("body")))
+    """Add `fields`, the body's members with their JSON types, NULL when the body is not an object, and the `mark` that
+    its numbers carry."""
+    rows = requests.withColumn("mark", jsonvals.number_mark("body", *HEADERS))
+    return rows.withColumn("fields", jsonvals.object_values(jsonvals.parse(jsonvals.marked("body", "mark"))))
 
 
 def without_prefixes(fields: Column, prefixes: list[str]) -> Column:
@@ -24,12 +27,12 @@ def without_prefixes(fields: Column, prefixes: list[str]) -> Column:
 
 
 def record_json(fields: Column) -> Column:
-    meta = F.struct("organization", "team", "version", "formName")
-    return F.to_json(F.struct(fields.alias("formData"), meta.alias("formMetaData")))
+    record = F.to_json(F.struct(fields.alias("formData"), F.struct(*HEADERS).alias("formMetaData")))
+    return jsonvals.plain_json(record, "mark")
 
 
 def form_records(requests: DataFrame, prefixes: list[str] | None = None) -> DataFrame:
     """Add `record`: the JSON to publish, ``{}`` for an empty form, NULL for a malformed body."""
     kept = without_prefixes(F.col("fields"), prefixes or [])
     record = F.when(F.size("fields") == 0, F.lit(EMPTY_RECORD)).when(F.col("fields").isNotNull(), record_json(kept))
-    return with_form_fields(requests).withColumn("record", record).drop("fields")
+    return with_form_fields(requests).withColumn("record", record).drop("fields", "mark")
