@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from formweave.config import IngestConfig, RetryConfig
+from formweave import jobs
+from formweave.config import IngestConfig, PublishConfig, RetryConfig
 from formweave.functions import declared, jsonvals, text
+from formweave.functions.crypto import EnvelopeCipher
 from formweave.operators import counts, deid, evolve, flatten, parse, records, rules
 from formweave.operators.route import accepted, only, rejected
 from formweave.plans import publish as publish_plan
@@ -186,6 +188,23 @@ def publish_messages(spark, sf):
     return parse.open_messages(message_source.messages(spark, topic), cipher).select("message_id", "body")
 
 
+@query
+def publish_retry(spark, sf):
+    """Publishing that fails three times, then succeeds: each message once, after the waits of the topic client."""
+    cipher, topic, waits = fx.cipher(spark), fresh_dir(spark, "topic"), []
+    requests = fx.run(spark, sf, fx.REQUESTS)
+    sealed = publish_plan.publishable(requests, cipher, text.prefix_list(fx.PREFIXES)).checkpoint()
+
+    def attempt():
+        if len(waits) < 3:
+            raise RuntimeError("no broker")
+        files.publish(sealed, topic)
+
+    tries = jobs.send(attempt, PublishConfig(topic), sleep=waits.append, clock=lambda: sum(waits))
+    opened = parse.open_messages(message_source.messages(spark, topic), cipher)
+    return opened.select("message_id", "body", F.lit(tries).alias("tries"), F.lit(round(sum(waits), 3)).alias("waited"))
+
+
 @query
 def publish_rejects(spark, sf):
     return publish_plan.unreadable(fx.run(spark, sf, fx.REQUESTS)).select("message_id", "error")
@@ -435,6 +454,13 @@ def flatten_deep(spark, sf):
     return _pairs(flatten.flatten_json(fx.run(spark, sf, fx.DEEP), "doc"), "flat", "id")
 
 
+@query
+def flatten_spread(spark, sf):
+    """The same documents, every object and array of more than 64 bytes exploded over the tasks, level by level."""
+    rows = flatten.flatten_rows(fx.run(spark, sf, fx.DEEP), "doc", "id", spread_bytes=64)
+    return rows.select("id", F.col("path").alias("key"), "value")
+
+
 @query
 def normalise_names(spark, sf):
     rows = fx.table(spark, sf, "documents")
@@ -699,6 +725,24 @@ def envelope_encrypt(spark, sf):
                          F.md5(cipher.open("sealed")).alias("text_md5"))
 
 
+@query
+def keyring_messages(spark, sf):
+    """One topic sealed under three keys, which the messages name, and a fourth that the key map does not hold: what is
+    opened, and what becomes of the rest."""
+    ring = {f"{fx.KEK_ID}{i}": bytes([i]) * 32 for i in range(3)}
+    parts = fx.bodies(spark, sf).withColumn("part", F.col("message_id").cast("bigint") % 4)
+    sealed = []
+    for i in range(4):
+        cipher = EnvelopeCipher(spark, ring | {f"{fx.KEK_ID}3": bytes(32)}, f"{fx.KEK_ID}{i}", 8)
+        mine = publish_plan.seal_messages(parts.where(F.col("part") == i).withColumn("record", F.col("body")), cipher)
+        sealed.append(mine)
+    topic = fresh_dir(spark, "topic")
+    files.publish(reduce(DataFrame.unionByName, sealed), topic)
+    opener = EnvelopeCipher(spark, ring, f"{fx.KEK_ID}0", 8)
+    rows = stage(message_source.messages(spark, topic), fx.rules(spark, sf), opener, fx.BASE_URL, fx.BUCKET)
+    return rows.select("message_id", "route", "error")
+
+
 @query
 def envelope_decrypt(spark, sf):
     """Payloads as they came, with one byte changed, and cut short."""
@@ -790,6 +834,17 @@ def deid_documents(spark, sf):
                        .alias("in_clear"))
 
 
+@query
+def deid_pseudonyms(spark, sf):
+    """Fields of the hashing rules as keyed hashes, by which equal values of all forms and messages meet."""
+    cipher = fx.cipher(spark)
+    chosen = fx.rules(spark, sf).where(F.upper("dlpTechnique") == "CRYPTOHASHING")
+    forms = accepted(_read(spark, sf), "message_id", "formName", "values", "error").withColumn("plain", F.col("values"))
+    hidden = deid.deidentify(forms, rules.rules_by_form(chosen), cipher, cryptohashing="hmac")
+    pairs = _pairs(hidden, "values", "message_id", "plain").where(F.col("value") != F.col("plain")[F.col("key")])
+    return pairs.select("message_id", F.col("key").alias("field"), F.col("value").alias("pseudonym"))
+
+
 # ---- streaming ---------------------------------------------------------------------------------------------
 
 

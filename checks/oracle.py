@@ -5,7 +5,10 @@ They start from the same input texts (`checks.fixtures`) and say the rest in pla
 
 from __future__ import annotations
 
+import hmac
+
 from checks import fixtures as fx
+from formweave.functions.crypto import PSEUDONYMS
 
 EMPTY_HEADER = "Empty or Null value for header: "
 
@@ -92,6 +95,24 @@ def _by_technique(name: str) -> str:
 JOIN ar ON lower(f.formName) = ar.form_key AND f.key = ar.field WHERE technique = '{name}'"""
 
 
+_DEEP = f"""WITH m AS ({fx.DEEP})
+SELECT id, 'a.b' AS key, json_extract_string(doc, '$.a.b') AS value FROM m
+UNION ALL SELECT id, 'a.x[0]', json_extract_string(doc, '$.a.x[0]') FROM m
+UNION ALL SELECT id, 'a.x[1].y[0][0]', json_extract_string(doc, '$.a.x[1].y[0][0]') FROM m
+UNION ALL SELECT id, 'a.x[1].y[1]', json_extract_string(doc, '$.a.x[1].y[1]') FROM m
+UNION ALL SELECT id, 'n.text[0]', json_extract_string(doc, '$.n.text[0]') FROM m
+UNION ALL SELECT id, 'd', 'null' FROM m
+UNION ALL SELECT id, '["k.z"]', json_extract_string(doc, '$."k.z"') FROM m
+UNION ALL SELECT id, 'emp', '{{}}' FROM m
+UNION ALL SELECT id, 'ea', '[]' FROM m
+UNION ALL SELECT id, 'deep' || repeat('[0]', 15), '7' FROM m WHERE json_extract(doc, '$.deep') IS NOT NULL"""
+
+# A keyed hash (HMAC with SHA-256) of column `value`, from the padded keys.
+_KEY = hmac.digest(fx.KEY_MAP[fx.KEK_ID], PSEUDONYMS, "sha256").ljust(64, b"\0")
+_INNER, _OUTER = (bytes(k ^ pad for k in _KEY).hex() for pad in (0x36, 0x5C))
+_HMAC = f"sha256(unhex('{_OUTER}') || unhex(sha256(unhex('{_INNER}') || encode(value))))"
+
+
 ORACLE: dict[str, str] = {
     # sources
     "src_messages": f"""WITH m AS ({fx.MESSAGES}) SELECT message_id, epoch_us(publish_time) AS publish_us,
@@ -108,6 +129,8 @@ FROM c GROUP BY formName, key""",
     "build_form_records": f"WITH {_RECORDS} SELECT message_id, record FROM rec",
     # sinks
     "publish_messages": f"WITH {_RECORDS} SELECT message_id, kept AS body FROM dropped WHERE record IS NOT NULL",
+    "publish_retry": f"""WITH {_RECORDS} SELECT message_id, kept AS body, 4::INTEGER AS tries, 0.7::DOUBLE AS waited
+FROM dropped WHERE record IS NOT NULL""",
     "publish_rejects": f"""WITH {_RECORDS} SELECT message_id, 'PARSE: body is not a JSON object' AS error
 FROM rec WHERE record IS NULL""",
     "archive_paths": f"WITH {_READ} SELECT message_id, {_URL} AS file_url FROM r WHERE error IS NULL",
@@ -174,17 +197,8 @@ SELECT cast(o_orderkey AS VARCHAR), 'text', chr(1) || ' 7.0 and -0' FROM orders
   '0.' || repeat('0', 40) || o_orderkey AS tiny, '1e' || (400 + o_orderkey % 7) AS huge, '-0' AS minus,
   '{"x":[1.0,' || o_custkey || '.00' AS deep FROM orders""",
     "flatten_live": f"WITH {_COLUMNS} SELECT message_id, formName, key, value FROM c",
-    "flatten_deep": f"""WITH m AS ({fx.DEEP})
-SELECT id, 'a.b' AS key, json_extract_string(doc, '$.a.b') AS value FROM m
-UNION ALL SELECT id, 'a.x[0]', json_extract_string(doc, '$.a.x[0]') FROM m
-UNION ALL SELECT id, 'a.x[1].y[0][0]', json_extract_string(doc, '$.a.x[1].y[0][0]') FROM m
-UNION ALL SELECT id, 'a.x[1].y[1]', json_extract_string(doc, '$.a.x[1].y[1]') FROM m
-UNION ALL SELECT id, 'n.text[0]', json_extract_string(doc, '$.n.text[0]') FROM m
-UNION ALL SELECT id, 'd', 'null' FROM m
-UNION ALL SELECT id, '["k.z"]', json_extract_string(doc, '$."k.z"') FROM m
-UNION ALL SELECT id, 'emp', '{{}}' FROM m
-UNION ALL SELECT id, 'ea', '[]' FROM m
-UNION ALL SELECT id, 'deep' || repeat('[0]', 15), '7' FROM m WHERE json_extract(doc, '$.deep') IS NOT NULL""",
+    "flatten_deep": _DEEP,
+    "flatten_spread": _DEEP,
     "normalise_names": """SELECT doc_id, md5(replace(replace(regexp_replace(text, '[\\[\\]{}" ]', '', 'g'), '.', '_'), '-', '_'))
 AS name_md5 FROM documents""",
     "pivot_form_columns": _ROWS + ' SELECT "table", message_id, names, row_md5 FROM t',
@@ -275,10 +289,15 @@ AS key_name FROM customer""",
     "fn_table_name": """SELECT page_id, 'form_' || regexp_replace(lower(url), '[^a-z0-9_]', '_', 'g') || '_'
 || substr(md5(url), 1, 8) AS "table" FROM pages""",
     "envelope_encrypt": "SELECT doc_id, cast(4 + 60 + 12 + 16 AS integer) AS overhead, md5(text) AS text_md5 FROM documents",
+    "keyring_messages": f"""WITH {_READ} SELECT message_id,
+CASE WHEN error IS NULL AND opened THEN formName ELSE '_rejected' END AS route,
+CASE WHEN opened THEN error ELSE 'DECRYPT: payload cannot be opened' END AS error
+FROM (SELECT *, cast(message_id AS bigint) % 4 <> 3 AS opened FROM r)""",
     "envelope_decrypt": f"""WITH m AS ({fx.MESSAGES}) SELECT message_id,
 CASE WHEN cast(message_id AS bigint) % 5 NOT IN (1, 2) THEN body END AS body FROM m""",
     # de-identification
     "deid_cryptohash": _by_technique("CRYPTOHASHING"),
+    "deid_pseudonyms": _by_technique("CRYPTOHASHING").replace("key AS field, value", f"key AS field, {_HMAC} AS pseudonym"),
     "deid_redact": _by_technique("REDACTION"),
     "deid_mask": _by_technique("MASKING"),
     "deid_chain": f"""WITH {_FIELDS}, {_RULES} SELECT message_id, field, any_value(value) AS value,

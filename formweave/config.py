@@ -60,6 +60,7 @@ class IngestConfig:
     retry: RetryConfig = RetryConfig()
     onDeidError: str = "reject"
     collision: str = "reject"
+    cryptohashing: str = "seal"
     parallelForms: int = 8
     inputPartitions: int | None = None
     triggerSeconds: int = 10

@@ -10,6 +10,8 @@ keys and picks one by a hash of the row's id; ``data_keys`` times 2**32 values m
 
 from __future__ import annotations
 
+import hashlib
+import hmac
 import secrets
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,18 +25,48 @@ _POOL = T.StructType([T.StructField("pool", T.ArrayType(T.StructType([
     T.StructField("dek", T.BinaryType()), T.StructField("header", T.BinaryType())])))])
 _KEK = T.StructType([T.StructField("kek_id", T.StringType()), T.StructField("kek", T.BinaryType())])
 
+_PADS = T.StructType([T.StructField("pads", T.StructType([
+    T.StructField("inner", T.BinaryType()), T.StructField("outer", T.BinaryType())]))])
+
 DATA_KEY = "_data_key"
+HASH_KEY = "_hash_key"
+# Message attribute that names the KEK a payload is sealed under.
+KEY_NAME = "keyName"
+# What the key of pseudonyms is derived for.
+PSEUDONYMS = b"pseudonyms"
 
 # Fixed value: Base64 of an envelope; its first two bytes are zero, as wrapped keys are short.
 ENVELOPE_TEXT = "^AAA[A-Za-z0-9+/]+={0,2}$"
 
 
+class Pseudonyms:
+    """HMAC-SHA256 of values as column expressions: equal values have equal pseudonyms, in all tables and runs, and
+    nobody without the key can tell which value one stands for. The padded keys are a constant of the plan."""
+
+    def __init__(self, spark: SparkSession, key: bytes | None):
+        if key is not None and len(key) > 64:
+            key = hashlib.sha256(key).digest()
+        pads = (None, None) if key is None else tuple(bytes(k ^ pad for k in key.ljust(64, b"\0")) for pad in (0x36, 0x5C))
+        self._pads = spark.createDataFrame([(pads,)], _PADS)
+
+    def with_hash_key(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(HASH_KEY, self._pads.select("pads").scalar())
+
+    @staticmethod
+    def of(value: Column) -> Column:
+        """64 hexadecimal digits under the row's hash key; NULL for NULL, and where there is no key."""
+        key = F.col(HASH_KEY)
+        return F.sha2(F.concat(key["outer"], F.unhex(F.sha2(F.concat(key["inner"], utf8_bytes(value)), 256))), 256)
+
+
 class EnvelopeCipher:
-    """Seals and opens values under one named KEK, given a key map ``{resource name: 32 bytes}``."""
+    """Seals values under one named KEK and opens those of any KEK in a key map ``{resource name: 32 bytes}``."""
 
     def __init__(self, spark: SparkSession, key_map: dict[str, bytes], kek_id: str, data_keys: int = 256):
         self._keks = spark.createDataFrame(list(key_map.items()), _KEK)
         self._kek_id = kek_id
+        kek = key_map.get(kek_id)
+        self.pseudonyms = Pseudonyms(spark, None if kek is None else hmac.digest(kek, PSEUDONYMS, "sha256"))
         self._count = data_keys
         self._spark = spark
         self._pool: DataFrame | None = None
@@ -44,6 +76,15 @@ class EnvelopeCipher:
         """The KEK, or NULL when the key map does not hold it."""
         return self._keks.where(F.col("kek_id") == self._kek_id).select("kek").scalar()
 
+    @property
+    def key_name(self) -> str:
+        return self._kek_id
+
+    def _kek_named(self, name: Column) -> Column:
+        """The KEK of that name, or NULL when the key map does not hold it."""
+        ring = self._keks.agg(F.map_from_entries(F.collect_list(F.struct("kek_id", "kek"))).alias("ring"))
+        return ring.scalar()[name]
+
     def rotate(self) -> None:
         """Make a new pool of data keys; values sealed before stay readable."""
         fresh = self._spark.createDataFrame([(secrets.token_bytes(32),) for _ in range(self._count)], "dek binary")
@@ -69,13 +110,15 @@ class EnvelopeCipher:
         """Base64 envelope of a text value, as stored in a protected column."""
         return base64_text(EnvelopeCipher.seal(utf8_bytes(value)))
 
-    def open(self, envelope: Column | str) -> Column:
-        """The sealed BINARY value, or NULL for a wrong key, a tampered or a truncated envelope."""
+    def open(self, envelope: Column | str, name: Column | None = None) -> Column:
+        """The sealed BINARY value, or NULL for a wrong key, a tampered or a truncated envelope. ``name`` is the row's
+        key; the cipher's own is used where it is NULL."""
+        kek = self._kek if name is None else F.when(name.isNull(), self._kek).otherwise(self._kek_named(name))
         envelope = F.col(envelope) if isinstance(envelope, str) else envelope
         length = F.conv(F.hex(F.substring(envelope, 1, 4)), 16, 10).cast("bigint")
         fits = length.between(1, F.length(envelope) - 4)
         size = F.when(fits, length).cast("int")
-        dek = F.try_aes_decrypt(F.substring(envelope, F.lit(5), size), self._kek, F.lit("GCM"))
+        dek = F.try_aes_decrypt(F.substring(envelope, F.lit(5), size), kek, F.lit("GCM"))
         body = F.substring(envelope, size + 5, F.length(envelope))
         return F.try_aes_decrypt(body, dek, F.lit("GCM"))
 

@@ -1,7 +1,7 @@
 """Stage 2: look up the rules of each form and seal the named fields.
 
 All three techniques seal the value; they differ only in which list names the field. A field named in
-several lists is sealed once per list.
+several lists is sealed once per list. For the first one, a keyed hash can be chosen instead.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formweave.functions.crypto import DATA_KEY, EnvelopeCipher
+from formweave.functions.crypto import DATA_KEY, HASH_KEY, EnvelopeCipher, Pseudonyms
 from formweave.operators.rules import TECHNIQUES
 
 FIELD_LISTS = tuple(f"{t.lower()}_fields" for t in TECHNIQUES)
@@ -37,20 +37,30 @@ def seal_fields(values: Column, fields: Column) -> Column:
     return F.when(F.size(fields) == 0, values).otherwise(sealed)
 
 
+def replace_fields(values: Column, fields: Column) -> Column:
+    replaced = F.transform_values(values, lambda name, value: F.when(
+        F.array_contains(fields, name), Pseudonyms.of(value)).otherwise(value))
+    return F.when(F.size(fields) == 0, values).otherwise(replaced)
+
+
 def deidentify(forms: DataFrame, by_form: DataFrame, cipher: EnvelopeCipher, on_error: str = "reject",
-               key_by: str = "message_id") -> DataFrame:
-    """Seal the fields of `values` that the rules of the form name. Keys and all other values stay as they are.
+               key_by: str = "message_id", cryptohashing: str = "seal") -> DataFrame:
+    """Seal the fields of `values` that the rules of the form name. Keys and all other values stay as they are. With
+    ``cryptohashing="hmac"`` the fields of that list get a pseudonym instead, by which tables can be joined.
 
     A value that cannot be sealed rejects its row; ``on_error="pass"`` lets it through in the clear.
     """
     rows = cipher.with_data_key(with_rules(forms, by_form, key_by), key_by)
+    rows = cipher.pseudonyms.with_hash_key(rows) if cryptohashing == "hmac" else rows
     rows = rows.withColumn("sealed", F.col("values"))
-    for fields in FIELD_LISTS:
-        rows = rows.withColumn("sealed", seal_fields(F.col("sealed"), F.col(fields)))
+    for technique, fields in zip(TECHNIQUES, FIELD_LISTS):
+        hashed = technique == "CRYPTOHASHING" and cryptohashing == "hmac"
+        hide = replace_fields if hashed else seal_fields
+        rows = rows.withColumn("sealed", hide(F.col("sealed"), F.col(fields)))
     if on_error == "pass":
         clear = F.map_zip_with("sealed", "values", lambda _, s, v: F.coalesce(s, v))
         rows = rows.withColumn("sealed", clear)
     else:
         failed = F.exists(F.map_values("sealed"), lambda v: v.isNull())
         rows = rows.withColumn("error", F.coalesce("error", F.when(failed, F.lit(NOT_SEALED))))
-    return rows.withColumn("values", F.col("sealed")).drop("sealed", DATA_KEY, *FIELD_LISTS)
+    return rows.withColumn("values", F.col("sealed")).drop("sealed", DATA_KEY, HASH_KEY, *FIELD_LISTS)

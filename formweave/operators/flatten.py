@@ -7,12 +7,15 @@ or regrouped.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formweave.functions import jsonvals
 from formweave.functions.text import column_name
 from formweave.operators.parse import FORM_META
+from formweave.session import shared_dir, spread_partitions
 
 COLLISION = "COLUMNS: two keys give one column name"
 EMPTY_NAME = "COLUMNS: a key gives an empty column name"
@@ -107,3 +110,36 @@ def with_columns_map(forms: DataFrame, collision: str = "reject") -> DataFrame:
     named = F.map_from_arrays("names", texts) if collision == "reject" else last_of_each(F.col("names"), texts)
     columns = F.when(F.col("error").isNull(), named)
     return rows.withColumn("columns", columns).drop("odd", "meta_depth", "flat", "names", "values", "meta_doc")
+
+
+def flatten_rows(df: DataFrame, text: str, *keep: str, spread_bytes: int = 1 << 20) -> DataFrame:
+    """(`keep` columns, path, value): one row per leaf of the JSON documents in column `text`, as `flatten_json` gives
+    them in one map. Objects and arrays of more than `spread_bytes` are exploded level by level, and their members dealt
+    over the tasks, so that neither a task nor a value holds all leaves of a huge document. What is smaller is flattened
+    within its row. Malformed documents have no rows.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    rows = df.select(*keep, F.lit("").alias("path"), F.col(text).alias("_text")).withColumn(
+        "_mark", jsonvals.number_mark("_text"))
+    rows = rows.withColumn("value", jsonvals.parse(jsonvals.marked("_text", "_mark"))).where("value IS NOT NULL")
+    rows, done = rows.drop("_text"), []
+    while True:
+        sized = rows.withColumn("_json", F.to_json("value"))
+        nested = F.coalesce(F.size(F.expr("try_cast(value AS map<string,variant>)")), F.lit(-1)) > 0
+        nested |= F.coalesce(F.size(F.expr("try_cast(value AS array<variant>)")), F.lit(-1)) > 0
+        sized = sized.withColumn("_wide", nested & (F.octet_length("_json") > spread_bytes))
+        small = sized.where("NOT _wide").withColumn("_depth", jsonvals.nesting_depth("_json"))
+        entries = F.expr(all_levels("array(named_struct('path', path, 'value', value))", "_depth"))
+        leaves = small.select(*keep, "_mark", F.explode(entries).alias("e"))
+        done.append(leaves.select(*keep, F.col("e.path").alias("path"), F.coalesce(
+            jsonvals.plain(F.col("e.value").try_cast("string"), "_mark"), F.lit("null")).alias("value")))
+        wide = sized.where("_wide").select(*keep, "path", "_mark", "value")
+        # Each step is kept: the next one must not start at the whole document again.
+        step = spark.sql("""SELECT w.* EXCEPT (path, value), CASE WHEN m.key IS NULL THEN concat(w.path, '[', m.pos, ']')
+                WHEN translate(m.key, '.[]', '') <> m.key THEN concat(w.path, '["', m.key, '"]')
+                WHEN w.path = '' THEN m.key ELSE concat(w.path, '.', m.key) END AS path, m.value
+            FROM {wide} AS w, LATERAL variant_explode(w.value) AS m""", wide=wide)
+        rows = step.repartition(spread_partitions(spark)).checkpoint()
+        if rows.isEmpty():
+            return reduce(DataFrame.unionByName, done)

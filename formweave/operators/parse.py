@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formweave.functions import jsonvals
-from formweave.functions.crypto import EnvelopeCipher
+from formweave.functions.crypto import KEY_NAME, EnvelopeCipher
 from formweave.functions.text import is_blank, utf8_text
 
 FORM_META = "formMetaData"
@@ -31,8 +31,16 @@ NO_BODY = "BODY: formData is not an object"
 
 
 def open_messages(messages: DataFrame, cipher: EnvelopeCipher) -> DataFrame:
-    """Add `body`, the clear text of the payload, NULL when it cannot be opened."""
-    return messages.withColumn("body", utf8_text(cipher.open("payload")))
+    """Add `body`, the clear text of the payload, NULL when it cannot be opened. The key is the one the message names;
+    a name the key map does not hold opens nothing."""
+    return messages.withColumn("body", utf8_text(cipher.open("payload", key_name(messages))))
+
+
+def key_name(messages: DataFrame) -> Column | None:
+    """Name of the key a message was sealed under, if it may have one: kept in a column or among its attributes."""
+    if "key_name" in messages.columns:
+        return F.col("key_name")
+    return F.col("attributes")[KEY_NAME] if "attributes" in messages.columns else None
 
 
 def parse_bodies(messages: DataFrame) -> DataFrame:

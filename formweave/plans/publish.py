@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.functions.crypto import DATA_KEY, EnvelopeCipher
+from formweave.functions.crypto import DATA_KEY, KEY_NAME, EnvelopeCipher
 from formweave.functions.text import utf8_bytes
 from formweave.operators.records import form_records
 
@@ -23,10 +23,10 @@ def records(requests: DataFrame, prefixes: list[str]) -> DataFrame:
 
 
 def seal_messages(made: DataFrame, cipher: EnvelopeCipher) -> DataFrame:
-    """Messages of all readable requests."""
+    """Messages of all readable requests. Each names its key."""
     keyed = cipher.with_data_key(made.where(F.col("record").isNotNull()), "message_id")
     return keyed.select(
-        "message_id", "publish_time", F.create_map().cast("map<string,string>").alias("attributes"),
+        "message_id", "publish_time", F.create_map(F.lit(KEY_NAME), F.lit(cipher.key_name)).alias("attributes"),
         cipher.seal(utf8_bytes("record")).alias("payload")).drop(DATA_KEY)
 
 

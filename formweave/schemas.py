@@ -65,6 +65,7 @@ STAGED = T.StructType([
     T.StructField("message_id", T.StringType()),
     T.StructField("publish_time", T.TimestampType()),
     T.StructField("payload", T.BinaryType()),
+    T.StructField("key_name", T.StringType()),
     T.StructField("formName", T.StringType()),
     T.StructField("file_url", T.StringType()),
     T.StructField("columns", T.MapType(T.StringType(), T.StringType())),
@@ -79,6 +80,7 @@ DEAD_LETTER = T.StructType([
     T.StructField("message_id", T.StringType()),
     T.StructField("formName", T.StringType()),
     T.StructField("payload", T.BinaryType()),
+    T.StructField("key_name", T.StringType()),
 ])
 
 

@@ -68,3 +68,8 @@ def remove_older(spark: SparkSession, parent: str, keep: set[str], seconds: floa
         if status.isDirectory() and status.getPath().getName() not in keep and status.getModificationTime() <= limit:
             removed += bool(system.delete(status.getPath(), True))
     return removed
+
+
+def spread_partitions(spark: SparkSession) -> int:
+    """Partitions to deal heavy rows over: as many as shuffles have, or one per core if that is more."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

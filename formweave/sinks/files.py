@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from formweave.functions.crypto import KEY_NAME
 from formweave.functions.text import table_name
 from formweave.schemas import DEAD_LETTER, ERRORS, MESSAGE, RULES
 from formweave.sources.rules import BUCKETS, rule_bucket, versions_path
@@ -30,7 +31,7 @@ def archive(rows: DataFrame, path: str, batch_id: int) -> None:
     """Store the payloads of staged rows as they came, by form, month and day. The form's folder has its table name,
     which any file system takes; the name as it came is a column. Files are sorted by URL and have a Bloom filter on it,
     so a look-up by URL reads few row groups."""
-    (rows.select("message_id", "file_url", "payload", "formName", table_name("formName").alias("form"), "month", "day")
+    (rows.select("message_id", "file_url", "payload", "key_name", "formName", table_name("formName").alias("form"), "month", "day")
      .sortWithinPartitions("form", "month", "day", "file_url")
      .write.mode("overwrite").option("parquet.bloom.filter.enabled#file_url", "true")
      .partitionBy("form", "month", "day").parquet(_batch(path, batch_id)))
@@ -53,7 +54,9 @@ def write_errors(rows: DataFrame, path: str, batch_id: int) -> None:
 def dead_letter(rows: DataFrame, path: str, batch_id: int, **options: str) -> None:
     """Keep the original payload of messages whose table append kept failing: in a folder or a Kafka topic."""
     if path.startswith("kafka:"):
-        publish(rows.withColumn("attributes", F.create_map(F.lit("formName"), F.col("formName"))), path, **options)
+        named = F.map_filter(F.create_map(F.lit("formName"), F.col("formName"), F.lit(KEY_NAME), F.col("key_name")),
+                             lambda _, v: v.isNotNull())
+        publish(rows.withColumn("attributes", named), path, **options)
         return
     rows.select(*DEAD_LETTER.names).write.mode("overwrite").parquet(_batch(path, batch_id))
 

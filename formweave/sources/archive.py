@@ -14,6 +14,7 @@ ARCHIVED = T.StructType([
     T.StructField("message_id", T.StringType()),
     T.StructField("file_url", T.StringType()),
     T.StructField("payload", T.BinaryType()),
+    T.StructField("key_name", T.StringType()),
     T.StructField("formName", T.StringType()),
     T.StructField("batch_id", T.LongType()),
     T.StructField("form", T.StringType()),

@@ -120,7 +120,7 @@ class IngestPipeline:
         if config.inputPartitions:
             messages = spread(messages, config.inputPartitions)
         rows = stage(messages, current_rules(self.spark, config.rules), self.cipher, config.baseUrl,
-                     config.bucketName, config.onDeidError, config.collision)
+                     config.bucketName, config.onDeidError, config.collision, config.cryptohashing)
         rows, seen = observed(rows, f"ingest-{batch_id}")
         # Adaptive execution merges the partitions of small tables and splits those of a table with many rows. Days
         # are kept together too, so that the archive, which is laid out by day, gets few files.

@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from formweave.functions.crypto import EnvelopeCipher
+from formweave.functions.crypto import EnvelopeCipher, Pseudonyms
 
 from conftest import KEK
 
@@ -46,3 +47,28 @@ def test_plans_show_no_key_material(spark, cipher):
     rows = rows.select(cipher.open_text("s"))
     shown = rows._jdf.queryExecution().toString().upper()
     assert bytes(range(32)).hex().upper() not in shown and "00 01 02 03" not in shown
+
+
+@pytest.mark.parametrize("key, data, digest", [
+    (b"\x0b" * 20, "Hi There", "b0344c61d8db38535ca8afceaf0bf12b881dc200c9833da726e9376c2e32cff7"),
+    (b"Jefe", "what do ya want for nothing?", "5bdcc146bf60754e6a042426089575c75a003f089d2739839dec58b964ec3843"),
+    (b"\xaa" * 131, "Test Using Larger Than Block-Size Key - Hash Key First",
+     "60e431591ee0b67f0d8a26aacbf5b77f8e0bc6213728c5140546040f0ee37f54")])
+def test_pseudonyms_match_published_vectors(spark, key, data, digest):
+    """RFC 4231, cases 1, 2 and 6."""
+    hashes = Pseudonyms(spark, key)
+    rows = hashes.with_hash_key(spark.createDataFrame([(data,), (None,)], "v string"))
+    assert [r[0] for r in rows.select(hashes.of(F.col("v"))).collect()] == [digest, None]
+
+
+def test_a_message_names_its_key(spark):
+    ring = {"k1": b"1" * 32, "k2": b"2" * 32}
+    sealed = []
+    for name in ("k1", "k2", "k3"):
+        cipher = EnvelopeCipher(spark, ring | {"k3": b"3" * 32}, name, 1)
+        rows = cipher.with_data_key(spark.range(1), "id").select(cipher.seal(F.encode(F.lit(name), "UTF-8")).alias("p"))
+        sealed += [(bytes(rows.first().p), n) for n in (name, None)]
+    opener = EnvelopeCipher(spark, ring, "k1", 1)
+    frame = spark.createDataFrame(sealed, "p binary, n string")
+    got = [r[0] and bytes(r[0]).decode() for r in frame.select(opener.open("p", F.col("n"))).collect()]
+    assert got == ["k1", "k1", "k2", None, None, None]

@@ -54,3 +54,14 @@ def test_large_rule_tables_are_not_broadcast(spark, cipher, forms):
         assert sorted(map(repr, large.collect())) == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_pseudonyms_join_tables(spark, cipher, forms):
+    """Equal values of two forms have equal pseudonyms in two runs; without the key the row is rejected."""
+    rules_of = by_form(spark)
+    runs = [deid.deidentify(forms, rules_of, c, cryptohashing="hmac").where("message_id = '1'").first().values["full name"]
+            for c in (cipher, EnvelopeCipher(spark, {KEK: bytes(range(32))}, KEK, 1))]
+    assert runs[0] == runs[1] and len(runs[0]) == 64
+    keyless = EnvelopeCipher(spark, {}, KEK, 1)
+    got = {r.message_id: r for r in deid.deidentify(forms, rules_of, keyless, cryptohashing="hmac").collect()}
+    assert got["1"].error == deid.NOT_SEALED and got["2"].error is None

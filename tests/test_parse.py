@@ -1,5 +1,6 @@
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,3 +129,18 @@ def test_staging_keeps_every_message_once(spark, cipher, message_of):
     assert rows["1"].route == "f" and rows["1"].file_url.startswith("u/b/f/2024-03/5/f7_8_9_")
     assert rows["2"].route == rows["4"].route == "_rejected" and rows["4"].error == parse.NOT_OPENED
     assert rows["3"].route.startswith("form_my_form_") and rows["2"].file_url is None
+
+
+def test_a_huge_document_is_flattened_over_the_tasks(spark):
+    """An array of many members beside small parts: the same leaves as within the row, from many partitions."""
+    n = 5_000
+    huge = '{"a":{"k.z":[' + ",".join(f'{{"x":{i}.50}}' for i in range(n)) + '],"e":[]},"b":null,"c":[[],[1,[2]]]}'
+    docs = [(1, huge), (2, '{"a":1}'), (3, "bad"), (4, None), (5, "[]")]
+    rows = spark.createDataFrame(docs, "id int, doc string")
+    spread = flatten.flatten_rows(rows, "doc", "id", spread_bytes=2_000).withColumn("part", F.spark_partition_id())
+    inside = flatten.flatten_json(rows, "doc").select("id", F.explode("flat").alias("path", "value"))
+    got = spread.collect()
+    assert sorted((r.id, r.path, r.value) for r in got) == sorted(map(tuple, inside.collect()))
+    assert len(got) == n + 7 and [r.path for r in got if r.value == "7.50"] == ['a["k.z"][7].x']
+    sizes = Counter(r.part for r in got)
+    assert len(sizes) >= 4 and max(sizes.values()) < n // 2
