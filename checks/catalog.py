@@ -240,7 +240,7 @@ def hostile_names(spark, sf):
     cipher, path = fx.cipher(spark), fresh_dir(spark, "archive")
     messages = fx.sealed(spark, sf, cipher, fx.HOSTILE)
     staged = stage(messages, fx.rules(spark, sf), cipher, fx.BASE_URL, fx.BUCKET)
-    kept = accepted(staged, "message_id", "file_url", "payload", "formName", "month", "day")
+    kept = accepted(staged, "message_id", "file_url", "payload", "key_name", "formName", "month", "day")
     files.archive(kept.hint("rebalance", "formName"), path, 0)
     stored = spark.read.parquet(path)
     return stored.select("message_id", F.md5(F.encode("formName", "UTF-8")).alias("form_md5"),
