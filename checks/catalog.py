@@ -734,7 +734,7 @@ def keyring_messages(spark, sf):
     sealed = []
     for i in range(4):
         cipher = EnvelopeCipher(spark, ring | {f"{fx.KEK_ID}3": bytes(32)}, f"{fx.KEK_ID}{i}", 8)
-        mine = publish_plan.seal_messages(parts.where(F.col("part") == i).withColumn("record", F.col("body")), cipher)
+        mine = publish_plan.seal_messages(parts.where(F.col("part") == i).withColumn("record", F.col("body")), cipher, name_key=True)
         sealed.append(mine)
     topic = fresh_dir(spark, "topic")
     files.publish(reduce(DataFrame.unionByName, sealed), topic)

@@ -41,7 +41,7 @@ def run_publish(argv: list[str]) -> None:
         raise ValueError("missing required option: rejects")
     options = config.kafka_options() | kafka_options(given) if to_kafka else {}
     # Ids and times are made once, so that a repeated try publishes the same messages.
-    sealed = publishable(asked, cipher, prefixes).checkpoint()
+    sealed = publishable(asked, cipher, prefixes, given.get("nameKey") == "true").checkpoint()
     send(lambda: publish(sealed, config.topic, **options), config)
     unreadable(asked).write.mode("append").parquet(given.get("rejects", f"{config.topic.rstrip('/')}_rejects"))
 

@@ -22,16 +22,18 @@ def records(requests: DataFrame, prefixes: list[str]) -> DataFrame:
     return made
 
 
-def seal_messages(made: DataFrame, cipher: EnvelopeCipher) -> DataFrame:
-    """Messages of all readable requests. Each names its key."""
+def seal_messages(made: DataFrame, cipher: EnvelopeCipher, name_key: bool = False) -> DataFrame:
+    """Messages of all readable requests. With ``name_key`` each names its key in an attribute, so that a topic may hold
+    messages under several keys."""
+    named = F.create_map(F.lit(KEY_NAME), F.lit(cipher.key_name)) if name_key else F.create_map().cast("map<string,string>")
     keyed = cipher.with_data_key(made.where(F.col("record").isNotNull()), "message_id")
     return keyed.select(
-        "message_id", "publish_time", F.create_map(F.lit(KEY_NAME), F.lit(cipher.key_name)).alias("attributes"),
+        "message_id", "publish_time", named.alias("attributes"),
         cipher.seal(utf8_bytes("record")).alias("payload")).drop(DATA_KEY)
 
 
-def publishable(requests: DataFrame, cipher: EnvelopeCipher, prefixes: list[str]) -> DataFrame:
-    return seal_messages(records(requests, prefixes), cipher)
+def publishable(requests: DataFrame, cipher: EnvelopeCipher, prefixes: list[str], name_key: bool = False) -> DataFrame:
+    return seal_messages(records(requests, prefixes), cipher, name_key)
 
 
 def unreadable(requests: DataFrame) -> DataFrame:
