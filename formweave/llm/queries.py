@@ -98,15 +98,15 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fp_search.search_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-ORACLE: dict[str, str] = {
-    "op12_similarity_join": r"""
+# Links between word shingle sets and their components, by comparing all sets that share a shingle.
+_COMPONENTS = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
   FROM documents),
 s AS (
-  SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 4), ' ') AS shingle
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM d WHERE len(w) > 0)),
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + WIDTH - 1), ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - WIDTH + 2, 2))) AS p FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 c AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
@@ -118,7 +118,11 @@ l AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 r(doc_id, other) AS (SELECT a, a FROM l UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.other = l.a),
 m AS (SELECT doc_id, min(other) AS least FROM r GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.least, d.doc_id) AS component_id
-FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN m ON d.doc_id = m.doc_id""",
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN m ON d.doc_id = m.doc_id"""
+
+ORACLE: dict[str, str] = {
+    "op3_near_duplicates": "SELECT *, doc_id = component_id AS kept FROM (" + _COMPONENTS.replace("WIDTH", "2") + ")",
+    "op12_similarity_join": _COMPONENTS.replace("WIDTH", "5"),
     "op13_ranked_search": r"""
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
