@@ -13,7 +13,7 @@ def staged(spark, n=4000, days=4):
         F.col("id").cast("string").alias("message_id"),
         F.concat(F.lit("u/b/My Form/2024-03/"), day, F.lit("/My Form1_2_3_"), F.col("id"), F.lit(".json")).alias("file_url"),
         F.sha2(F.col("id").cast("string"), 512).cast("binary").alias("payload"), F.lit("My Form").alias("formName"),
-        F.lit("2024-03").alias("month"), day.cast("int").alias("day"))
+        F.lit("2024-03").alias("month"), day.cast("int").alias("day"), F.lit(None).cast("string").alias("key_name"))
 
 
 def rows_scanned(frame):
