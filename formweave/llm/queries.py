@@ -236,32 +236,56 @@ t AS (
          coalesce(least(cap, weight * (SELECT arg_min(level, (filled, -level)) FROM l WHERE level <= filled)), cap)
            AS target
   FROM l),
-w AS (
-  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM t),
-m AS (SELECT *, target - whole * source_size AS missing FROM w),
+k AS (
+  SELECT source, pow(2.0, floor((length(bin(size)) - 1) / 2)) AS weight, sum(size)::BIGINT AS words
+  FROM d WHERE size > 0 GROUP BY ALL),
+v AS (
+  SELECT k.*, t.target, (t.target - coalesce(sum(k.words) OVER heavier, 0) * 2.0::DOUBLE)
+         / (sum(k.words * k.weight) OVER (PARTITION BY k.source) - coalesce(sum(k.words * k.weight) OVER heavier, 0))
+           AS level
+  FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source
+  WINDOW heavier AS (PARTITION BY k.source ORDER BY k.weight DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+o AS (SELECT source, arg_max(level, weight) AS level FROM v WHERE level * weight <= 2 GROUP BY source),
+e AS (
+  SELECT v.source, v.weight, v.words, v.target, coalesce(least(2.0::DOUBLE, o.level * v.weight), 2.0::DOUBLE) AS expected
+  FROM v LEFT JOIN o ON v.source IS NOT DISTINCT FROM o.source),
+m AS (
+  SELECT *, floor(expected)::BIGINT AS whole, expected - floor(expected) AS chance,
+         target - sum(floor(expected)::BIGINT * words) OVER (PARTITION BY source)::BIGINT AS missing
+  FROM e),
 u AS (
-  SELECT d.doc_id, d.source, d.size, m.source_size, m.target, m.whole, m.missing,
+  SELECT d.doc_id, d.source, d.size, coalesce(m.whole, 0) AS whole, m.missing, m.chance,
          (('0x' || substr(md5(d.doc_id::VARCHAR || ':mix'), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE
            AS random
-  FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source),
+  FROM d LEFT JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.size > 0
+    AND m.weight = pow(2.0, floor((length(bin(d.size)) - 1) / 2))),
 r AS (
-  SELECT *, CASE WHEN missing > 0 AND size > 0
-                 THEN random / (1 - random) / ((missing / source_size) / (1 - missing / source_size)) END AS rank
-  FROM u),
+  SELECT *, random / (1 - random) / (chance / (1 - chance)) AS rank FROM u WHERE missing > 0 AND chance > 0),
 c AS (
-  SELECT *, CASE WHEN rank IS NOT NULL THEN sum(size) OVER (PARTITION BY source, rank IS NULL
-                 ORDER BY rank, doc_id, size) END AS so_far
-  FROM r),
-g AS (
-  SELECT source, any_value(missing) - coalesce(max(so_far) FILTER (so_far <= missing), 0) AS gap
-  FROM c WHERE rank IS NOT NULL GROUP BY source),
-x AS (
-  SELECT c.source, arg_min(c.doc_id, (abs(g.gap - c.size), c.rank, c.doc_id)) AS fill
-  FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source
-  WHERE c.so_far > c.missing AND abs(g.gap - c.size) < g.gap GROUP BY c.source)
-SELECT c.doc_id, c.size, c.source_size, c.target,
-       (c.size * (c.whole + CASE WHEN c.so_far <= c.missing OR c.doc_id = x.fill THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM c LEFT JOIN x ON c.source IS NOT DISTINCT FROM x.source""",
+  SELECT *, sum(size) OVER in_order AS so_far, row_number() OVER in_order AS nth FROM r
+  WINDOW in_order AS (PARTITION BY source ORDER BY rank, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+g AS (SELECT *, count(*) FILTER (so_far <= missing) OVER (PARTITION BY source) AS cut FROM c),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY nth) - 1 AS bit
+  FROM (SELECT * FROM g
+        QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(nth - cut - 0.5), nth) <= 9)),
+b AS (
+  SELECT n.source, i.way, abs(min(n.missing) - min(n.so_far - n.size) - sum(n.size * (i.way // (3 ** n.bit)::BIGINT % 3))) AS off
+  FROM n, (SELECT unnest(range(19683)) AS way) i
+  GROUP BY n.source, i.way
+  HAVING i.way < (3 ** count(*))::BIGINT AND max(i.way // (3 ** n.bit)::BIGINT % 3 - (2 - n.whole)) <= 0),
+x AS (SELECT source, arg_min(way, (off, way)) AS way FROM b GROUP BY source),
+y AS (
+  SELECT n.doc_id, n.source, n.nth, x.way // (3 ** n.bit)::BIGINT % 3 AS more
+  FROM n JOIN x ON n.source IS NOT DISTINCT FROM x.source),
+z AS (SELECT source, min(nth) AS first FROM y GROUP BY source),
+w AS (
+  SELECT g.doc_id, g.source, CASE WHEN g.nth < z.first THEN 1 ELSE coalesce(y.more, 0) END AS more
+  FROM g JOIN z ON g.source IS NOT DISTINCT FROM z.source
+  LEFT JOIN y ON g.source IS NOT DISTINCT FROM y.source AND g.nth = y.nth)
+SELECT u.doc_id, u.size, t.source_size, t.target, (u.size * (u.whole + coalesce(w.more, 0)))::BIGINT AS taken
+FROM u JOIN t ON u.source IS NOT DISTINCT FROM t.source
+LEFT JOIN w ON u.doc_id = w.doc_id AND u.source IS NOT DISTINCT FROM w.source""",
     "op6_url_rules": r"""
 WITH u AS (
   SELECT page_id,
