@@ -188,6 +188,24 @@ def publish_messages(spark, sf):
     return parse.open_messages(message_source.messages(spark, topic), cipher).select("message_id", "body")
 
 
+@query
+def topic_replay(spark, sf):
+    """A topic of numbered files, written in two parts, the first of them twice under its key, and streamed with a
+    restart between the parts: each message has one place in the topic and comes once."""
+    cipher, topic, out = fx.cipher(spark), f"log:{fresh_dir(spark, 'topic')}", fresh_dir(spark, "streamed")
+    sealed = publish_plan.publishable(spread(fx.run(spark, sf, fx.REQUESTS)), cipher, text.prefix_list(fx.PREFIXES)).checkpoint()
+    late = F.crc32(F.col("message_id").cast("binary")) % 3 == 0
+    place = fresh_dir(spark, "progress")
+    for part, key in ((~late, "early"), (~late, "early"), (late, "late")):
+        files.publish(sealed.where(part), topic, writeId=key, partitions="3")
+        stream = message_source.message_stream(spark, topic).writeStream.format("parquet").option("checkpointLocation", place)
+        stream.trigger(availableNow=True).start(out).awaitTermination()
+    places = spark.read.format("topic_log").load(topic[len("log:"):])
+    held = places.groupBy("message_id").agg(F.count_distinct("partition", "offset").alias("places"))
+    opened = parse.open_messages(message_source.messages(spark, out), cipher)
+    return opened.groupBy("message_id", "body").agg(F.count("*").alias("deliveries")).join(held, "message_id")
+
+
 @query
 def publish_retry(spark, sf):
     """Publishing that fails three times, then succeeds: each message once, after the waits of the topic client."""

@@ -129,6 +129,8 @@ FROM c GROUP BY formName, key""",
     "build_form_records": f"WITH {_RECORDS} SELECT message_id, record FROM rec",
     # sinks
     "publish_messages": f"WITH {_RECORDS} SELECT message_id, kept AS body FROM dropped WHERE record IS NOT NULL",
+    "topic_replay": f"""WITH {_RECORDS} SELECT message_id, kept AS body, 1::BIGINT AS deliveries, 1::BIGINT AS places
+FROM dropped WHERE record IS NOT NULL""",
     "publish_retry": f"""WITH {_RECORDS} SELECT message_id, kept AS body, 4::INTEGER AS tries, 0.7::DOUBLE AS waited
 FROM dropped WHERE record IS NOT NULL""",
     "publish_rejects": f"""WITH {_RECORDS} SELECT message_id, 'PARSE: body is not a JSON object' AS error

@@ -1,12 +1,13 @@
 """Command line: ``python -m formweave.jobs <publish|ingest|load-rules> ...``.
 
-Requests the publisher refuses go to the folder named by ``--rejects``, or one beside the topic's; a Kafka topic needs
-the option. The key map is read from the file named by ``--keyFile``, one ``resource-name=hex`` per line.
+Requests the publisher refuses go to the folder named by ``--rejects``, or one beside the topic's; a topic named
+``kafka:…`` or ``log:…`` needs the option. The key map is read from the file named by ``--keyFile``, one ``resource-name=hex`` per line.
 """
 
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 
 from formweave.config import KeyConfig, PublishConfig, ingest_config, kafka_options, parse_args
@@ -16,7 +17,7 @@ from formweave.plans.publish import publishable, unreadable
 from formweave.plans.rule_load import load_rules
 from formweave.session import build_session, shared_dir
 from formweave.sinks.files import publish
-from formweave.sources.messages import requests
+from formweave.sources.messages import LOG, requests
 from formweave.streaming.pipeline import IngestPipeline
 from formweave.streaming.retry import with_backoff
 
@@ -37,9 +38,11 @@ def run_publish(argv: list[str]) -> None:
     prefixes = prefix_list(config.prefixes) if "fields" in given else []
     asked = requests(spark, given["requests"])
     to_kafka = config.topic.startswith("kafka:")
-    if to_kafka and "rejects" not in given:
+    if config.topic.startswith(("kafka:", LOG)) and "rejects" not in given:
         raise ValueError("missing required option: rejects")
     options = config.kafka_options() | kafka_options(given) if to_kafka else {}
+    if config.topic.startswith(LOG):
+        options = {"writeId": uuid.uuid4().hex}  # one key for all tries
     # Ids and times are made once, so that a repeated try publishes the same messages.
     sealed = publishable(asked, cipher, prefixes, given.get("nameKey") == "true").checkpoint()
     send(lambda: publish(sealed, config.topic, **options), config)

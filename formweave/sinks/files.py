@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from formweave.functions.crypto import KEY_NAME
 from formweave.functions.text import table_name
 from formweave.schemas import DEAD_LETTER, ERRORS, MESSAGE, RULES
+from formweave.sources import topic_log
+from formweave.sources.messages import LOG
 from formweave.sources.rules import BUCKETS, rule_bucket, versions_path
 
 
@@ -16,13 +18,18 @@ def _batch(path: str, batch_id: int) -> str:
 
 
 def publish(messages: DataFrame, topic: str, **options: str) -> None:
-    """Append messages to a topic: ``kafka:<topic>`` where that connector is installed, else a folder."""
+    """Append messages to a topic: ``kafka:<topic>`` where that connector is installed, ``log:<folder>``
+    for one of numbered files, else a folder."""
     if topic.startswith("kafka:"):
         headers = F.transform(F.map_entries("attributes"),
                               lambda e: F.struct(e["key"].alias("key"), F.encode(e["value"], "UTF-8").alias("value")))
         (messages.select(F.col("message_id").alias("key"), F.col("payload").alias("value"), headers.alias("headers"))
          .write.format("kafka").option("topic", topic[len("kafka:"):]).option("includeHeaders", "true")
          .options(**options).save())
+    elif topic.startswith(LOG):
+        topic_log.register(messages.sparkSession)
+        (messages.select(*MESSAGE.names).write.format(topic_log.FORMAT).mode("append").options(**options)
+         .save(topic[len(LOG):]))
     else:
         messages.select(*MESSAGE.names).write.mode("append").parquet(topic)
 
@@ -52,11 +59,13 @@ def write_errors(rows: DataFrame, path: str, batch_id: int) -> None:
 
 
 def dead_letter(rows: DataFrame, path: str, batch_id: int, **options: str) -> None:
-    """Keep the original payload of messages whose table append kept failing: in a folder or a Kafka topic."""
-    if path.startswith("kafka:"):
+    """Keep the original payload of messages whose table append kept failing: in a folder or a topic. A batch that
+    is repeated adds to a Kafka topic and keeps what it first wrote to a topic of numbered files."""
+    if path.startswith(("kafka:", LOG)):
         named = F.map_filter(F.create_map(F.lit("formName"), F.col("formName"), F.lit(KEY_NAME), F.col("key_name")),
                              lambda _, v: v.isNotNull())
-        publish(rows.withColumn("attributes", named), path, **options)
+        once = {"writeId": f"dead-{batch_id}"} if path.startswith(LOG) else options
+        publish(rows.withColumn("attributes", named), path, **once)
         return
     rows.select(*DEAD_LETTER.names).write.mode("overwrite").parquet(_batch(path, batch_id))
 

@@ -6,21 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formweave.schemas import MESSAGE, REQUEST
+from formweave.sources import topic_log
+
+LOG = "log:"
 
 
 def messages(spark: SparkSession, path: str) -> DataFrame:
-    """All messages of a file topic, as a batch."""
+    """All messages of a file topic, as a batch; ``log:<folder>`` is a topic of numbered files."""
+    if path.startswith(LOG):
+        topic_log.register(spark)
+        return spark.read.format(topic_log.FORMAT).load(path[len(LOG):]).select(*MESSAGE.names)
     return spark.read.schema(MESSAGE).parquet(path)
 
 
 def message_stream(spark: SparkSession, subscription: str, max_files: int | None = None,
                    **options: str) -> DataFrame:
-    """Unbounded messages. ``kafka:<topic>`` reads a Kafka topic, where that connector is installed; anything
-    else is the folder of a file topic."""
+    """Unbounded messages. ``kafka:<topic>`` reads a Kafka topic, where that connector is installed;
+    ``log:<folder>`` a topic of numbered files; anything else is the folder of a file topic."""
     if subscription.startswith("kafka:"):
         reader = (spark.readStream.format("kafka").option("subscribe", subscription[len("kafka:"):])
                   .option("includeHeaders", "true"))
         return from_kafka(reader.options(**options).load())
+    if subscription.startswith(LOG):
+        topic_log.register(spark)
+        return spark.readStream.format(topic_log.FORMAT).load(subscription[len(LOG):]).select(*MESSAGE.names)
     reader = spark.readStream.schema(MESSAGE).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
