@@ -287,6 +287,60 @@ def test_benchmark_hits_match_plain_search(spark, corpus):
                 for d, r in found.items()} == want
 
 
+def test_longest_matches_are_those_of_plain_search(spark, corpus, monkeypatch):
+    def words(text):
+        return brute.re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", brute.lowered(text or ""))
+
+    texts = [t for _, t in corpus if t]
+    items = [(1, texts[4]), (2, " ".join(texts[5].split()[:6])), (3, None), (4, "!!"), (5, texts[4]), (7, "a b c a b c " * 4),
+             (12, "one"), (13, "a a a"), (14, texts[10]), (15, "z " * 20)]
+    docs = [(i, t) for i, (_, t) in enumerate(corpus) if len(t or "") < 2000]
+    docs += [(900, texts[4][:150] + texts[5]), (901, "ONE, two. one!"), (902, "a a a a b a a a"), (903, "Z " * 33),
+             (904, " ".join([*texts[0].split(), *texts[10].split()[5:30], *texts[1].split(), *texts[10].split()[2:20]])),
+             (905, "b c " + "a b c " * 7 + "x " + "a b c " * 5), (905, "one")]
+    want = set()
+    for d, text in docs:
+        own = words(text)
+        for item, other in items:
+            theirs = words(other)
+            least = min(13, len(theirs))
+            for i in range(len(own) if least else 0):
+                for j in range(len(theirs)):
+                    if i and j and own[i - 1] == theirs[j - 1]:
+                        continue
+                    n = 0
+                    while i + n < len(own) and j + n < len(theirs) and own[i + n] == theirs[j + n]:
+                        n += 1
+                    if n >= least:
+                        want.add((d, item, j, i, n))
+    assert len({w[4] for w in want}) > 8
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    for limit in (1 << 20, 300):
+        found = rows(decontaminate.matches(frame, benchmark, max_broadcast=limit, with_spans=True))
+        assert {(r["doc_id"], *s) for r in found for s in r["spans"]} == want
+    # In small portions, as in large ones.
+    hashes, owner = decontaminate.word_hashes(blocks.block_of([(t or "").encode() for _, t in items]))
+    tests = decontaminate.TestSuffixes([i for i, _ in items], hashes, owner)
+    known = tests.numbers(decontaminate.word_hashes(blocks.block_of([("a b c " * 30 + "z " * 30).encode()]))[0])
+    tokens = np.concatenate([[-1], known, [-1] * 13]).astype(np.int32)
+
+    def listed():
+        return sorted(m for part in decontaminate.longest_matches(tokens, tests) for m in zip(*(c.tolist() for c in part)))
+
+    whole = listed()
+    monkeypatch.setattr(decontaminate, "PORTION", 5)
+    assert listed() == whole and len(whole) > 30
+
+
+def test_what_is_sent_of_the_items_is_bounded(corpus):
+    texts = [t.encode() for _, t in corpus if t]
+    hashes, owner = decontaminate.word_hashes(blocks.block_of(texts))
+    tests = decontaminate.TestSuffixes(list(range(len(texts))), hashes, owner)
+    sent = tests.vocabulary.nbytes + tests.words.nbytes + tests.before.nbytes + tests.n_words.nbytes
+    assert sent <= 12 * len(hashes) + 12 * len(texts) + 8
+
+
 # ---- fingerprints ------------------------------------------------------------------------------------------
 
 
