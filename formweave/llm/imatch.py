@@ -2,18 +2,18 @@
 
 The lexicon holds the terms whose document frequency lies in a band: rare enough to tell, frequent enough to be
 shared. From it several sub-lexicons are drawn by hash, at rates from one term in four to one in 1,024. For each
-sub-lexicon the distinct terms a document has in it are sorted and hashed; the fingerprint is the row of these
-hashes. A document with fewer than ``LEAST`` lexicon terms uses all of its terms instead.
+sub-lexicon the distinct terms a document has in it are sorted and hashed to 8 bits; the fingerprint is the row of
+these hashes, and a 64-bit hash of all distinct terms of the document.
 
 Where few terms change, many sub-lexicons have none of them and keep their hash. Whether a sub-lexicon is small
 enough to show that depends on the document's length, so likeness is the share of equal hashes at the rate where it
 is highest, among the rates at which at least ``USED`` sub-lexicons have a term of either document. With about one
-term in a sub-lexicon that share is the share of common terms.
+term in a sub-lexicon that share is the share of common terms. Two documents without a term in any sub-lexicon are
+alike if all their terms are the same.
 
-Frequencies are exact over all documents, in two passes. A term in a share ``low`` of all documents is in that
-share of some task's documents, so the first pass keeps what reaches it in any task, and the second counts only
-those. The lexicon has at most (mean distinct terms of a document) / low terms however many documents there are,
-and so can go to every task.
+Frequencies are exact over all documents: tasks count what they hold, and the counts are summed by term. The lexicon
+has at most (mean distinct terms of a document) / low terms however many documents there are, and so can go to every
+task.
 """
 
 from __future__ import annotations
@@ -27,13 +27,14 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.blocks import (LOWERED, SPACES, U64, Block, Spans, block_of, blocks, materialise, mix, ship,
+from formweave.llm.blocks import (LOWERED, SPACES, U64, Block, Spans, block_of, blocks, mix, ship,
                                   shuffle_partitions, slices, sort_within, words)
 
 LOW, HIGH = 0.001, 0.05
-RATES = {4: 16, 16: 16, 64: 32, 256: 32, 1024: 32}  # sub-lexicons with one term in so many
-LEAST, USED = 4, 6
-SLICE = 4_000_000  # terms that go to a task at once
+RATES = {4: 32, 16: 64, 64: 64, 256: 64, 1024: 64}  # sub-lexicons with one term in so many
+USED = 6
+WHOLE_BYTES = 8  # of the hash of all terms
+HELD_TERMS = 1_000_000  # that a task counts before it passes them on
 
 
 def distinct_terms(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -54,48 +55,36 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return terms, np.bincount(at, np.concatenate([c for _, c in parts]), len(terms)).astype(np.int64)
 
 
-def _frequent_here(batches: Iterator[pa.RecordBatch], low: float) -> Iterator[pa.RecordBatch]:
-    parts, held, n = [(np.zeros(0, U64), np.zeros(0, np.int64))], 0, 0
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms and the number of this task's texts they are in, in portions."""
+    empty = [(np.zeros(0, U64), np.zeros(0, np.int64))]
+    parts, held = list(empty), 0
+
+    def portion() -> pa.RecordBatch:
+        terms, counts = parts[0]
+        return pa.record_batch([pa.array(terms.view(np.int64)), pa.array(counts)], names=["term", "df"])
+
     for batch in slices(batches):
         for _, block in blocks(batch, "text"):
-            n += len(block.texts)
             parts.append(np.unique(distinct_terms(block)[0], return_counts=True))
             held += len(parts[-1][0])
-            if held > 2 * len(parts[0][0]) + 1_000_000:
+            if held > HELD_TERMS:
                 parts = [_merge(parts)]
-                held = 0
-    terms, counts = _merge(parts)
-    yield pa.record_batch([pa.array(terms[counts >= low * n].view(np.int64))], names=["term"])
-
-
-def _count_known(batches: Iterator[pa.RecordBatch], known: np.ndarray) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(len(known), np.int64)
-    for batch in slices(batches):
-        for _, block in blocks(batch, "text"):
-            terms = distinct_terms(block)[0]
-            if len(known):
-                at = np.minimum(np.searchsorted(known, terms), len(known) - 1)
-                counts += np.bincount(at[known[at] == terms], minlength=len(known))
-    seen = counts > 0
-    yield pa.record_batch([pa.array(known[seen].view(np.int64)), pa.array(counts[seen])], names=["term", "df"])
+                held = len(parts[0][0])
+                if held > HELD_TERMS // 2:
+                    yield portion()
+                    parts, held = list(empty), 0
+    parts = [_merge(parts)]
+    yield portion()
 
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> np.ndarray:
     """Sorted hashes of the terms in a share of ``low`` to ``high`` of all documents, and in two at least."""
     ship(docs.sparkSession)
-    texts = docs.select("text")
     n = docs.count()
-    candidates = materialise(texts.mapInArrow(lambda b: _frequent_here(b, low), "term bigint").distinct(), "terms")
-    slices = max(1, -(-candidates.count() // SLICE))
-    kept = [np.zeros(0, U64)]
-    for k in range(slices):
-        part = candidates.where(F.pmod(F.xxhash64("term"), F.lit(slices)) == k).toPandas()["term"].to_numpy(np.int64)
-        known = docs.sparkSession.sparkContext.broadcast(np.sort(part.view(U64)))
-        counted = texts.mapInArrow(lambda b, known=known: _count_known(b, known.value), "term bigint, df bigint")
-        band = counted.groupBy("term").agg(F.sum("df").alias("df")).where(
-            (F.col("df") >= max(2.0, low * n)) & (F.col("df") <= max(2.0, high * n)))
-        kept.append(band.select("term").toPandas()["term"].to_numpy(np.int64).view(U64))
-    return np.sort(np.concatenate(kept))
+    counts = docs.select("text").mapInArrow(_count, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+    band = counts.where((F.col("df") >= max(2.0, low * n)) & (F.col("df") <= max(2.0, high * n))).select("term")
+    return np.sort(band.toPandas()["term"].to_numpy(np.int64).view(U64))
 
 
 # ---- fingerprints ------------------------------------------------------------------------------------------
@@ -114,13 +103,14 @@ def subsets(terms: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
 
 
 def fingerprints(block: Block, terms: np.ndarray) -> np.ndarray:
-    """One row of 8-bit hashes per text, 0 where it has no term in the sub-lexicon."""
+    """One row of 8-bit hashes per text, 0 where it has no term in the sub-lexicon, and of the bytes of the hash of all
+    its terms, 0 if it has none."""
     n = len(block.texts)
     found, owner = distinct_terms(block)
+    whole = np.zeros(n, U64)
+    np.add.at(whole, owner, mix(found ^ U64(0x2545F4914F6CDD1D)))
     at = np.minimum(np.searchsorted(terms, found), max(len(terms) - 1, 0))
-    known = terms[at] == found if len(terms) else np.zeros(len(found), bool)
-    enough = np.bincount(owner[known], minlength=n) >= LEAST
-    use = known | ~enough[owner]
+    use = terms[at] == found if len(terms) else np.zeros(len(found), bool)
     found, owner = found[use], owner[use]
     # The hash of a sorted list of distinct terms: the sum of their mixed values, mixed again.
     value = mix(found ^ U64(0x5851F42D4C957F2D))
@@ -131,15 +121,18 @@ def fingerprints(block: Block, terms: np.ndarray) -> np.ndarray:
         np.add.at(sums, owner[inside] * count + which[inside], value[inside])
         parts.append(sums.reshape(n, count))
     out = np.concatenate(parts, 1)
-    return np.where(out == 0, U64(0), (mix(out) % U64(255)) + U64(1)).astype(np.uint8)
+    short = np.where(out == 0, U64(0), (mix(out) % U64(255)) + U64(1)).astype(np.uint8)
+    return np.concatenate([short, whole.astype(">u8").view(np.uint8).reshape(n, WHOLE_BYTES)], 1)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """0 to 1 for rows of fingerprints; equal ones have 1."""
+    all_terms = (a[:, -WHOLE_BYTES:] == b[:, -WHOLE_BYTES:]).all(1)
+    a, b = a[:, :-WHOLE_BYTES], b[:, :-WHOLE_BYTES]
     used = (a != 0) | (b != 0)
     same = (a == b) & (a != 0)
     n_used, n_same = used.sum(1), same.sum(1)
-    whole = np.where(n_used == 0, 1.0, n_same / np.maximum(n_used, 1))
+    whole = np.where(n_used == 0, all_terms, n_same / np.maximum(n_used, 1))
     best = np.full(len(a), -1.0)
     start = 0
     for wanted in RATES.values():

@@ -361,6 +361,42 @@ def test_fingerprints(corpus, corpus_frame):
     assert np.mean([found[d]["near_edited"] for d in long]) > 5 * np.mean([found[d]["near_next"] for d in long])
 
 
+def test_likeness_tells_half_edited_texts_from_others(spark):
+    """At the likeness that 0.5 % of next documents pass, 0.9 of the texts whose second half was replaced pass too."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = rows(imatch.fingerprint(docs, imatch.lexicon(docs)))
+    edge = np.quantile([r["near_next"] for r in found], 0.995)
+    assert np.mean([r["near_edited"] > edge for r in found]) >= 0.9
+
+
+def test_one_word_changes_little_of_a_fingerprint():
+    """Also of a text with few terms of the lexicon."""
+    block = blocks.block_of([b"l1 l2 l3 l4 rare", b"l1 l2 l3 other rare", b"l1 l2 l3 l4 rare", b"x y", b"x z", b"y x", b"", b""])
+    terms = np.sort(imatch.distinct_terms(blocks.block_of([b"l1 l2 l3 l4"]))[0])
+    prints = imatch.fingerprints(block, terms)
+    def near(i, j):
+        return imatch.likeness(prints[i: i + 1], prints[j: j + 1])[0]
+    assert 0.3 < near(0, 1) < 1 and near(0, 2) == 1 and (prints[0] == prints[2]).all()
+    assert near(3, 4) == 0 and near(3, 5) == 1 and near(6, 7) == 1 and near(3, 6) == 0 and near(0, 3) == 0
+
+
+def test_terms_are_passed_on_in_portions(corpus_frame, monkeypatch):
+    import pyarrow as pa
+
+    texts = [r["text"] for r in corpus_frame.collect()]
+    batch = pa.record_batch([pa.array(texts, pa.string())], names=["text"])
+    def total(parts):
+        out = {}
+        for part in parts:
+            for term, df in zip(*(c.to_pylist() for c in part.columns)):
+                out[term] = out.get(term, 0) + df
+        return out
+    whole = total(imatch._count(iter([batch])))
+    monkeypatch.setattr(imatch, "HELD_TERMS", 20)
+    parts = list(imatch._count(iter([batch.slice(i, 5) for i in range(0, len(texts), 5)])))
+    assert len(parts) > 2 and total(parts) == whole
+
+
 def test_lexicon_counts_all_documents(spark, corpus, corpus_frame):
     counts = {}
     for _, text in corpus:
