@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formweave.functions.text import ci_equals, trim_cell
-from formweave.session import shared_dir
+from formweave.session import fresh_dir, remove_older, shared_dir
 
 # The marker of a switched-off rule and the three techniques.
 DELETED = "DELETED"
@@ -93,6 +93,11 @@ def _inserting(upserts: DataFrame, deletions: DataFrame) -> DataFrame:
     first one behind the deletion of that rule. Which upserts lie on the chain of these links that starts at
     each key's first upsert is found by doubling the links: after n rounds the first 2**n insertions of every
     key are known, and the next round adds the 2**n behind them. No key's changes are ever gathered in one value.
+
+    Each round is written and read again as files. A checkpoint would do for the rows, but its plan keeps what is known
+    of the columns of all rounds before (their constraints), which multiplies round by round in the driver; and its
+    partitions add up. The rows of these files take many times the space of the files, by whose size a join would be
+    made a broadcast from the driver: the joins are by merging.
     """
     no_pos = F.lit(None).cast(upserts.schema["pos"].dataType)
     both = upserts.withColumn("removal", no_pos).unionByName(deletions.withColumn("removal", F.col("pos")))
@@ -109,13 +114,23 @@ def _inserting(upserts: DataFrame, deletions: DataFrame) -> DataFrame:
     # One table holds both: known insertions have no `next`, links have one.
     no_next = no_pos.alias("next")
     state = upserts.groupBy(*KEY).agg(F.min("pos").alias("pos")).select(*KEY, "pos", no_next).unionByName(links)
-    state = state.checkpoint()
+    spark, place, rounds = upserts.sparkSession, fresh_dir(upserts.sparkSession, "insertions"), 0
+
+    def written(rows: DataFrame) -> DataFrame:
+        """A round as files; those of the round before go."""
+        path = f"round={rounds}"
+        rows.write.parquet(f"{place}/{path}")
+        remove_older(spark, place, {path}, 0)
+        return spark.read.schema(rows.schema).parquet(f"{place}/{path}")
+
+    state = written(state)
     while not state.where("next is not null").isEmpty():
+        rounds += 1
         reached, links = state.where("next is null"), state.where("next is not null")
-        ahead = reached.drop("next").join(links, [*KEY, "pos"]).select(*KEY, F.col("next").alias("pos"), no_next)
+        ahead = reached.drop("next").join(links.hint("merge"), [*KEY, "pos"]).select(*KEY, F.col("next").alias("pos"), no_next)
         beyond = links.select(*KEY, F.col("pos").alias("next"), F.col("next").alias("after"))
-        jumps = links.join(beyond, [*KEY, "next"]).select(*KEY, "pos", F.col("after").alias("next"))
-        state = reached.unionByName(ahead).unionByName(jumps).checkpoint()
+        jumps = links.join(beyond.hint("merge"), [*KEY, "next"]).select(*KEY, "pos", F.col("after").alias("next"))
+        state = written(reached.unionByName(ahead).unionByName(jumps))
     return state.select(*KEY, "pos")
 
 
@@ -144,7 +159,7 @@ def apply_changes(rules: DataFrame, changes: DataFrame) -> DataFrame:
                     .select("pos", *RULE).checkpoint())
 
     inserted = _inserting(open_upserts, deletions)
-    added = (open_upserts.join(inserted, [*KEY, "pos"], "left_semi").join(spans, list(RULE), "left")
+    added = (open_upserts.join(inserted.hint("merge"), [*KEY, "pos"], "left_semi").join(spans, list(RULE), "left")
              .select(*RULE, F.when(F.col("last_del") > F.col("pos"), F.lit(DELETED))
                      .otherwise(F.lit("")).alias("addnl_info")))
     return kept.unionByName(added)

@@ -126,3 +126,17 @@ def test_a_change_of_one_key_rewrites_one_bucket(spark, tmp_path):
     # A table written anew has nothing of before, also in buckets that are empty now.
     write_rules(spark.createDataFrame(many[:1], RULES), table, 4)
     assert current_rules(spark, table).count() == 1
+
+
+def test_rounds_of_insertions_leave_nothing_in_the_driver(spark):
+    """What a plan knows of its columns must not pile up round by round, nor may the joins be broadcasts."""
+    lines = [(("f", 0, n), "purchase", "x", "MASKING", "UD"[n % 2]) for n in range(256)]
+    changes = spark.createDataFrame(lines, "pos struct<file:string,block:bigint,row:bigint>, formName string, "
+                                           "fieldName string, dlpTechnique string, action string")
+    upserts, deletions = (changes.where(F.col("action") == a).drop("action") for a in "UD")
+    inserted = rules._inserting(upserts, deletions)
+    assert inserted.count() == 128
+    leaves = inserted._jdf.queryExecution().analyzed().collectLeaves()
+    assert sum(leaves.apply(i).constraints().size() for i in range(leaves.size())) == 0
+    got = rules.apply_changes(spark.createDataFrame([], RULES), changes)
+    assert [(r.addnl_info, r.n) for r in got.groupBy("addnl_info").agg(F.count("*").alias("n")).collect()] == [("DELETED", 128)]
