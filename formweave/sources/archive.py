@@ -26,7 +26,7 @@ DATED = r"/(\d{4}-\d{2})/(\d{1,2})/[^/]*\.json$"
 
 
 def archived(spark: SparkSession, path: str) -> DataFrame:
-    """All stored payloads; form, month and day are partition columns."""
+    """All stored payloads; month and day are partition columns."""
     return spark.read.schema(ARCHIVED).parquet(path)
 
 
@@ -39,8 +39,8 @@ def url_day(url: Column | str) -> Column:
 
 
 def payloads_of(errors: DataFrame, archive: DataFrame) -> DataFrame:
-    """The stored payloads of error rows (formName, errorFormData), each once. Folders of forms and days without an
-    error are pruned when the query runs; rows without a URL find nothing."""
+    """The stored payloads of error rows (formName, errorFormData), each once. Folders of days without an error
+    are pruned when the query runs; rows without a URL find nothing."""
     wanted = errors.where(F.length("errorFormData") > 0).select(
         table_name("formName").alias("form"), url_month("errorFormData").alias("month"), url_day("errorFormData").alias("day"),
         F.col("errorFormData").alias("file_url")).distinct()
@@ -48,7 +48,7 @@ def payloads_of(errors: DataFrame, archive: DataFrame) -> DataFrame:
 
 
 def payload_at(archive: DataFrame, form_name: str, *urls: str) -> DataFrame:
-    """The payloads at some URLs of one form. Form and days prune folders, the URLs row groups by their Bloom filter."""
+    """The payloads at some URLs of one form. Days prune folders, form and URLs row groups."""
     dated = [re.search(DATED, url) for url in urls]
     days = sorted({(m[1], int(m[2])) for m in dated if m})
     if not days:

@@ -48,3 +48,16 @@ def test_payloads_of_error_rows(spark, tmp_path):
     found = archive.payloads_of(errors, archive.archived(spark, path))
     assert sorted(r.message_id for r in found.collect()) == ["1", "3"]
     assert archive.payloads_of(errors.limit(0), archive.archived(spark, path)).count() == 0
+
+
+def test_many_forms_take_few_small_files(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    forms = staged(spark, 200, 2).withColumn("formName", F.concat(F.lit("Form "), F.col("message_id")))
+    files.archive(forms.coalesce(1), path, 0)
+    stored = list((tmp_path / "archive").rglob("*.parquet"))
+    assert len(stored) == 2 and sum(f.stat().st_size for f in stored) < 200_000
+    kept = archive.archived(spark, path)
+    assert kept.select("form").distinct().count() == 200
+    url = "u/b/My Form/2024-03/2/My Form1_2_3_7.json"
+    assert [r.message_id for r in archive.payload_at(kept, "Form 7", url).collect()] == ["7"]
+    assert archive.payload_at(kept, "Form 8", url).count() == 0
