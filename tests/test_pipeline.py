@@ -1,8 +1,10 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import catalog
 from formweave.config import IngestConfig, RetryConfig, ingest_config
 from formweave.functions.crypto import EnvelopeCipher
 from formweave.operators import evolve
@@ -12,6 +14,7 @@ from formweave.session import shared_dir
 from formweave.sinks import files
 from formweave.sinks.tables import FormStore
 from formweave.sources.messages import from_kafka, message_attributes, messages
+from formweave.streaming import pipeline
 from formweave.streaming.pipeline import APPEND_FAILED, IngestPipeline
 from formweave.streaming.retry import with_retries
 
@@ -325,3 +328,32 @@ def test_each_batch_rotates_its_data_keys(spark, job, message_of):
     for batch in range(2):
         run.process(message_of((str(batch), body({"a": 1}))), batch)
     assert len({r.a[:80] for r in run.store.read("f").collect()}) == 2
+
+
+def test_whole_rows_are_shuffled_only_where_that_saves_files(job, message_of, monkeypatch):
+    """Input of partitions enough is staged as it is dealt; rows of more folders than FOLDERS come together."""
+    run = job(inputPartitions=2)
+    batch = message_of(*((str(n), body({"a": n}, f"f{n % 3}")) for n in range(40)))
+
+    def counted(path):
+        return len({f.name for f in path.rglob("*.parquet")}), len(list(path.rglob("*.parquet")))
+
+    def written(batch_id):
+        (attempt,) = run.store.log.tables().where(f"batch_id = {batch_id}").select("attempt").distinct().collect()
+        return Path(f"{run.store.landing}/attempt={attempt.attempt}")
+
+    monkeypatch.setattr(pipeline, "FULL_TASK", 10)
+    run.process(batch.repartition(4), 0)
+    assert counted(Path(run.staged_path(0)))[1] == 4
+    assert run.store.table_counts().agg(F.sum("rows")).first()[0] == 40
+    few = counted(written(0))[1]
+    monkeypatch.setattr(pipeline, "FOLDERS", 2)
+    run.process(batch.repartition(4), 1)
+    assert counted(written(1))[1] == 3 <= few
+    assert run.store.read("f0").count() == 28
+
+
+def test_parts_of_a_topic_are_files_of_bounded_tasks(spark):
+    path = catalog._topic(spark, "/root/testdata/sf0.001", 2)
+    times = [r.t for r in messages(spark, path).groupBy(F.input_file_name()).agg(F.max("publish_time").alias("t")).collect()]
+    assert len(times) > catalog.PART_FILES
