@@ -203,6 +203,26 @@ def test_a_common_phrase_is_dealt_over_many_buckets(spark, monkeypatch, hot_runs
     assert max(sizes.values()) <= (600 if hot_runs < 100 else 6000)
 
 
+def test_matching_runs_holds_little_more_than_its_bucket():
+    """What is made of the rows of a bucket takes less than seven times their own size."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    random = np.random.default_rng(5)
+    texts = [bytes(random.integers(97, 123, 4000, np.uint8)).decode() for _ in range(2000)]
+    docs = pa.record_batch([pa.array(range(2000), pa.int64()), pa.array(range(2000), pa.int64()), pa.array(texts)],
+                           names=["id", "hash", "text"])
+    none = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    held = pa.Table.from_batches(list(suffix_dedup._send_runs(iter([docs]), 50, 20, 1, none))).combine_chunks()
+    tracemalloc.start()
+    for _ in suffix_dedup._match_runs(iter(held.to_batches()), 50):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 7 * held.nbytes
+
+
 def test_radix_groups_are_equal_windows():
     random = np.random.default_rng(5)
     data = random.integers(97, 99, 3000, dtype=np.uint8)

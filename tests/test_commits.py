@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from formweave.config import IngestConfig, RetryConfig
-from formweave.sinks import files
+from formweave.sinks import files, tables
 from formweave.sinks.tables import FormStore
 from formweave.streaming.pipeline import IngestPipeline
 
@@ -109,6 +109,36 @@ def test_small_targets_give_several_files(job, message_of):
     assert len(seen(run.store)) == 5
 
 
+@pytest.mark.parametrize("few", [64, 0])
+def test_few_folders_are_packed_without_a_shuffle(job, message_of, monkeypatch, few):
+    """Bin by bin, or by one shuffle beyond so many folders: the same rows."""
+    run = job()
+    small_batches(run, message_of, 0, 3)
+    before = seen(run.store), seen(run.store, "g")
+    monkeypatch.setattr(tables, "FEW_FOLDERS", few, raising=False)
+    dealt, kind = [], type(run.store.landed())
+    repartition = kind.repartition
+    monkeypatch.setattr(kind, "repartition", lambda self, *by: dealt.append(by) or repartition(self, *by))
+    assert run.store.compact() == 6
+    assert bool(dealt) == (few == 0)
+    assert (seen(run.store), seen(run.store, "g")) == before
+
+
+def test_topics_are_packed(message_of, tmp_path):
+    files.publish(message_of(("1", body({"a": 1}))), str(tmp_path / "topic"))
+    assert [f for f in (tmp_path / "topic").glob("*.parquet")] == [f for f in (tmp_path / "topic").glob("*.zstd.parquet")]
+
+
+def test_table_rows_are_opened_without_a_shuffle(job, message_of):
+    from checks.catalog import _table_rows
+
+    run = job()
+    small_batches(run, message_of, 0, 2)
+    rows = _table_rows(run)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.table for r in rows.collect()) == ["f", "f", "g", "g"]
+
+
 def test_a_commit_during_packing_is_kept(job, message_of):
     """A replay and a new batch that commit between the reading of the log and the snapshot."""
     run = job()
