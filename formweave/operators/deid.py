@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from formweave.functions.crypto import DATA_KEY, HASH_KEY, EnvelopeCipher, Pseudonyms
 from formweave.operators.rules import TECHNIQUES
+from formweave.session import small_side
 
 FIELD_LISTS = tuple(f"{t.lower()}_fields" for t in TECHNIQUES)
 NOT_SEALED = "DEID: a field cannot be sealed"
@@ -19,13 +20,14 @@ NOT_SEALED = "DEID: a field cannot be sealed"
 def with_rules(forms: DataFrame, by_form: DataFrame, key_by: str = "message_id") -> DataFrame:
     """Add the field lists of each row's form, ignoring case; empty lists when it has none.
 
-    There is no broadcast hint: Spark compares the size of the rule table with its threshold and broadcasts
-    it if it fits, else it sorts and merges, where adaptive execution splits a form that holds many rows.
+    The lists are measured, as they take much less than the rules they come from: they are broadcast if they are
+    small, so that no message is shuffled to the few keys of its form. Else Spark sorts and merges, where adaptive
+    execution splits a form that holds many rows.
     Rows without a form name find no rule; they get keys of their own, which no rule has, so that they spread.
     """
     named = F.concat(F.lit("f"), F.lower("formName"))
     keyed = forms.withColumn("_key", F.coalesce(named, F.concat(F.lit("n"), F.col(key_by).cast("string"))))
-    lists = by_form.withColumn("form_key", F.concat(F.lit("f"), F.col("form_key")))
+    lists = small_side(by_form.withColumn("form_key", F.concat(F.lit("f"), F.col("form_key"))), "field-lists")
     joined = keyed.join(lists, F.col("_key") == F.col("form_key"), "left").drop("form_key", "_key")
     empty = F.array().cast("array<string>")
     return joined.withColumns({name: F.coalesce(name, empty) for name in FIELD_LISTS})

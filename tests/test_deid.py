@@ -56,6 +56,21 @@ def test_large_rule_tables_are_not_broadcast(spark, cipher, forms):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_small_lists_of_large_rule_tables_are_broadcast(spark, cipher, forms):
+    """The rules are over Spark's threshold, their lists by form are not: no message is shuffled."""
+    expected = sorted(map(repr, deid.with_rules(forms, by_form(spark)).select("message_id", *deid.FIELD_LISTS).collect()))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+        joined = deid.with_rules(forms, by_form(spark)).select("message_id", *deid.FIELD_LISTS)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        assert sorted(map(repr, joined.collect())) == expected
+        assert deid.with_rules(forms, by_form(spark).limit(0)).where("size(masking_fields) = 0").count() == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_pseudonyms_join_tables(spark, cipher, forms):
     """Equal values of two forms have equal pseudonyms in two runs; without the key the row is rejected."""
     rules_of = by_form(spark)
