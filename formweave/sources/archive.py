@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from formweave.functions.text import table_name
+from formweave.session import small_side
 
 ARCHIVED = T.StructType([
     T.StructField("message_id", T.StringType()),
@@ -24,6 +25,9 @@ ARCHIVED = T.StructType([
 # The folders in a URL, before the object's name: month and day.
 DATED = r"/(\d{4}-\d{2})/(\d{1,2})/[^/]*\.json$"
 
+# What a URL tells of its payload's place: the form, and the folder.
+NEAR = ("form", "month", "day")
+
 
 def archived(spark: SparkSession, path: str) -> DataFrame:
     """All stored payloads; month and day are partition columns."""
@@ -40,11 +44,13 @@ def url_day(url: Column | str) -> Column:
 
 def payloads_of(errors: DataFrame, archive: DataFrame) -> DataFrame:
     """The stored payloads of error rows (formName, errorFormData), each once. Folders of days without an error
-    are pruned when the query runs; rows without a URL find nothing."""
+    are pruned when the query runs, and of the others only payloads of forms with an error that day meet the URLs, so
+    that no others are shuffled where there are too many URLs to broadcast. Rows without a URL find nothing."""
     wanted = errors.where(F.length("errorFormData") > 0).select(
         table_name("formName").alias("form"), url_month("errorFormData").alias("month"), url_day("errorFormData").alias("day"),
         F.col("errorFormData").alias("file_url")).distinct()
-    return archive.join(wanted, ["form", "month", "day", "file_url"], "left_semi")
+    near = small_side(wanted.select(*NEAR).distinct(), "error-days")
+    return archive.join(near, list(NEAR), "left_semi").join(wanted, [*NEAR, "file_url"], "left_semi")
 
 
 def payload_at(archive: DataFrame, form_name: str, *urls: str) -> DataFrame:

@@ -50,6 +50,26 @@ def test_payloads_of_error_rows(spark, tmp_path):
     assert archive.payloads_of(errors.limit(0), archive.archived(spark, path)).count() == 0
 
 
+def test_payloads_of_forms_without_errors_are_not_shuffled(spark, tmp_path):
+    """More URLs than Spark broadcasts: only the payloads of the form and the days with errors are shuffled to them."""
+    path = str(tmp_path / "archive")
+    files.archive(staged(spark, 40), path, 0)
+    files.archive(staged(spark, 40).withColumns({"formName": F.lit("Other"), "file_url": F.replace("file_url", F.lit("My Form"), F.lit("Other"))}), path, 1)
+    stored = archive.archived(spark, path)
+    errors = stored.where("formName = 'My Form' AND day IN (2, 3)").select("formName", F.col("file_url").alias("errorFormData"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+        found = archive.payloads_of(errors, stored)
+        rows = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(rows) == 20 and {(r.formName, r.day) for r in rows} == {("My Form", 2), ("My Form", 3)}
+    final = plan.split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in final and final.index("SortMergeJoin") < final.index("BroadcastHashJoin")
+
+
 def test_many_forms_take_few_small_files(spark, tmp_path):
     path = str(tmp_path / "archive")
     forms = staged(spark, 200, 2).withColumn("formName", F.concat(F.lit("Form "), F.col("message_id")))
