@@ -1,9 +1,10 @@
 """Null columns, empty tables, repeated rows and clashing extra columns: every operator and every stage."""
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from formweave.llm import decontaminate, hyperminhash, imatch, langid, pareto_mix, quality, suffix_dedup, token_counts
+from formweave.llm import blocks, decontaminate, hyperminhash, imatch, langid, pareto_mix, quality, suffix_dedup, token_counts
 from tests.llm.test_operators import MODEL
 
 
@@ -91,3 +92,26 @@ def test_pipeline_keeps_one_of_each_group(spark, tmp_path, corpus_frame):
     out = {r["doc_id"]: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert out and {24, 25}.isdisjoint(out)
     assert all(r["copies"] >= 1 and r["taken"] == r["copies"] * r["size"] for r in out.values())
+
+
+def test_workers_get_few_texts_at_once_and_give_memory_back(spark, monkeypatch):
+    """Texts come to Python in small batches, smaller ones where the session says so, and free memory is returned
+    before and after a task's rows."""
+    def longest(limit):
+        spark.conf.set(blocks.BATCH_CONF, limit)
+        blocks.ship(spark)
+        sizes = spark.range(0, 5000, 1, 1).mapInArrow(
+            lambda batches: (pa.record_batch([pa.array([b.num_rows])], names=["rows"]) for b in batches), "rows bigint")
+        return max(r["rows"] for r in sizes.collect())
+
+    before = spark.conf.get(blocks.BATCH_CONF)
+    try:
+        assert [longest(n) for n in ("10000", "0", "300")] == [blocks.BATCH_ROWS, blocks.BATCH_ROWS, 300]
+    finally:
+        spark.conf.set(blocks.BATCH_CONF, before)
+    given = []
+    monkeypatch.setattr(blocks, "give_back", lambda: given.append(1))
+    batch = pa.record_batch([pa.array(range(1200))], names=["x"])
+    assert [b.num_rows for b in blocks.slices([batch])] == [512, 512, 176] and len(given) == 2
+    monkeypatch.undo()
+    blocks.give_back()
