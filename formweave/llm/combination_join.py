@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.blocks import U64, blocks, materialise, mix, ship, shuffle_partitions, slices, small_side
+from formweave.llm.blocks import U64, blocks, few, materialise, mix, ship, shuffle_partitions, slices, small_side
 from formweave.llm.hyperminhash import components, shingle_sets, similar
 
 # Tokens in up to RARE sets are indexed alone, in up to COMMON sets in pairs, others in threes.
@@ -297,11 +297,12 @@ def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Rec
 
 
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs that are similar; the last two columns are the tokens of both."""
     for part in slices(batches, 256):
-        a, b = (part.column(i).to_pylist() for i in (2, 3))
+        a, b = (column.to_pylist() for column in part.columns[-2:])
         keep = pa.array([i for i in range(len(a)) if similar(np.frombuffer(a[i], "<u8"), np.frombuffer(b[i], "<u8"), percent)],
                         pa.int64())
-        yield pa.record_batch([part.column(0).take(keep), part.column(1).take(keep)], names=["a", "b"])
+        yield pa.record_batch([column.take(keep) for column in part.columns[:-2]], names=part.schema.names[:-2])
 
 
 def _block_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -335,8 +336,8 @@ def _block_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
             found += [(i, int(j)) for j in np.flatnonzero(close)]
         if not found:
             return None
-        return pa.record_batch([pa.array([rows[i]["key"] for i, _ in found], pa.binary()),
-                                pa.array([rows[j]["key"] for _, j in found], pa.binary())], names=["a", "b"])
+        return pa.record_batch([pa.array([rows[p[side]][x] for p in found], pa.binary())
+                                for x in ("key", "label") for side in (0, 1)], names=["a", "b", "label_a", "label_b"])
 
     held: list[dict] = []
     names = ("sig", "low", "high")
@@ -373,10 +374,10 @@ def text_key() -> Column:
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """key, text: every different text once. Texts that stand alone are not shuffled."""
     rows = docs.select(text_key().alias("key"), "text").where("text IS NOT NULL")
-    again = materialise(rows.groupBy("key").count().where("count > 1").select("key"), "repeated")
+    again = materialise(few(rows.groupBy("key").count().where("count > 1").select("key")), "repeated")
     firsts = rows.join(small_side(again, 32), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     alone = rows.join(small_side(again, 32), "key", "left_anti")
-    return alone.unionByName(materialise(firsts, "copied"))
+    return alone.unionByName(materialise(few(firsts), "copied"))
 
 
 def shared_tokens(texts: DataFrame, width: int = 5) -> DataFrame:
@@ -393,8 +394,8 @@ def shared_tokens(texts: DataFrame, width: int = 5) -> DataFrame:
         "place").mapInArrow(_shared_tokens, "key binary, bucket int, n bigint, distinct bigint, postings binary")
 
 
-def links(texts: DataFrame, shared: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Verified links (a, b) between text keys: enough to connect whatever is linked."""
+def connected(texts: DataFrame, shared: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """key, label: the least text key that verified links reach. Texts without a link have no row."""
     sigs = materialise(shared.repartition("key").sortWithinPartitions("key", "bucket").mapInArrow(
         partial(_signatures, percent=percent), "sig bigint, key binary, n bigint, own bigint"), "signatures")
     # The hub is the set with the smallest share of tokens of its own: of a text and its edited copies, the text.
@@ -403,10 +404,10 @@ def links(texts: DataFrame, shared: DataFrame, width: int = 5, percent: int = 80
         F.count("*").alias("size"), F.min(F.struct("own", "key", "n")).alias("hub"), F.bit_xor(F.xxhash64("key")).alias("x"),
         F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y")).where("size > 1").groupBy("size", "x", "y").agg(
         F.min(F.struct("sig", "hub")).alias("one")).select("size", "one.sig", "one.hub")
-    members = materialise(sigs.join(crowded, "sig").select(
-        "sig", "size", "key", "n", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n")), "members")
+    members = materialise(few(sigs.join(crowded, "sig").select(
+        "sig", "size", "key", "n", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n"))), "members")
 
-    wanted = materialise(members.select("key").distinct(), "wanted")
+    wanted = materialise(few(members.select("key").distinct()), "wanted")
     sets = materialise(texts.join(small_side(wanted, 32), "key", "left_semi").select("key", "text").mapInArrow(
         partial(_full_sets, width=width), "key binary, tokens binary"), "sets")
 
@@ -414,8 +415,9 @@ def links(texts: DataFrame, shared: DataFrame, width: int = 5, percent: int = 80
         def side(x: str) -> DataFrame:
             return sets.select(F.col("key").alias(x), F.col("tokens").alias(f"tokens_{x}"))
 
-        both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "tokens_a", "tokens_b")
-        return materialise(both.mapInArrow(partial(_verify, percent=percent), "a binary, b binary"), "verified")
+        both = pairs.join(side("b"), "b").join(side("a"), "a").select(*pairs.columns, "tokens_a", "tokens_b")
+        schema = ", ".join(f"{x} binary" for x in pairs.columns)
+        return materialise(few(both).mapInArrow(partial(_verify, percent=percent), schema), "verified")
 
     possible = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
     near_hub = verified(members.where((F.col("key") != F.col("hub")) & possible).select(
@@ -425,7 +427,7 @@ def links(texts: DataFrame, shared: DataFrame, width: int = 5, percent: int = 80
     now = members.where("size > 2").select("sig", "size", "key").join(labels, "key", "left").select(
         "sig", "size", "key", F.coalesce("label", "key").alias("label"))
     open_ = now.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
-    groups = _groups(materialise(now.join(open_, "sig", "left_semi"), "open"))
+    groups = _groups(materialise(few(now.join(open_, "sig", "left_semi")), "open"))
     n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     now = groups.withColumn("n_blocks", n_blocks).withColumn(
         "block", F.pmod(F.xxhash64("key"), F.col("n_blocks")).cast("int"))
@@ -436,8 +438,14 @@ def links(texts: DataFrame, shared: DataFrame, width: int = 5, percent: int = 80
         "n", "tokens")
     order = ["sig", "low", "high"]
     pairs = dealt.repartition(shuffle_partitions(texts.sparkSession), *order).sortWithinPartitions(*order).mapInArrow(
-        partial(_block_pairs, percent=percent), "a binary, b binary")
-    return near_hub.unionByName(verified(pairs.distinct()))
+        partial(_block_pairs, percent=percent), "a binary, b binary, label_a binary, label_b binary")
+    # What the hubs have connected counts as one node, so that only the new links are to be followed.
+    joined = components(verified(pairs.distinct()).select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    joined = joined.withColumnRenamed("label", "least")
+    return labels.join(joined, F.col("label") == F.col("node"), "left").select(
+        "key", F.coalesce("least", "label").alias("label")).unionByName(
+        joined.join(labels, F.col("node") == F.col("key"), "left_anti").select(
+            F.col("node").alias("key"), F.col("least").alias("label")))
 
 
 def _groups(rows: DataFrame) -> DataFrame:
@@ -450,13 +458,13 @@ def _groups(rows: DataFrame) -> DataFrame:
     first = rows.groupBy("sig").agg(F.min("key").alias("a"))
     joined = components(rows.join(first, "sig").select("a", F.col("key").alias("b"))).select(
         F.col("node").alias("key"), F.col("label").alias("family"))
-    placed = materialise(rows.join(joined, "key"), "families")
+    placed = materialise(few(rows.join(joined, "key")), "families")
     whole = placed.select("family", "key", "label").distinct()
     sizes = whole.groupBy("family").agg(F.count("*").alias("members"))
     # Each row of a combination is one of `size` rows.
     apart = placed.groupBy("family").agg(F.sum(F.ceil(F.col("size") / BLOCK)).alias("apart"))
-    better = materialise(sizes.join(apart, "family").select(
-        "family", "members", (sent(F.col("members")) <= F.col("apart")).alias("one")), "ways")
+    better = materialise(few(sizes.join(apart, "family").select(
+        "family", "members", (sent(F.col("members")) <= F.col("apart")).alias("one"))), "ways")
     better = small_side(better, 64)
     return whole.join(better.where("one"), "family").select(
         F.xxhash64("family").alias("sig"), F.col("members").alias("size"), "key", "label").unionByName(
@@ -476,7 +484,7 @@ def similarity_join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     texts = distinct_texts(docs)
     shared = materialise(shared_tokens(texts, width), "shared")
     sizes = shared.where("bucket < 0").select("key", "n")
-    labels = components(links(texts, shared, width, percent)).withColumnRenamed("node", "key")
+    labels = connected(texts, shared, width, percent)
     rows = docs.select("doc_id", text_key().alias("key"))
     named = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"))
     classes = sizes.join(named, "key").join(labels, "key", "left").select(

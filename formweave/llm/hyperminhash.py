@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.blocks import (LOWERED, SPACES, U64, Block, Spans, blocks, materialise, mix, shuffle_partitions, ship,
+from formweave.llm.blocks import (LOWERED, SPACES, U64, Block, Spans, blocks, few, materialise, mix, shuffle_partitions, ship,
                                   slices, small_side, sort_within, sums_by, words)
 
 REGISTERS, BAND = 128, 4
@@ -244,9 +244,10 @@ def components(edges: DataFrame) -> DataFrame:
     """node, label: the least node of each connected component of the edges (a, b), by alternating large and
     small stars. Nodes without an edge have no row."""
     def star(e: DataFrame, large: bool) -> DataFrame:
-        both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        if not large:
-            both = both.where("b <= a")
+        if large:
+            both = e.selectExpr("inline(array(struct(a, b), struct(b AS a, a AS b)))")
+        else:
+            both = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         moved = both.join(low, "a")
         far = moved.where("b > a") if large else moved.where("b <> m")
@@ -255,17 +256,16 @@ def components(edges: DataFrame) -> DataFrame:
             ends = ends.unionByName(low.select("a", F.col("m").alias("b")))
         return ends.where("a <> b").distinct()
 
-    def state(e: DataFrame):
-        return e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    def settled(e: DataFrame) -> bool:
+        """Whether each node has one edge to a lesser node, or only edges to greater ones: stars around least nodes."""
+        ends = e.selectExpr("inline(array(struct(a AS node, 1 AS up, 0 AS down), struct(b AS node, 0 AS up, 1 AS down)))")
+        places = ends.groupBy("node").agg((F.sum("up") + F.max("down")).alias("places"))
+        return (places.agg(F.max("places")).first()[0] or 0) <= 1
 
-    edges = materialise(edges.select("a", "b").where("a <> b").distinct(), "links")
-    before = state(edges)
-    while True:
-        edges = materialise(star(star(edges, large=True), large=False), "stars")
-        after = state(edges)
-        if tuple(after) == tuple(before):
-            break
-        before = after
+    edges = materialise(few(edges.where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()), "links")
+    while not settled(edges):
+        edges = materialise(few(star(star(edges, large=True), large=False)), "stars")
     leaves = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return leaves.unionByName(leaves.select(F.col("label").alias("node"), "label").distinct())
 
