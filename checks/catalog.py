@@ -117,10 +117,11 @@ def _ingested(spark: SparkSession, sf: str, **options) -> IngestPipeline:
 
 def _digest(rows: DataFrame, names: list[str], cells: Column) -> DataFrame:
     """Per row the names of its cells and a digest of names and values, in order of name; NULL cells left out."""
-    cells = F.array_sort(F.filter(cells, lambda c: c["value"].isNotNull()))
-    texts = F.transform(cells, lambda c: F.concat(c["name"], F.lit("="), c["value"]))
-    return rows.select(*names, F.array_join(cells["name"], "|").alias("names"),
-                       F.md5(F.encode(F.array_join(texts, "\n"), "UTF-8")).alias("row_md5"))
+    sorted_cells = F.sort_array(F.filter(cells, lambda c: c["value"].isNotNull()))
+    texts = F.transform("cells", lambda c: F.concat(c["name"], F.lit("="), c["value"]))
+    return rows.select(*names, sorted_cells.alias("cells")).select(
+        *names, F.array_join(F.col("cells")["name"], "|").alias("names"),
+        F.md5(F.encode(F.array_join(texts, "\n"), "UTF-8")).alias("row_md5"))
 
 
 def _cells(columns: list[str]) -> Column:
@@ -128,18 +129,19 @@ def _cells(columns: list[str]) -> Column:
 
 
 def _opened(cipher: EnvelopeCipher, rows: DataFrame) -> DataFrame:
-    """Rows with every value opened as often as it was sealed, in its place."""
-    for _ in rules.TECHNIQUES:
-        rows = rows.select(*[F.coalesce(cipher.open_text(F.col(f"`{c}`")), F.col(f"`{c}`")).alias(c) for c in rows.columns])
-    return rows
+    """`cells` with every value opened as often as it was sealed, in its place."""
+    opened = cipher.with_opened(rows, F.col("cells")["value"], "opened", len(rules.TECHNIQUES))
+    cells = F.zip_with("cells", "opened", lambda c, o: F.struct(c["name"].alias("name"), o["value"].alias("value")))
+    return opened.withColumn("cells", cells).drop("opened")
 
 
 def _table_rows(job: IngestPipeline) -> DataFrame:
     """Rows of every form table, with the columns the job found, every value opened as often as it was sealed."""
     parts = []
     for table, wide in job.store.tables():
-        opened = _opened(job.cipher, wide)
-        parts.append(_digest(opened.select(F.lit(table).alias("table"), _cells(wide.columns).alias("cells")), ["table"], F.col("cells")))
+        cells = F.filter(_cells(wide.columns), lambda c: c["value"].isNotNull())
+        opened = _opened(job.cipher, wide.select(F.lit(table).alias("table"), cells.alias("cells")))
+        parts.append(_digest(opened, ["table"], F.col("cells")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -810,13 +812,10 @@ def deid_mask(spark, sf):
 def deid_chain(spark, sf):
     """A field in several lists is sealed once per list: how often it opens, and what it then reads."""
     forms, cipher = _sealed_forms(spark, sf)
-    pairs = _pairs(forms, "values", "message_id")
-    layers = pairs.withColumn("times", F.lit(0))
-    for _ in range(3):
-        layers = layers.withColumn("inner", cipher.open_text("value")).select(
-            "message_id", "key", F.coalesce("inner", "value").alias("value"),
-            (F.col("times") + F.col("inner").isNotNull().cast("int")).alias("times"))
-    return only(layers.withColumnRenamed("key", "field"), F.col("times") > 0, "message_id", "field", "value", "times")
+    opened = cipher.with_opened(forms, F.map_values("values"), "opened", 3)
+    layers = F.zip_with(F.map_keys("values"), "opened", lambda k, o: F.struct(
+        k.alias("field"), o["value"].alias("value"), o["times"].alias("times")))
+    return opened.select("message_id", F.inline(F.filter(layers, lambda c: c["times"] > 0)))
 
 
 @query

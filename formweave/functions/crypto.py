@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import secrets
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ _PADS = T.StructType([T.StructField("pads", T.StructType([
 
 DATA_KEY = "_data_key"
 HASH_KEY = "_hash_key"
+KEK = "_kek"
 # Message attribute that names the KEK a payload is sealed under.
 KEY_NAME = "keyName"
 # What the key of pseudonyms is derived for.
@@ -39,6 +41,30 @@ PSEUDONYMS = b"pseudonyms"
 ENVELOPE_TEXT = "^AAA[A-Za-z0-9+/]+={0,2}$"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value that is computed once, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _envelope(value: Column) -> Column:
+    """Bytes of a text that looks like an envelope, NULL for others. Where the bytes account for every character of a
+    padded text, none was passed over in decoding, and the costlier test of its form is not needed."""
+    quads, padding = F.shiftright(F.octet_length(value), 2), F.when(F.endswith(value, F.lit("==")), 2).when(
+        F.endswith(value, F.lit("=")), 1).otherwise(0)
+
+    def told(raw: Column) -> Column:
+        counted = (F.octet_length(value) == quads * 4) & (F.length(raw) == quads * 3 - padding)
+        return F.when(counted | F.rlike(value, F.lit(ENVELOPE_TEXT)), raw)
+
+    return F.when(F.startswith(value, F.lit("AAA")), _once(F.try_to_binary(value, F.lit("base64")), told))
+
+
+def _key_size(envelope: Column) -> Column:
+    """Length of the wrapped key, NULL if the envelope cannot hold it."""
+    length = F.conv(F.hex(F.substring(envelope, 1, 4)), 16, 10).cast("bigint")
+    return F.when(length.between(1, F.length(envelope) - 4), length).cast("int")
+
+
 class Pseudonyms:
     """HMAC-SHA256 of values as column expressions: equal values have equal pseudonyms, in all tables and runs, and
     nobody without the key can tell which value one stands for. The padded keys are a constant of the plan."""
@@ -114,10 +140,11 @@ class EnvelopeCipher:
         """The sealed BINARY value, or NULL for a wrong key, a tampered or a truncated envelope. ``name`` is the row's
         key; the cipher's own is used where it is NULL."""
         kek = self._kek if name is None else F.when(name.isNull(), self._kek).otherwise(self._kek_named(name))
-        envelope = F.col(envelope) if isinstance(envelope, str) else envelope
-        length = F.conv(F.hex(F.substring(envelope, 1, 4)), 16, 10).cast("bigint")
-        fits = length.between(1, F.length(envelope) - 4)
-        size = F.when(fits, length).cast("int")
+        return self._open(F.col(envelope) if isinstance(envelope, str) else envelope, kek)
+
+    @staticmethod
+    def _open(envelope: Column, kek: Column) -> Column:
+        size = _key_size(envelope)
         dek = F.try_aes_decrypt(F.substring(envelope, F.lit(5), size), kek, F.lit("GCM"))
         body = F.substring(envelope, size + 5, F.length(envelope))
         return F.try_aes_decrypt(body, dek, F.lit("GCM"))
@@ -128,3 +155,46 @@ class EnvelopeCipher:
         value = F.col(value) if isinstance(value, str) else value
         looks_sealed = F.rlike(value, F.lit(ENVELOPE_TEXT))
         return F.when(looks_sealed, utf8_text(self.open(F.try_to_binary(value, F.lit("base64")))))
+
+    def with_opened(self, df: DataFrame, values: Column, into: str, times: int) -> DataFrame:
+        """Add `into`, an array of (value, times) in the order of the array of texts ``values``: each text opened as often
+        as it was sealed, up to so many times, as `open_text` does, and how often that was.
+
+        The values of a row are mostly sealed under one data key. The key that the first envelope names is unwrapped once
+        for the row, and serves all that begin alike; others have theirs unwrapped. The plan does not grow with the number
+        of values, so that its code stays small enough to be compiled.
+        """
+        kek = F.col(KEK)
+
+        def named(cells: Column) -> Column:
+            first = F.get(F.filter(F.transform(cells, lambda c: c["envelope"]), lambda e: e.isNotNull()), F.lit(0))
+            return _once(first, lambda e: _once(_key_size(e), lambda size: F.struct(
+                F.substring(e, F.lit(1), size + 4).alias("header"),
+                F.try_aes_decrypt(F.substring(e, F.lit(5), size), kek, F.lit("GCM")).alias("dek"))))
+
+        def body(envelope: Column, key: Column) -> Column:
+            size = F.length(key["header"])
+            inner = F.try_aes_decrypt(F.substring(envelope, size + 1, F.length(envelope)), key["dek"], F.lit("GCM"))
+            return F.when(F.substring(envelope, F.lit(1), size) == key["header"], inner).otherwise(self._open(envelope, kek))
+
+        def opened(cells: Column, key: Column, last: bool) -> Column:
+            def cell(value: Column, times: Column, envelope: Column) -> Column:
+                return F.struct(value.alias("value"), times.alias("times"), envelope.alias("envelope"))
+
+            def inner(c: Column) -> Column:
+                none = F.lit(None).cast("binary")
+                return _once(utf8_text(body(c["envelope"], key)), lambda text: F.when(
+                    text.isNull(), cell(c["value"], c["times"], none)).otherwise(
+                    cell(text, c["times"] + 1, none if last else _envelope(text))))
+
+            return F.transform(cells, lambda c: F.when(c["envelope"].isNull(), c).otherwise(inner(c)))
+
+        def layers(cells: Column, key: Column) -> Column:
+            for i in range(times):
+                cells = opened(cells, key, i == times - 1)
+            return F.transform(cells, lambda c: F.struct(c["value"].alias("value"), c["times"].alias("times")))
+
+        sealed = F.transform(values, lambda v: F.struct(v.alias("value"), F.lit(0).alias("times"), _envelope(v).alias("envelope")))
+        # A subquery may not stand within a function of arrays: the KEK becomes a column first.
+        return df.withColumn(KEK, self._kek).withColumn(
+            into, _once(sealed, lambda cells: _once(named(cells), lambda key: layers(cells, key)))).drop(KEK)

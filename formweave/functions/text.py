@@ -96,7 +96,7 @@ def utf8_text(c: Column | str) -> Column:
 
 def base64_text(c: Column | str) -> Column:
     """Base64 on one line (Spark's own encoder wraps long output)."""
-    return F.translate(F.base64(_col(c)), "\r\n", "")
+    return F.replace(F.base64(_col(c)), F.lit("\r\n"), F.lit(""))
 
 
 def key_resource(project: Column, location: Column, ring: Column, key: Column) -> Column:

@@ -72,3 +72,39 @@ def test_a_message_names_its_key(spark):
     frame = spark.createDataFrame(sealed, "p binary, n string")
     got = [r[0] and bytes(r[0]).decode() for r in frame.select(opener.open("p", F.col("n"))).collect()]
     assert got == ["k1", "k1", "k2", None, None, None]
+
+
+def test_values_of_a_row_open_as_often_as_they_are_sealed(spark, cipher):
+    """Layers under one data key and under others, beside texts that only look like envelopes; as `open_text` has it."""
+    def layered(slot, times):
+        row = cipher.with_data_key(spark.range(1).select(F.lit(slot).alias("id"), F.lit("x y").alias("s")), "id")
+        for _ in range(times):
+            row = row.withColumn("s", cipher.seal_text(F.col("s")))
+        return row.first().s
+
+    once, twice, thrice, other = layered(1, 1), layered(1, 2), layered(1, 3), layered(2, 2)
+    foreign = EnvelopeCipher(spark, {KEK: b"z" * 32}, KEK, 1)
+    strange = foreign.with_data_key(spark.range(1), "id").select(foreign.seal_text(F.lit("x"))).first()[0]
+    harmed = once[:-6] + ("A" if once[-6] != "A" else "B") + once[-5:]
+    odd = [None, "", "plain", "AAA", "AAAAPA==", "AAAAx==\n", "AAAAx=", "AAAA====", "AAAé", once + "\n", once.rstrip("="),
+           once[:40] + " " + once[40:], "=" + once, harmed, strange]
+    rows = [[thrice, "n", once, other, twice], [strange, thrice, other], odd, [*reversed(odd), thrice], [], None]
+    frame = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "id int, v array<string>")
+    got = {r.id: r.opened for r in cipher.with_opened(frame, F.col("v"), "opened", 3).collect()}
+
+    def one_by_one(values):
+        cells = spark.createDataFrame([(i, v, 0) for i, v in enumerate(values)], "i int, v string, n int")
+        for _ in range(3):
+            cells = cells.withColumn("t", cipher.open_text("v")).select(
+                "i", F.coalesce("t", "v").alias("v"), (F.col("n") + F.col("t").isNotNull().cast("int")).alias("n"))
+        return [(r.v, r.n) for r in sorted(cells.collect())]
+
+    assert got[5] is None and [tuple(o) for o in got[0]] == [("x y", 3), ("n", 0), ("x y", 1), ("x y", 2), ("x y", 2)]
+    for i, values in enumerate(rows[:4]):
+        assert [tuple(o) for o in got[i]] == one_by_one(values)
+
+
+def test_plans_of_rows_show_no_key_material(spark, cipher):
+    frame = spark.createDataFrame([(["x"],)], "v array<string>")
+    shown = cipher.with_opened(frame, F.col("v"), "o", 3)._jdf.queryExecution().toString().upper()
+    assert bytes(range(32)).hex().upper() not in shown and "00 01 02 03" not in shown

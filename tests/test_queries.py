@@ -1,5 +1,6 @@
 """Every registered query against its SQL twin, and what its plan must look like."""
 
+import re
 from pathlib import Path
 
 import pytest
@@ -39,3 +40,16 @@ def test_plans_stay_in_the_jvm(spark, name):
 def test_each_message_is_parsed_once(spark):
     plan = QUERIES["flatten_live"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+@pytest.mark.parametrize("name", ["deid_chain", "form_table_append"])
+def test_code_is_small_enough_to_be_compiled(spark, name):
+    """The JVM interprets methods of more than 8,000 bytes, however often they run."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))]
+    assert sizes and max(sizes) <= 8000
