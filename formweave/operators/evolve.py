@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 def batch_columns(rows: DataFrame, table: str = "route") -> DataFrame:
     """Distinct (formName, table, column) of the rows. Names that differ only in case are one column, spelled as
-    the first in sort order. Only names are shuffled, each at most once per task."""
+    the first in sort order. Only names are shuffled, each at most once per task: they are made distinct by hashing
+    first, as the least of several texts is found by sorting. Dealing them keeps the optimizer from joining the steps."""
     names = rows.select("formName", F.col(table).alias("table"), F.explode(F.map_keys("columns")).alias("column"))
-    return (names.groupBy("formName", "table", F.lower("column").alias("column_key"))
-            .agg(F.min("column").alias("column")))
+    spelled = names.distinct().withColumn("column_key", F.lower("column")).repartition("formName", "table", "column_key")
+    return spelled.groupBy("formName", "table", "column_key").agg(F.min("column").alias("column"))
 
 
 def new_columns(found: DataFrame, registry: DataFrame) -> DataFrame:

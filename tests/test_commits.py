@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from formweave.config import IngestConfig, RetryConfig
+from formweave.operators import evolve
 from formweave.sinks import files, tables
 from formweave.sinks.tables import FormStore
 from formweave.streaming.pipeline import IngestPipeline
@@ -197,3 +198,13 @@ def test_repeated_deliveries_give_single_rows(job, spark, message_of):
     files.publish(message_of((None, body({"a": 0})), (None, body({"a": 0}))), run.config.inputSubscription)
     job(redeliverySeconds=3600).start(available_now=True).awaitTermination()
     assert sorted(r.a for r in run.store.read("f").collect()) == ["0", "0", "1", "2", "3"]
+
+
+def test_columns_of_a_batch_are_made_distinct_by_hashing(spark):
+    """Spellings of all rows are not sorted: the least of them is sought among the distinct ones only."""
+    rows = spark.createDataFrame([("F", "f", {"B": "1", "a": "2"}), ("F", "f", {"b": "3"}), ("G", "g", {"A": "4"}), ("F", "f", None)],
+                                 "formName string, route string, columns map<string,string>")
+    found = evolve.batch_columns(rows)
+    assert sorted(tuple(r) for r in found.collect()) == [("F", "f", "a", "a"), ("F", "f", "b", "B"), ("G", "g", "a", "A")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2 and plan.index("min(") < plan.index("RepartitionByExpression")
