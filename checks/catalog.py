@@ -78,10 +78,7 @@ def _joined(names: Column) -> Column:
 def _topic(spark: SparkSession, sf: str, parts: int | None = None) -> str:
     """The messages as a topic folder; with `parts`, as that many times PART_FILES files in order of time."""
     path = fresh_dir(spark, "topic")
-    sealed = fx.sealed(spark, sf, fx.cipher(spark))
-    if parts:
-        sealed = sealed.repartitionByRange(parts * PART_FILES, "publish_time")
-    files.publish(sealed, path)
+    files.publish(fx.sealed(spark, sf, fx.cipher(spark), parts=parts and parts * PART_FILES), path)
     return path
 
 

@@ -153,15 +153,17 @@ def cipher(spark: SparkSession, data_keys: int = 64) -> EnvelopeCipher:
     return EnvelopeCipher(spark, KEY_MAP, KEK_ID, data_keys)
 
 
-def bodies(spark: SparkSession, sf_dir: str, sql: str = MESSAGES) -> DataFrame:
-    """Messages in the clear: message_id, publish_time, body."""
-    rows = spread(run(spark, sf_dir, sql))
+def bodies(spark: SparkSession, sf_dir: str, sql: str = MESSAGES, parts: int | None = None) -> DataFrame:
+    """Messages in the clear: message_id, publish_time, body. With `parts`, in so many partitions in order of time."""
+    rows = run(spark, sf_dir, sql)
+    rows = rows.repartitionByRange(parts, "publish_time") if parts else spread(rows)
     return rows.withColumn("publish_time", F.col("publish_time").cast("timestamp"))
 
 
-def sealed(spark: SparkSession, sf_dir: str, with_cipher: EnvelopeCipher, sql: str = MESSAGES) -> DataFrame:
-    """Messages as a topic delivers them."""
-    keyed = with_cipher.with_data_key(bodies(spark, sf_dir, sql), "message_id")
+def sealed(spark: SparkSession, sf_dir: str, with_cipher: EnvelopeCipher, sql: str = MESSAGES,
+           parts: int | None = None) -> DataFrame:
+    """Messages as a topic delivers them; they are put in order before they are sealed, as sealed ones take more room."""
+    keyed = with_cipher.with_data_key(bodies(spark, sf_dir, sql, parts), "message_id")
     attributes = F.create_map(F.lit("origin"), F.concat(F.lit("m"), F.substring("message_id", -1, 1)))
     return keyed.select("message_id", "publish_time", attributes.alias("attributes"),
                         with_cipher.seal(utf8_bytes("body")).alias("payload")).select(*MESSAGE.names)

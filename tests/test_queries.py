@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 
+from checks import catalog, fixtures
 from checks.catalog import QUERIES
 from checks.compare import difference, duck
 from checks.headline import HEADLINE
@@ -53,3 +54,18 @@ def test_code_is_small_enough_to_be_compiled(spark, name):
     debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))]
     assert sizes and max(sizes) <= 8000
+
+
+def test_messages_are_sealed_after_they_are_put_in_order(spark):
+    """Sealed once, not once more for the sample that finds the ranges, and not shuffled with their seal."""
+    plan = fixtures.sealed(spark, SMALL, fixtures.cipher(spark), parts=3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("aesEncrypt") < plan.index("RepartitionByExpression") and plan.count("Repartition") == 1
+
+
+def test_files_of_a_topic_follow_one_another_in_time(spark):
+    topic = spark.read.parquet(catalog._topic(spark, SMALL, 2)).select("publish_time", "_metadata.file_name", "message_id")
+    spans = topic.groupBy("file_name").agg({"publish_time": "min", "message_id": "count"}).collect()
+    ends = {r.file_name: r[1] for r in topic.groupBy("file_name").agg({"publish_time": "max"}).collect()}
+    spans = sorted((r["min(publish_time)"], ends[r.file_name]) for r in spans)
+    assert len(spans) == 2 * catalog.PART_FILES and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert topic.count() == topic.select("message_id").distinct().count() == spark.read.parquet(f"{SMALL}/events.parquet").count()
